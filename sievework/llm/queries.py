@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, mixing, quality, tokens, warc
+from . import attention, decontaminate, htmltext, langid, minhash, mixing, quality, substrings, tokens, warc
 from .shared import new_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -44,12 +44,40 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_token_files(index)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_attention_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention.score(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op8_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_poisson_mixing, op2_minhash_dedup, op3_quality_rules, op4_warc_index, op5_token_files, op9_benchmark_decontamination)
+    f.__name__: f
+    for f in (
+        op1_poisson_mixing,
+        op2_minhash_dedup,
+        op3_quality_rules,
+        op4_warc_index,
+        op5_token_files,
+        op6_language_id,
+        op7_attention_score,
+        op8_repeated_substrings,
+        op9_benchmark_decontamination,
+        op10_html_text,
+    )
 }
 
 ORACLES: dict[str, str] = {"op1_poisson_mixing": mixing.oracle()}
