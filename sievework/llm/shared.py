@@ -54,8 +54,11 @@ def is_small(df: DataFrame, most: int) -> bool:
 
 
 def parts_for(df: DataFrame, bytes_each: int = 16 << 20, least: int = 8) -> int:
-    """A number of partitions in proportion to the input, from the optimizer's size estimate."""
+    """A number of partitions in proportion to the input, from the optimizer's size estimate; the session's number of
+    shuffle partitions where Spark knows no size."""
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >= 1 << 60:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return int(max(least, min(size // bytes_each + 1, 1 << 17)))
 
 
