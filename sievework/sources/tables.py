@@ -52,7 +52,7 @@ def first_column_of(df: DataFrame, *names: str):
 def candidates(spark: SparkSession, path: str) -> DataFrame:
     """Candidate TSV: missing columns take defaults, ;-joined lists become arrays, a bad number is 0."""
     raw = delimited(spark, path, "\t")
-    split = lambda c: F.filter(F.transform(F.split(c, ";"), F.trim), lambda x: x != "")
+    split = lambda c: F.filter(F.transform(F.split(c, ";"), lambda x: F.trim(x)), lambda x: x != "")
     return raw.select(
         first_column_of(raw, "accession", "pxd_accession").alias("accession"),
         F.coalesce(first_column_of(raw, "score").try_cast("int"), F.lit(0)).alias("score"),
