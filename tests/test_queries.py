@@ -27,8 +27,8 @@ def plain(df: pd.DataFrame) -> list[tuple]:
                 cells.append("")
             elif isinstance(v, bool) or type(v).__name__ == "bool_":
                 cells.append(str(bool(v)))
-            elif isinstance(v, float):
-                cells.append(f"{v:.6f}")
+            elif isinstance(v, (int, float)) or hasattr(v, "dtype"):
+                cells.append(f"{float(v):.6f}")  # pandas turns whole numbers with nulls into floats
             else:
                 cells.append(str(v))
         out.append(tuple(cells))
