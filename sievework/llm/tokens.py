@@ -35,7 +35,9 @@ MAGIC = b"SVTK"
 BLOCK_IDS = 4096
 TRAILER = struct.Struct("<4sIIxxxxqq")
 #: Distinct pieces that a worker remembers; the memory grows with none but this number.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
+#: Pieces that go to the tokenizer at a time.
+AT_A_TIME = 32_768
 
 
 def width_of(vocabulary: int) -> int:
@@ -132,13 +134,15 @@ class PieceEncoder:
         self.ids = np.zeros(0, np.uint16 if self.vocabulary <= 1 << 16 else np.uint32)
 
     def _learn(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        raw = data.tobytes()
-        pieces = [raw[b:e].decode() for b, e in zip(starts.tolist(), ends.tolist())]
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        counts = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for g in got for i in g), self.ids.dtype, counts.sum())
+        raw, all_counts, all_ids = data.tobytes(), [], [self.ids]
+        for at in range(0, len(keys), AT_A_TIME):
+            pieces = [raw[b:e].decode() for b, e in zip(starts[at : at + AT_A_TIME].tolist(), ends[at : at + AT_A_TIME].tolist())]
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            all_counts.append(np.fromiter(map(len, got), np.int64, len(got)))
+            all_ids.append(np.fromiter((i for g in got for i in g), self.ids.dtype, all_counts[-1].sum()))
+        counts = np.concatenate(all_counts)
         firsts = np.cumsum(counts) - counts + len(self.ids)
-        self.ids = np.concatenate((self.ids, flat))
+        self.ids = np.concatenate(all_ids)
         at = np.searchsorted(self.keys, keys)
         self.keys, self.firsts, self.counts = np.insert(self.keys, at, keys), np.insert(self.firsts, at, firsts), np.insert(self.counts, at, counts)
 
@@ -199,7 +203,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
         no = TaskContext.get().partitionId()
         name = f"{folder}/tokens-{no:06d}.bin"
         out = None
-        for rows, data, offsets in shared.text_blocks(batches, "text", 8 << 20):
+        for rows, data, offsets in shared.text_blocks(batches, "text", 2 << 20):
             if out is None:
                 out = files.Replacing(name)
                 writer = Writer(out.stream, width_of(enc.vocabulary))
