@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sievework import registry
 from sievework.functions import columns as c
-from sievework.operators import claims, evidence, sheets
+from sievework.operators import claims, evidence, identity, sheets
 from sievework.sources import sinks, tables
 from sievework.streaming import incremental
 
@@ -119,3 +119,14 @@ def test_streams(spark, sf_dir, tmp_path):
     counts = incremental.windowed_counts(incremental.new_files(spark, str(tmp_path / "in" / "a"), schema), "ts", "event_type")
     counts.writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start().awaitTermination()
     assert spark.table("windows").agg(F.sum("n")).first()[0] == 2 * events.count()
+
+
+def test_components_and_covers(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 120)]
+    got = {r.node: r.component for r in identity.connected(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
+    assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 120), 100)}
+    rows = [("g", 1, ["a", "b"], 1.0), ("g", 2, ["a", "b", "c"], 0.5), ("g", 3, ["d"], 0.1), ("g", 4, ["a"], 9.0)]
+    cover = identity.set_cover(spark.createDataFrame(rows, "g string, i long, f array<string>, s double"), "g", "i", "f", "s", 3).collect()
+    assert [(r.i, r["rank"]) for r in sorted(cover, key=lambda r: r["rank"])] == [(2, 1), (3, 2), (4, 3)]
+    fit = identity.first_fit(spark.createDataFrame([r[:3] for r in rows], "g string, i long, f array<string>"), "g", "i", "f").collect()
+    assert {r.i: r.cluster for r in fit} == {1: 0, 2: 0, 3: 1, 4: 0}
