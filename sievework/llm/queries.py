@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention, decontaminate, htmltext, langid, minhash, mixing, quality, substrings, tokens, warc
+from . import attention, decontaminate, htmltext, langid, minhash, mixing, oracles, quality, substrings, tokens, warc
 from .shared import new_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -80,4 +80,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {"op1_poisson_mixing": mixing.oracle()}
+ORACLES: dict[str, str] = oracles.ORACLES
