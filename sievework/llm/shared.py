@@ -6,6 +6,7 @@ its longest single text, never on the partition.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -37,14 +38,17 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+def saved(df: DataFrame, label: str, release: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage, survives lost executors, and lets the
-    shuffle files behind it go."""
+    shuffle files behind it go. release: see to it that these files are gone before more work begins."""
     spark = df.sparkSession
     path = new_folder(spark, label)
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
-    spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files of what was just written
+    for _ in range(2 if release else 1):
+        # Spark drops shuffle files once the driver has collected the plan that made them; listeners hold it for a moment
+        time.sleep(0.7 if release else 0)
+        spark.sparkContext._jvm.System.gc()
     return back
 
 

@@ -6,13 +6,13 @@ GRAM bytes. Every window of LENGTH bytes has exactly one such position, and equa
 nothing is lost and about one position in fourteen remains.
 
 Round 1 ranks these positions by their first GRAM bytes; Spark brings equal ones together, and positions whose rank only
-one document has are dropped. Round 2 takes the pair of that rank and the bytes around it to the full LENGTH: for each
-remaining position, its own windows are ranked, and a window is marked if the least doc_id of its rank is smaller than
-its own. Ranks are 64-bit hashes; in round 2 two windows are equal only if both rounds' ranks are.
+one document has are dropped. Where all positions of a rank have equal windows, the rank is settled: the windows of all
+but the least document are marked. Round 2 takes the pair of the other ranks and the bytes around them to the full
+LENGTH: for each remaining position its own windows are ranked, and a window is marked if the least doc_id of its rank is
+smaller than its own. Two independent 64-bit hashes have to agree before windows count as equal.
 
-Frequent strings: round 1 is a partial aggregate (least and greatest doc_id) and a join that Spark may split; nothing
-gathers a rank's positions. In round 2 equal surroundings inside a task's block are resolved there, and only the first
-document's are sent on, so an interior of a passage that a third of all documents share costs one row a block.
+Frequent strings: round 1 is a partial aggregate and a join that Spark may split; nothing gathers a rank's positions. In
+round 2 equal surroundings inside a task's block are resolved there, and only the first document's are sent on.
 
 Defined results: null counts as the empty text. Texts shorter than LENGTH bytes have no windows. Rows without doc_id keep
 all bytes and remove none. Rows that repeat a doc_id do not remove each other's bytes; each is judged against smaller
@@ -24,7 +24,8 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import shared
@@ -68,111 +69,125 @@ def picked(hasher: shared.Hasher, sums: np.ndarray, offsets: np.ndarray) -> tupl
     return text[first], place[first], grams[place[first]], window[first], window[last]
 
 
-def _positions(docs: DataFrame) -> DataFrame:
-    """key, doc_id: one row for each picked position, repeats within a document aside."""
-    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64())])
+def _positions(docs: DataFrame, with_block: bool) -> DataFrame:
+    """key, doc_id: one row for each picked position; with_block also block, the hash of all bytes of its windows."""
+    fields = [("key", pa.int64()), ("doc_id", pa.int64())] + [("block", pa.int64())] * with_block
+    schema = pa.schema(fields)
 
     def pick(batches):
         hasher = shared.Hasher(9)
         for rows, data, offsets in shared.text_blocks(batches, "text", 1 << 20):
-            text, _, key, _, _ = picked(hasher, hasher.prefix(data), offsets)
-            ids = rows.column("doc_id").to_numpy(zero_copy_only=False)
-            yield shared.columns_to_batch(schema, key.view(np.int64), ids[text])
+            sums = hasher.prefix(data)
+            text, _, key, lo, hi = picked(hasher, sums, offsets)
+            made = [key.view(np.int64), rows.column("doc_id").to_numpy(zero_copy_only=False)[text]]
+            made += [hasher.spans(sums, lo, hi + LENGTH).view(np.int64)] if with_block else []
+            yield shared.columns_to_batch(schema, *made)
 
-    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(pick, "key long, doc_id long")
+    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(pick, "key long, doc_id long" + ", block long" * with_block)
 
 
 def _repeated(docs: DataFrame) -> DataFrame:
-    """doc_id, keys: the ranks of round 1 that another document has as well."""
-    ranks = _positions(docs).groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    ranks = shared.saved(ranks.where("least < most").select("key"), "substrings-ranks")
-    return shared.saved(_positions(docs).join(ranks, "key").groupBy("doc_id").agg(F.collect_set("key").alias("keys")), "substrings-keys")
+    """doc_id, whole, open: the ranks of round 1 that another document has as well. Where all positions of a rank have the
+    same windows, those of later documents are done (whole) and the first one's are of no more use; the rest is open."""
+    ranks = _positions(docs, True).groupBy("key").agg(
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.min("block").alias("low"), F.max("block").alias("high")
+    )
+    ranks = shared.saved(ranks.where("least < most").select("key", "least", (F.col("low") != F.col("high")).alias("open")), "substrings-ranks", release=True)
+    met = _positions(docs, False).join(ranks, "key").where("open or least < doc_id")
+    keys = met.groupBy("doc_id").agg(F.collect_set(F.when(~F.col("open"), F.col("key"))).alias("whole"), F.collect_set(F.when(F.col("open"), F.col("key"))).alias("open"))
+    return shared.saved(keys, "substrings-keys", release=True)
 
 
-_SENT = "key long, doc_id long, row long, start int, windows int, around binary"
+_SENT = "part int, doc_id long, row long, start int, windows int, around binary"
 
 
-def _surroundings(docs: DataFrame, repeated: DataFrame) -> DataFrame:
-    """For each remaining position: key, doc_id, row, its first window's start, their number, and the bytes of all. Rows
-    with key null are windows that a smaller document of the same block has: start to start + windows."""
-    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("around", pa.binary())])
+def _surroundings(docs: DataFrame, repeated: DataFrame, parts: int) -> DataFrame:
+    """For each remaining position: part (by its key), doc_id, row, where its windows start, their number, and the bytes
+    of all of them, or no bytes if a smaller document is known to have the same. row is 0 unless the table has the doc_id more than once, then a hash of the text."""
+    schema = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("around", pa.binary())])
 
     def surround(batches):
         hasher = shared.Hasher(9)
-        for rows, data, offsets in shared.text_blocks(batches, "text", 4 << 20):
+        for rows, data, offsets in shared.text_blocks(batches, "text", 1 << 20):
             sums = hasher.prefix(data)
             text, place, key, lo, hi = picked(hasher, sums, offsets)
-            lists = rows.column("keys")
-            own = np.frombuffer(lists.flatten().buffers()[1], np.int64, len(lists.flatten()), lists.flatten().offset * 8).view(np.uint64)
-            of = np.repeat(np.arange(rows.num_rows), np.diff(lists.offsets.to_numpy()))
+            if not len(text):
+                continue
             pair = lambda k, t: shared.mixed(k + t.astype(np.uint64) * shared.U64(0x9E3779B97F4A7C15))
-            keep = np.flatnonzero(np.isin(pair(key, text), pair(own, of)))
-            text, place, key, lo, hi = text[keep], place[keep], key[keep], lo[keep], hi[keep]
+            wanted = []
+            for name in ("whole", "open"):
+                lists = rows.column(name)
+                flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                wanted.append(np.isin(pair(key, text), pair(flat, np.repeat(np.arange(rows.num_rows), np.diff(lists.offsets.to_numpy())))))
+            whole = wanted[0]
+            keep = np.flatnonzero(whole | wanted[1])
+            text, key, lo, hi, whole = text[keep], key[keep], lo[keep], hi[keep], whole[keep]
             ids, names = rows.column("doc_id").to_numpy(zero_copy_only=False), rows.column("row").to_numpy(zero_copy_only=False)
             # equal surroundings in this block: only the least document's go on
-            same = shared.mixed(hasher.spans(sums, lo, hi + LENGTH) + (place - lo).astype(np.uint64) * shared.U64(0xD6E8FEB86659FD93))
+            same = hasher.spans(sums, lo, hi + LENGTH)
             order = np.lexsort((ids[text], same))
             head = np.ones(len(order), bool)
             head[1:] = same[order][1:] != same[order][:-1]
             least = np.empty(len(order), np.int64)
             least[order] = ids[text][order][np.flatnonzero(head)][np.cumsum(head) - 1] if len(order) else least
-            done = least < ids[text]
-            starts = (lo - offsets[:-1][text]).astype(np.int32)
-            windows = (hi - lo + 1).astype(np.int32)
+            done = (whole | (least < ids[text])).tolist()
             raw = data.tobytes()
-            around = [None if d else raw[b : e + LENGTH] for d, b, e in zip(done.tolist(), lo.tolist(), hi.tolist())]
-            yield shared.columns_to_batch(schema, pa.array(key.view(np.int64), pa.int64(), mask=done), ids[text], names[text], starts, windows, around)
+            around = [None if d else raw[b : e + LENGTH] for d, b, e in zip(done, lo.tolist(), hi.tolist())]
+            part = (shared.mixed(key) % shared.U64(parts)).astype(np.int32)
+            yield shared.columns_to_batch(schema, part, ids[text], names[text], (lo - offsets[:-1][text]).astype(np.int32), (hi - lo + 1).astype(np.int32), around)
 
-    return docs.join(repeated, "doc_id").mapInArrow(surround, _SENT)
+    met = docs.join(repeated, "doc_id")
+    rows = F.count("*").over(Window.partitionBy("doc_id"))
+    return met.withColumn("row", F.when(rows > 1, F.xxhash64("text")).otherwise(F.lit(0).cast("long"))).mapInArrow(surround, _SENT)
 
 
-def _marked(sent: DataFrame, groups: int) -> DataFrame:
-    """doc_id, row, start, end of byte stretches whose windows a smaller document has."""
+def _ranked(rows: pa.Table) -> pa.Table:
+    """doc_id, row, start, end of the byte stretches of a part whose windows a smaller document has."""
     schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
-
-    def rank(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
-        hasher = shared.Hasher(10)
-        around = rows.column("around").combine_chunks().cast(pa.large_binary())
+    there = rows.filter(pa.compute.is_valid(rows.column("around"))).combine_chunks()
+    here = rows.filter(pa.compute.is_null(rows.column("around"))).combine_chunks()
+    n = here.column("windows").to_numpy()
+    made = [pa.Table.from_arrays([here.column("doc_id"), here.column("row"), here.column("start"), pa.array(here.column("start").to_numpy() + n + np.int32(LENGTH - 1), pa.int32())], schema=schema)]
+    if there.num_rows:
+        around = there.column("around").combine_chunks().cast(pa.large_binary())
         offsets = np.frombuffer(around.buffers()[1], np.int64, len(around) + 1, around.offset * 8)
         data = np.frombuffer(around.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-        offsets = offsets - offsets[0]
-        n = rows.column("windows").to_numpy().astype(np.int64)
-        doc, key = rows.column("doc_id").to_numpy(), rows.column("key").to_numpy().view(np.uint64)
+        n = there.column("windows").to_numpy().astype(np.int64)
+        doc = there.column("doc_id").to_numpy()
         row = np.repeat(np.arange(len(n)), n)
         step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        at = offsets[:-1][row] + step
-        name = shared.mixed(hasher.spans(hasher.prefix(data), at, at + LENGTH) ^ shared.mixed(key[row]))
+        at = (offsets[:-1] - offsets[0])[row] + step
+        one, two = shared.Hasher(10), shared.Hasher(11)
+        name = one.spans(one.prefix(data), at, at + LENGTH)
         order = np.argsort(name, kind="stable")
+        check = two.spans(two.prefix(data), at, at + LENGTH)[order]
         ranked = name[order]
         head = np.ones(len(order), bool)
-        head[1:] = ranked[1:] != ranked[:-1]
+        head[1:] = (ranked[1:] != ranked[:-1]) | (check[1:] != check[:-1])
         least = np.minimum.reduceat(doc[row][order], np.flatnonzero(head))[np.cumsum(head) - 1]
-        marked = np.zeros(len(row), bool)
-        marked[order] = least < doc[row][order]
-        edge = np.diff(np.concatenate(([False], marked, [False])).astype(np.int8))
-        # runs of marked windows, cut where the row changes
-        cut = np.zeros(len(row) + 1, bool)
-        cut[:-1] = step == 0
-        begin = np.flatnonzero((edge[:-1] == 1) | (marked & cut[:-1]))
-        finish = np.flatnonzero((edge[1:] == -1) | (marked & cut[1:]))
-        start = rows.column("start").to_numpy()[row[begin]] + step[begin]
-        end = rows.column("start").to_numpy()[row[finish]] + step[finish] + LENGTH
-        return pa.Table.from_arrays([pa.array(doc[row[begin]]), pa.array(rows.column("row").to_numpy()[row[begin]]), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], schema=schema)
-
-    here = sent.where("key is null").select("doc_id", "row", "start", (F.col("start") + F.col("windows") + LENGTH - 1).alias("end"))
-    there = sent.where("key is not null").withColumn("part", F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int"))
-    wide = there.groupBy("part").applyInArrow(lambda t: rank(t), "doc_id long, row long, start int, end int")
-    return here.unionAll(wide)
+        marked = np.zeros(len(row) + 2, bool)
+        marked[1:-1][order] = least < doc[row][order]
+        first = np.append(step == 0, True)  # of a row; nothing runs on over it
+        begin = np.flatnonzero(marked[1:-1] & (~marked[:-2] | first[:-1]))
+        finish = np.flatnonzero(marked[1:-1] & (~marked[2:] | first[1:]))
+        start = there.column("start").to_numpy()
+        made.append(
+            pa.Table.from_arrays(
+                [pa.array(doc[row[begin]]), pa.array(there.column("row").to_numpy()[row[begin]]), pa.array((start[row[begin]] + step[begin]).astype(np.int32)), pa.array((start[row[finish]] + step[finish] + LENGTH).astype(np.int32))],
+                schema=schema,
+            )
+        )
+    return pa.concat_tables(made)
 
 
 def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256; with keep_text also kept, the remaining bytes."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.xxhash64("text"))
-    groups = shared.parts_for(docs, 8 << 20)
-    sent = shared.saved(_surroundings(docs, _repeated(docs.select("doc_id", "text"))), "substrings-around")
-    spans = _marked(sent, groups).groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    spans = shared.saved(spans, "substrings-spans")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    parts = shared.parts_for(docs, 2 << 20)
+    sent = _surroundings(docs, _repeated(docs), parts)
+    marked = sent.groupBy("part").applyInArrow(_ranked, "doc_id long, row long, start int, end int")
+    spans = marked.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end", "row"))).alias("spans"))
+    spans = shared.saved(spans, "substrings-spans", release=True)
     fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
     fields += [("kept", pa.binary())] if keep_text else []
     schema = pa.schema(fields)
@@ -180,11 +195,11 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     def cut(batches):
         for batch in batches:
             rows = []
-            lists = batch.column("spans").to_pylist()
-            for text, own in zip(batch.column("text"), lists):
+            for text, spans, name in zip(batch.column("text"), batch.column("spans").to_pylist(), batch.column("row").to_pylist()):
+                own = [s for s in spans or () if s["row"] in (0, name)]
                 raw = text.as_py().encode()
                 kept, runs, at = [], 0, 0
-                for s in own or ():
+                for s in own:
                     if s["start"] > at or not runs:
                         kept.append(raw[at : s["start"]])
                         runs += 1
@@ -198,4 +213,4 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
             yield shared.columns_to_batch(schema, batch.column("doc_id"), *made[: len(fields) - 1])
 
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if keep_text else "")
-    return docs.join(spans, ["doc_id", "row"], "left").select("doc_id", "text", "spans").mapInArrow(cut, out)
+    return docs.join(spans, "doc_id", "left").select("doc_id", "text", "spans", F.xxhash64("text").alias("row")).mapInArrow(cut, out)
