@@ -15,18 +15,19 @@ from . import shared
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("u", "v").unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = shared.saved(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "components-least")
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = shared.saved(down.groupBy("u").agg(F.min("v").alias("m")), "components-least")
-    moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = shared.saved(links.groupBy("u").agg(F.min("v").alias("m")), "components-least")
+    moved = links.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionAll(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _settled(links: DataFrame) -> bool:
+    """Whether every node has one link down at most, and none that others lead to has any."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionAll(links.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    return ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down > 1 or (down > 0 and up > 0)").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -34,13 +35,9 @@ def components(links: DataFrame) -> DataFrame:
     Links of a node with itself and null ends are ignored; repeated links count once."""
     links = links.select("u", "v").where("u is not null and v is not null and u != v")
     links = shared.saved(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components-links")
-    before = None
-    while (now := _state(links)) != before:
-        before = now
-        if not now[0]:
-            break
-        links = shared.saved(_small_star(_large_star(links)), "components-links")
-    # every link now leads from a node to the least node of its component
+    while not _settled(links):
+        # every link leads from the greater node to the smaller one, before and after
+        links = shared.saved(_small_star(shared.saved(_large_star(links), "components-large")), "components-links")
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
         links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

@@ -2,7 +2,8 @@ r"""Near-duplicate detection: MinHash bands propose pairs, odd sketches sift the
 
 1. One Arrow pass makes each document's set of word shingles, its MinHash samples, and from those the band keys and an
    odd sketch: a bitmap in which every sample flips one bit, so that the XOR of two bitmaps counts the samples in which
-   two documents differ, precisely where similarities are high.
+   two documents differ, precisely where similarities are high. A second bitmap does the same for the whole set; in it two
+   documents never differ in more bits than their sets do in shingles.
 2. Documents with equal sets become one class, led by the smallest doc_id. Only class leaders go on, so thousands of
    exact copies cost one row.
 3. Leaders that share a band key are in one bucket. Each is compared with the bucket's smallest leader: one pair for
@@ -33,6 +34,7 @@ from .components import components
 BANDS, ROWS = 40, 5
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
+PARITY_BITS = 1024
 
 _RNG = np.random.default_rng(20240229)
 _MULTIPLIERS = _RNG.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -69,10 +71,19 @@ def _fold(samples: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1).view(np.int64)
 
 
+def _parities(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Odd sketches of whole sets: every shingle flips one bit, so two sketches never differ in more bits than the sets
+    differ in shingles."""
+    place = (shared.mixed(values ^ shared.U64(0xA0761D6478BD642F)) >> shared.U64(54)).astype(np.int64)
+    flips = np.bincount(np.repeat(np.arange(len(counts)), counts) * PARITY_BITS + place, minlength=len(counts) * PARITY_BITS)
+    return np.packbits((flips & 1).astype(np.uint8).reshape(len(counts), PARITY_BITS), axis=1).view(np.int64)
+
+
 def signatures(docs: DataFrame, size: int = 4) -> DataFrame:
-    """doc_id, n_shingles, set_a, set_b (together a 128-bit name of the set), bands, sketch (null for empty sets)."""
+    """doc_id, n_shingles, set_a, set_b (together a 128-bit name of the set), bands, sketch of the samples, parity of the
+    whole set (all three empty for empty sets)."""
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
+        [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("parity", pa.list_(pa.int64()))]
     )
 
     def sign(batches):
@@ -83,6 +94,7 @@ def signatures(docs: DataFrame, size: int = 4) -> DataFrame:
             n = rows.num_rows
             names = np.zeros((2, n), np.uint64)
             bands, sketch = np.zeros((len(full), BANDS), np.int64), np.zeros((len(full), SKETCH_BITS // 64), np.int64)
+            parity = np.zeros((len(full), PARITY_BITS // 64), np.int64)
             if len(full):
                 at = np.cumsum(counts[full]) - counts[full]
                 names[0, full] = np.add.reduceat(shared.mixed(values + shared.U64(11)), at)
@@ -97,15 +109,17 @@ def signatures(docs: DataFrame, size: int = 4) -> DataFrame:
                         key = shared.mixed(key * shared.U64(0x9E3779B97F4A7C15) + samples[b * ROWS + r])
                     bands[:, b] = key.view(np.int64)
                 sketch = _fold(samples)
+                parity = _parities(values, counts[full])
             has = counts > 0
             cuts = np.concatenate(([0], np.cumsum(has)))
             yield shared.columns_to_batch(
                 schema, rows.column("doc_id"), counts, names[0].view(np.int64), names[1].view(np.int64),
                 shared.lists(bands.ravel(), cuts * BANDS, pa.int64()), shared.lists(sketch.ravel(), cuts * (SKETCH_BITS // 64), pa.int64()),
+                shared.lists(parity.ravel(), cuts * (PARITY_BITS // 64), pa.int64()),
             )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        sign, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
+        sign, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>, parity array<long>"
     )
 
 
@@ -123,24 +137,32 @@ def shingle_sets(docs: DataFrame, size: int = 4) -> DataFrame:
 
 
 def sketch_bound(similarity: float, deviations: float = 6.0) -> int:
-    """The most bits in which the sketches of two sets of this similarity differ, but for `deviations` of them."""
-    differ = SAMPLES * (1 - similarity) + deviations * math.sqrt(SAMPLES * similarity * (1 - similarity))
-    expected = SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * min(differ, SAMPLES)))
-    return math.ceil(expected + deviations * math.sqrt(expected / 2))
+    """The most bits in which the sketches of two sets of this similarity differ, but for `deviations` of the samples'
+    and the folding's chance together."""
+    flips = 2 * SAMPLES * (1 - similarity)
+    left = math.exp(-2 * flips / SKETCH_BITS)
+    chance = left**2 * 4 * SAMPLES * similarity * (1 - similarity) + SKETCH_BITS / 4 * (1 - left**2)
+    return math.ceil(SKETCH_BITS / 2 * (1 - left) + deviations * math.sqrt(chance))
 
 
 def _differing(a: str, b: str) -> F.Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose full sets have at least the asked similarity."""
-    ids = shared.saved(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "minhash-ids")
-    sets = shared.saved(shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), size), "minhash-sets")
-    left = pairs.join(sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a")), "u")
-    both = left.join(sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b")), "v")
-    common = F.size(F.array_intersect("a", "b"))
-    return both.where(100 * common >= percent * (F.size("a") + F.size("b") - common)).select("u", "v").distinct()
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sketches are near enough and whose full sets have at least the asked similarity."""
+    of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"a{x}"), F.size("shingles").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("parity").alias(f"p{x}"))
+    both = pairs.join(of("u"), "u").join(of("v"), "v").where(_near(percent))
+    common = F.size(F.array_intersect("au", "av"))
+    return both.where(100 * common >= percent * (F.col("nu") + F.col("nv") - common)).select("u", "v").distinct()
+
+
+def _near(percent: int) -> F.Column:
+    """Sizes and sketches that the asked similarity allows. Sets of that similarity differ in a fixed share of their sizes
+    at most, and their parities in no more bits: this bound loses nothing."""
+    sizes = (F.col("nu") * 100 >= F.col("nv") * percent) & (F.col("nv") * 100 >= F.col("nu") * percent)
+    parity = _differing("pu", "pv") * (100 + percent) <= (F.col("nu") + F.col("nv")) * (100 - percent)
+    return sizes & parity & (_differing("su", "sv") <= sketch_bound(percent / 100))
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFrame:
@@ -149,20 +171,20 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     sig = shared.saved(signatures(docs, size), "minhash-signatures")
     classes = shared.saved(
         sig.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles")
-        .agg(F.min("doc_id").alias("leader"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")),
+        .agg(F.min("doc_id").alias("leader"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("parity").alias("parity")),
         "minhash-classes",
     )
-    leaders = classes.where("leader is not null").select("leader", F.col("n_shingles").alias("n"), "sketch", "bands")
+    leaders = classes.where("leader is not null").select("leader", F.col("n_shingles").alias("n"), "sketch", "parity", "bands")
     entries = leaders.select(F.explode("bands").alias("key"), "leader")
     pivots = shared.saved(entries.groupBy("key").agg(F.min("leader").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("key", "pivot"), "minhash-pivots")
     members = shared.saved(entries.join(pivots, "key"), "minhash-members")
-    bound = sketch_bound(percent / 100)
-    light = leaders.select("leader", "n", "sketch")
-    near = (F.col("nu") * 100 >= F.col("nv") * percent) & (F.col("nv") * 100 >= F.col("nu") * percent) & (_differing("su", "sv") <= bound)
-    of = lambda x: light.select(F.col("leader").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-    stars = members.where("leader != pivot").select(F.col("pivot").alias("u"), F.col("leader").alias("v")).distinct()
-    stars = shared.saved(stars.join(of("u"), "u").join(of("v"), "v").where(near).select("u", "v"), "minhash-stars")
-    links = shared.saved(_verified(stars, docs, size, percent), "minhash-links")
+    light = leaders.select("leader", "n", "sketch", "parity")
+    ids = shared.saved(members.select(F.explode(F.array("leader", "pivot")).alias("doc_id")).distinct(), "minhash-ids")
+    sketches = light.select(F.col("leader").alias("doc_id"), "sketch", "parity")
+    sets = shingle_sets(docs.join(ids, "doc_id", "left_semi"), size).join(sketches, "doc_id")
+    sets = shared.saved(sets, "minhash-sets", release=True)
+    stars = shared.saved(members.where("leader != pivot").select(F.col("pivot").alias("u"), F.col("leader").alias("v")).distinct(), "minhash-stars")
+    links = shared.saved(_verified(stars, sets, percent), "minhash-links")
     found = shared.saved(components(links), "minhash-components")
 
     # members outside their pivot's component, against the other components of their bucket
@@ -171,13 +193,14 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     pivot = found.select(F.col("node").alias("pivot"), F.col("component").alias("c_pivot"))
     placed = members.join(named, "leader", "left").join(pivot, "pivot", "left").select("key", "leader", comp("leader").alias("c"), comp("pivot").alias("p"))
     placed = shared.saved(placed.join(light, "leader"), "minhash-placed")
-    side = lambda df, x, out: df.select("key", F.col("leader").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("c").alias(f"c{x}"), (F.col("c") != F.col("p")).alias(out))
+    side = lambda df, x, out: df.select("key", F.col("leader").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("parity").alias(f"p{x}"), F.col("c").alias(f"c{x}"), (F.col("c") != F.col("p")).alias(out))
     rest = side(placed.where("c != p"), "u", "outer_u").join(side(placed, "v", "outer_v"), "key")
-    rest = rest.where((F.col("cu") != F.col("cv")) & near & (~F.col("outer_v") | (F.col("u") < F.col("v")))).select("u", "v").distinct()
+    rest = rest.where((F.col("cu") != F.col("cv")) & _near(percent) & (~F.col("outer_v") | (F.col("u") < F.col("v")))).select("u", "v").distinct()
     rest = shared.saved(rest.join(stars.select("u", "v").unionAll(stars.select("v", "u")), ["u", "v"], "left_anti"), "minhash-rest")
     if not rest.isEmpty():
-        more = shared.saved(_verified(rest, docs, size, percent), "minhash-links")
-        found = shared.saved(components(links.unionAll(more)), "minhash-components")
+        more = _verified(rest, sets, percent)
+        stars = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        found = shared.saved(components(stars.unionAll(more)), "minhash-components")
 
     named = classes.select("set_a", "set_b", "n_shingles", "leader").join(
         found.select(F.col("node").alias("leader"), "component"), "leader", "left"
