@@ -161,9 +161,10 @@ def is_training(doc_id: Column, folds: int = 5) -> Column:
 
 
 def _sample(docs: DataFrame, per_language: int) -> DataFrame:
-    """About per_language texts of each language at most, by a hash of doc_id."""
+    """About per_language texts of each language at most, by a hash of doc_id. The counts are written first, so Spark
+    knows their size before it plans the join, and does not move the texts to the few tasks of the languages."""
     own = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & F.coalesce(is_training(F.col("doc_id")), F.lit(True)))
-    counts = own.groupBy("lang").count()
+    counts = shared.saved(own.groupBy("lang").count(), "langid-counts")
     point = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return own.join(counts, "lang").where(point * F.col("count") < per_language).select("lang", "text")
 
