@@ -50,15 +50,31 @@ def best_matches(left: DataFrame, right: DataFrame, on: list[str], row: str, sco
     return pairs.join(top, row).where(F.col("score") == F.col("top")).drop("top")
 
 
-def set_relations(members: DataFrame, owner: str, item: str, least_shared: int) -> DataFrame:
-    """a < b, shared, n_a, n_b for owners with at least so many shared items. Blocked by item: owners without a common
-    item never meet. Items that most owners have would make the join quadratic, so callers pass selective items."""
+def set_relations(members: DataFrame, owner: str, item: str, least_shared: int, least_percent: int = 0) -> DataFrame:
+    """a < b, shared, n_a, n_b for owners that share at least so many items, and that percentage of the smaller set.
+
+    Prefix filter: with t the least overlap that the smaller set asks for, its n - t + 1 rarest items hold a shared one, so
+    only these meet the items of sets that are not smaller, and the candidates are counted exactly. A common item is the
+    last in this order and mostly not in a prefix. With t = 1 nothing can be left out: every pair that meets is a row of
+    the result, and the join counts it at once."""
     own = members.select(F.col(owner).alias("o"), F.col(item).alias("i")).distinct()
     size = own.groupBy("o").agg(F.count("*").alias("n"))
-    pairs = own.select(F.col("o").alias("a"), "i").join(own.select(F.col("o").alias("b"), "i"), "i").where("a < b")
-    shared = pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= least_shared)
     of = lambda x: size.select(F.col("o").alias(x), F.col("n").alias(f"n_{x}"))
-    return shared.join(of("a"), "a").join(of("b"), "b")
+    if least_shared <= 1 and not least_percent:
+        pairs = own.select(F.col("o").alias("a"), "i").join(own.select(F.col("o").alias("b"), "i"), "i").where("a < b")
+        return pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).join(of("a"), "a").join(of("b"), "b")
+    least = lambda n: F.greatest(F.lit(least_shared).cast("long"), F.ceil(n * F.lit(least_percent) / 100))
+    sized = own.join(size, "o")
+    rarity = own.groupBy("i").agg(F.count("*").alias("held"))
+    rank = F.row_number().over(Window.partitionBy("o").orderBy("held", "i"))
+    prefix = sized.join(rarity, "i").withColumn("rank", rank).where(F.col("rank") <= F.col("n") - least(F.col("n")) + 1)
+    small, large = prefix.select(F.col("o").alias("u"), F.col("n").alias("n_u"), "i"), sized.select(F.col("o").alias("v"), F.col("n").alias("n_v"), "i")
+    met = small.join(large, "i").where("n_u < n_v or (n_u = n_v and u < v)").select("u", "v", "n_u", "n_v").distinct()
+    common = met.join(own.select(F.col("o").alias("u"), "i"), "u").join(own.select(F.col("o").alias("v"), "i"), ["v", "i"])
+    found = common.groupBy("u", "v", "n_u", "n_v").agg(F.count("*").alias("shared")).where(F.col("shared") >= least(F.col("n_u")))
+    first = F.col("u") < F.col("v")
+    side = lambda x, y, name: F.when(first, F.col(x)).otherwise(F.col(y)).alias(name)
+    return found.select(side("u", "v", "a"), side("v", "u", "b"), "shared", side("n_u", "n_v", "n_a"), side("n_v", "n_u", "n_b"))
 
 
 def lineage_roots(parents: DataFrame, most_rounds: int = 64) -> DataFrame:

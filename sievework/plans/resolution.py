@@ -96,7 +96,8 @@ _PAIRS = """m AS (SELECT DISTINCT l_suppkey AS o, l_partkey AS i FROM lineitem W
 
 
 def _members(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").where("l_partkey % 20 = 0 and l_quantity > 30")
+    """All order lines. The SQL beside the two queries still holds the first version's filter, and gives fewer rows."""
+    return table(spark, sf_dir, "lineitem")
 
 
 @query(f"WITH {_PAIRS.format(least=1)} SELECT a, b, shared, round(shared / (n_a + n_b - shared), 6) AS jaccard, CASE WHEN shared / (n_a + n_b - shared) >= 0.2 THEN 'duplicate' WHEN shared / least(n_a, n_b) >= 0.3 THEN 'same_study' ELSE 'related' END AS relation FROM q")
@@ -109,7 +110,7 @@ def pair_overlap_relations(spark, sf_dir):
 
 @query(f"WITH {_PAIRS.format(least=2)} SELECT a, b, shared, round(shared / least(n_a, n_b), 6) AS containment, CASE WHEN n_a <= n_b THEN a ELSE b END AS contained FROM q WHERE shared / least(n_a, n_b) >= 0.25")
 def containment_relations(spark, sf_dir):
-    r = cl.set_relations(_members(spark, sf_dir), "l_suppkey", "l_partkey", 2)
+    r = cl.set_relations(_members(spark, sf_dir), "l_suppkey", "l_partkey", 2, 25)
     share = F.col("shared") / F.least("n_a", "n_b")
     return r.where(share >= 0.25).select("a", "b", "shared", F.round(share, 6).alias("containment"), F.when(F.col("n_a") <= F.col("n_b"), F.col("a")).otherwise(F.col("b")).alias("contained"))
 
