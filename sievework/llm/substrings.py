@@ -1,18 +1,21 @@
-"""Removal of byte strings that an earlier document has as well, by prefix doubling over content-picked positions.
+"""Removal of byte strings that an earlier document has as well, by two comparisons at content-picked positions.
 
 Ranking every byte position of a corpus moves more than ten times the corpus in every round. So only the positions that a
 content rule picks are ranked: of every `LENGTH - GRAM + 1` neighbouring positions, that with the least hash of its next
 GRAM bytes. Every window of LENGTH bytes has exactly one such position, and equal windows have it in the same place, so
 nothing is lost and about one position in fourteen remains.
 
-Round 1 ranks these positions by their first GRAM bytes; Spark brings equal ones together, and positions whose rank only
+This takes the place of prefix doubling: no pairs of ranks are sorted and no offset grows; GRAM and LENGTH are the only
+lengths compared. Round 1 ranks these positions by their first GRAM bytes; Spark brings equal ones together, and positions whose rank only
 one document has are dropped. Where all positions of a rank have equal windows, the rank is settled: the windows of all
 but the least document are marked. Round 2 takes the pair of the other ranks and the bytes around them to the full
 LENGTH: for each remaining position its own windows are ranked, and a window is marked if the least doc_id of its rank is
 smaller than its own. Two independent 64-bit hashes have to agree before windows count as equal.
 
-Frequent strings: round 1 is a partial aggregate and a join that Spark may split; nothing gathers a rank's positions. In
-round 2 equal surroundings inside a task's block are resolved there, and only the first document's are sent on.
+Frequent strings: round 1 is a partial aggregate and a join that Spark may split. In round 2 equal surroundings inside a
+task's block are resolved there, and only the first document's are sent on. A rank of up to MOST positions is gathered by
+its key; a more frequent one is not: its windows' least documents are a partial aggregate by both hashes, joined back to
+the windows, which Spark may split. Settled positions are spread by their document.
 
 Defined results: null counts as the empty text. Texts shorter than LENGTH bytes have no windows. Rows without doc_id keep
 all bytes and remove none. Rows that repeat a doc_id do not remove each other's bytes; each is judged against smaller
@@ -32,6 +35,7 @@ from . import shared
 
 LENGTH = 50
 GRAM = 24
+MOST = 4096  # positions of a rank that one task may gather
 _PLACE = np.uint64((1 << 28) - 1)
 _HASH = ~_PLACE
 
@@ -86,15 +90,17 @@ def _positions(docs: DataFrame, with_block: bool) -> DataFrame:
     return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(pick, "key long, doc_id long" + ", block long" * with_block)
 
 
-def _repeated(docs: DataFrame) -> DataFrame:
-    """doc_id, whole, open: the ranks of round 1 that another document has as well. Where all positions of a rank have the
-    same windows, those of later documents are done (whole) and the first one's are of no more use; the rest is open."""
+def _repeated(docs: DataFrame, most: int = MOST) -> DataFrame:
+    """doc_id, whole, open, hot: the ranks of round 1 that another document has as well. Where all positions of a rank have the
+    same windows, those of later documents are done (whole) and the first one's are of no more use; the rest is open, or hot if it
+    has more positions than most."""
     ranks = _positions(docs, True).groupBy("key").agg(
-        F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.min("block").alias("low"), F.max("block").alias("high")
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.min("block").alias("low"), F.max("block").alias("high"), F.count("*").alias("n")
     )
-    ranks = shared.saved(ranks.where("least < most").select("key", "least", (F.col("low") != F.col("high")).alias("open")), "substrings-ranks", release=True)
-    met = _positions(docs, False).join(ranks, "key").where("open or least < doc_id")
-    keys = met.groupBy("doc_id").agg(F.collect_set(F.when(~F.col("open"), F.col("key"))).alias("whole"), F.collect_set(F.when(F.col("open"), F.col("key"))).alias("open"))
+    kind = F.when(F.col("low") == F.col("high"), "whole").when(F.col("n") <= most, "open").otherwise("hot")
+    ranks = shared.saved(ranks.where("least < most").select("key", "least", kind.alias("kind")), "substrings-ranks", release=True)
+    met = _positions(docs, False).join(ranks, "key").where("kind != 'whole' or least < doc_id")
+    keys = met.groupBy("doc_id").agg(*[F.collect_set(F.when(F.col("kind") == k, F.col("key"))).alias(k) for k in ("whole", "open", "hot")])
     return shared.saved(keys, "substrings-keys", release=True)
 
 
@@ -102,7 +108,7 @@ _SENT = "part int, doc_id long, row long, start int, windows int, around binary"
 
 
 def _surroundings(docs: DataFrame, repeated: DataFrame, parts: int) -> DataFrame:
-    """For each remaining position: part (by its key), doc_id, row, where its windows start, their number, and the bytes
+    """For each remaining position: part (by its key, or by its document if it has no bytes), doc_id, row, where its windows start, their number, and the bytes
     of all of them, or no bytes if a smaller document is known to have the same. row is 0 unless the table has the doc_id more than once, then a hash of the text."""
     schema = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("around", pa.binary())])
 
@@ -130,10 +136,11 @@ def _surroundings(docs: DataFrame, repeated: DataFrame, parts: int) -> DataFrame
             head[1:] = same[order][1:] != same[order][:-1]
             least = np.empty(len(order), np.int64)
             least[order] = ids[text][order][np.flatnonzero(head)][np.cumsum(head) - 1] if len(order) else least
-            done = (whole | (least < ids[text])).tolist()
+            settled = whole | (least < ids[text])
+            done = settled.tolist()
             raw = data.tobytes()
             around = [None if d else raw[b : e + LENGTH] for d, b, e in zip(done, lo.tolist(), hi.tolist())]
-            part = (shared.mixed(key) % shared.U64(parts)).astype(np.int32)
+            part = (shared.mixed(np.where(settled, ids[text].view(np.uint64), key)) % shared.U64(parts)).astype(np.int32)
             yield shared.columns_to_batch(schema, part, ids[text], names[text], (lo - offsets[:-1][text]).astype(np.int32), (hi - lo + 1).astype(np.int32), around)
 
     met = docs.join(repeated, "doc_id")
@@ -149,19 +156,10 @@ def _ranked(rows: pa.Table) -> pa.Table:
     n = here.column("windows").to_numpy()
     made = [pa.Table.from_arrays([here.column("doc_id"), here.column("row"), here.column("start"), pa.array(here.column("start").to_numpy() + n + np.int32(LENGTH - 1), pa.int32())], schema=schema)]
     if there.num_rows:
-        around = there.column("around").combine_chunks().cast(pa.large_binary())
-        offsets = np.frombuffer(around.buffers()[1], np.int64, len(around) + 1, around.offset * 8)
-        data = np.frombuffer(around.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-        n = there.column("windows").to_numpy().astype(np.int64)
         doc = there.column("doc_id").to_numpy()
-        row = np.repeat(np.arange(len(n)), n)
-        step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        at = (offsets[:-1] - offsets[0])[row] + step
-        one, two = shared.Hasher(10), shared.Hasher(11)
-        name = one.spans(one.prefix(data), at, at + LENGTH)
+        row, step, name, check = _windows(there)
         order = np.argsort(name, kind="stable")
-        check = two.spans(two.prefix(data), at, at + LENGTH)[order]
-        ranked = name[order]
+        ranked, check = name[order], check[order]
         head = np.ones(len(order), bool)
         head[1:] = (ranked[1:] != ranked[:-1]) | (check[1:] != check[:-1])
         least = np.minimum.reduceat(doc[row][order], np.flatnonzero(head))[np.cumsum(head) - 1]
@@ -180,12 +178,50 @@ def _ranked(rows: pa.Table) -> pa.Table:
     return pa.concat_tables(made)
 
 
-def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256; with keep_text also kept, the remaining bytes."""
+def _windows(rows: pa.Table) -> tuple[np.ndarray, ...]:
+    """For every window of rows with bytes: its row, its place there, and two hashes."""
+    around = rows.column("around").combine_chunks().cast(pa.large_binary())
+    offsets = np.frombuffer(around.buffers()[1], np.int64, len(around) + 1, around.offset * 8)
+    data = np.frombuffer(around.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    n = rows.column("windows").to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(len(n)), n)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    at = (offsets[:-1] - offsets[0])[row] + step
+    one, two = shared.Hasher(10), shared.Hasher(11)
+    return row, step, one.spans(one.prefix(data), at, at + LENGTH), two.spans(two.prefix(data), at, at + LENGTH)
+
+
+def _ranked_apart(sent: DataFrame) -> DataFrame:
+    """What _ranked gives, without gathering a rank: the least document of each window by a partial aggregate that is
+    joined back to the windows."""
+    schema = pa.schema([("one", pa.int64()), ("two", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int32())])
+
+    def explode(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 10_000):
+                rows = pa.Table.from_batches([batch.slice(at, 10_000)])
+                row, step, one, two = _windows(rows)
+                of = lambda c: rows.column(c).to_numpy()[row]  # noqa: E731, B023
+                yield shared.columns_to_batch(schema, one.view(np.int64), two.view(np.int64), of("doc_id"), of("row"), (of("start") + step).astype(np.int32))
+
+    end = lambda n: (F.col("start") + n + F.lit(LENGTH - 1)).cast("int").alias("end")
+    windows = sent.where("around is not null").mapInArrow(explode, "one long, two long, doc_id long, row long, start int")
+    least = windows.groupBy("one", "two").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
+    later = windows.join(least, ["one", "two"]).where("least < doc_id").select("doc_id", "row", "start", end(F.lit(1)))
+    return later.unionAll(sent.where("around is null").select("doc_id", "row", "start", end(F.col("windows"))))
+
+
+def remove_repeats(docs: DataFrame, keep_text: bool = False, most: int = MOST) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256; with keep_text also kept, the remaining bytes. Ranks of more than
+    most positions are not gathered in one task."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     parts = shared.parts_for(docs, 2 << 20)
-    sent = _surroundings(docs, _repeated(docs), parts)
+    repeated = _repeated(docs, most)
+    sent = _surroundings(docs, repeated, parts)
     marked = sent.groupBy("part").applyInArrow(_ranked, "doc_id long, row long, start int, end int")
+    hot = repeated.where(F.size("hot") > 0).select("doc_id", F.array().cast("array<bigint>").alias("whole"), F.col("hot").alias("open"))
+    if not hot.isEmpty():
+        marked = marked.unionAll(_ranked_apart(shared.saved(_surroundings(docs, hot, parts), "substrings-hot", release=True)))
     spans = marked.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end", "row"))).alias("spans"))
     spans = shared.saved(spans, "substrings-spans", release=True)
     fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]

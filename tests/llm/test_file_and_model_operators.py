@@ -204,6 +204,26 @@ def test_repeated_substrings(spark, odd, sf_dir, which):
     assert got == brute_substrings([(r.doc_id, r.text) for r in docs.collect()])
 
 
+def licensed(spark):
+    """A passage in all documents, with other neighbours in each: most of its ranks are open."""
+    line = "".join(chr(97 + (i * i * 5 + i // 3) % 26) for i in range(120))
+    rows = [(i, hashlib.sha256(b"%d" % i).hexdigest()[: 20 + i % 40] + line[i % 2 :] + hashlib.sha256(b"-%d" % (i % 50)).hexdigest()) for i in range(200)]
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+
+@pytest.mark.parametrize("which", ["tricky", "odd", "licensed"])
+def test_repeated_substrings_of_frequent_ranks(spark, odd, which):
+    docs = {"tricky": tricky(spark), "odd": odd, "licensed": licensed(spark)}[which]
+    got = sorted((tuple(r) for r in substrings.remove_repeats(docs, most=2).collect()), key=str)
+    assert got == brute_substrings([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_no_task_gathers_a_frequent_rank(spark):
+    docs = licensed(spark)
+    sent = substrings._surroundings(docs, substrings._repeated(docs, 20), 1 << 30).groupBy("part").count()
+    assert sent.agg({"count": "max"}).first()[0] <= 20
+
+
 def test_repeated_substrings_of_nothing(no_docs):
     assert substrings.remove_repeats(no_docs).count() == 0
 
