@@ -16,6 +16,7 @@ PAIRS = """WITH m AS (SELECT DISTINCT l_suppkey AS o, l_partkey AS i FROM lineit
 WHOLE = {
     "pair_overlap_relations": f"{PAIRS} SELECT a, b, shared, round(shared / (n_a + n_b - shared), 6) AS jaccard, CASE WHEN shared / (n_a + n_b - shared) >= 0.2 THEN 'duplicate' WHEN shared / least(n_a, n_b) >= 0.3 THEN 'same_study' ELSE 'related' END AS relation FROM q",
     "containment_relations": f"{PAIRS} SELECT a, b, shared, round(shared / least(n_a, n_b), 6) AS containment, CASE WHEN n_a <= n_b THEN a ELSE b END AS contained FROM q WHERE shared >= 2 AND shared / least(n_a, n_b) >= 0.25",
+    "nearby_values": "SELECT s_nationkey AS nation, s_suppkey, c_custkey FROM supplier JOIN customer ON s_nationkey = c_nationkey WHERE abs(s_acctbal - c_acctbal) <= 50",
 }
 
 
@@ -27,6 +28,13 @@ def test_whole_table(spark, sf_dir, name):
     assert plain(registry.queries()[name](spark, sf_dir).toPandas()) == plain(con.execute(WHOLE[name]).df())
 
 
+def test_nearby_values_over_a_bucket_edge(spark, tmp_path):
+    spark.createDataFrame([(1, 1, 499.0), (1, 2, -1.0), (2, 3, 499.0)], "s_nationkey long, s_suppkey long, s_acctbal double").write.parquet(str(tmp_path / "supplier.parquet"))
+    spark.createDataFrame([(1, 1, 501.0), (1, 2, 1.0), (1, 3, 560.0), (1, 4, 450.0)], "c_nationkey long, c_custkey long, c_acctbal double").write.parquet(str(tmp_path / "customer.parquet"))
+    got = registry.queries()["nearby_values"](spark, str(tmp_path)).collect()
+    assert sorted((r.s_suppkey, r.c_custkey) for r in got) == [(1, 1), (1, 4), (2, 2)]
+
+
 @pytest.mark.parametrize("least, percent", [(1, 0), (2, 0), (2, 25), (1, 60), (3, 100)])
 def test_set_relations(spark, least, percent):
     """Sets of many sizes with items that nearly all have, against all pairs."""
