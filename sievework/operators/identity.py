@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,12 +33,42 @@ def connected(links: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataFr
     return labels
 
 
-def component_key(labels: DataFrame, prefix: str = "component") -> DataFrame:
-    """component, n, key: a hash of its sorted members."""
-    groups = labels.groupBy("component").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set(F.col("node").cast("string"))), ",").alias("m"))
+def component_key(labels: DataFrame, prefix: str = "component", buckets: int = 4096) -> DataFrame:
+    """component, n, key: a hash of its members. Members are hashed in buckets by their own hash, each sorted, and then the
+    buckets' digests in order: no row holds more than a bucket of a component, or a digest for each bucket."""
+    node = F.col("node").cast("string")
+    rows = labels.groupBy("component", F.pmod(F.xxhash64(node), F.lit(buckets)).cast("int").alias("bucket")).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set(node)), ",").alias("m"))
+    digests = rows.select("component", "n", F.struct("bucket", F.sha2("m", 256).alias("digest")).alias("d"))
+    groups = digests.groupBy("component").agg(F.sum("n").alias("n"), F.array_join(F.array_sort(F.collect_list("d"))["digest"], ",").alias("m"))
     return groups.select("component", "n", F.concat(F.lit(f"{prefix}:"), F.substring(F.sha2("m", 256), 1, 24)).alias("key"))
 
 
+def ordered_digest(rows: DataFrame, group: str, item: str) -> DataFrame:
+    """group, fingerprint: SHA-256 of the sorted distinct items, joined by commas. The order is Spark's sort, which spills,
+    and the hash takes one Arrow batch after the other, so a large group costs time in one task but no memory."""
+    kind = dict(rows.dtypes)[group]
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        of, digest, out = None, None, []
+        for batch in batches:
+            for g, i in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if digest is None or g != of:
+                    if digest is not None:
+                        out.append((of, digest.hexdigest()))
+                    of, digest = g, hashlib.sha256(i.encode())
+                else:
+                    digest.update(b"," + i.encode())
+            if len(out) > 10_000:
+                yield made(out)
+                out = []
+        yield made(out + ([(of, digest.hexdigest())] if digest is not None else []))
+
+    keys = rows.sparkSession.createDataFrame([], f"k {kind}").toArrow().schema.field(0).type
+    made = lambda out: pa.RecordBatch.from_arrays([pa.array([g for g, _ in out], keys), pa.array([d for _, d in out], pa.string())], names=[group, "fingerprint"])
+    items = rows.select(group, item).distinct().repartition(group).sortWithinPartitions(group, item)
+    return items.mapInArrow(run, f"{group} {kind}, fingerprint string")
+
+
 def set_cover(rows: DataFrame, group: str, item: str, features: str, score: str, most: int) -> DataFrame:
     """For each group, items that add the most new features first (then score, then the smaller item), until nothing is
     new; the rest is filled by score. A group is the passages of one text."""

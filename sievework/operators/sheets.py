@@ -56,8 +56,8 @@ def without_failed_attempts(work: DataFrame, ledger: DataFrame, keys: list[str])
 
 def balance(items: DataFrame, group: str, item: str, size: str, shards: int) -> DataFrame:
     """Items of each group over shards, the largest first, each to the lightest shard; an unknown size counts as the
-    group's mean. The result depends on the order of all items of a group, so a group is one task; groups are as large as
-    one plan's list of files."""
+    group's mean. The result depends on the order of all items of a group, so the greedy
+    order is sequential: a group is one task, and has to fit it, whatever its size."""
     mean = items.groupBy(group).agg(F.avg(size).alias("mean"))
     sized = items.join(mean, group).select(group, item, F.coalesce(F.col(size).cast("double"), "mean", F.lit(0.0)).alias("w"))
     kinds = dict(sized.dtypes)

@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ascii_lower, flags, ladder, overlap_coefficient, tokens
+from ..operators.identity import ordered_digest
 from ..registry import query
 from ..sources.tables import table
 
@@ -133,8 +134,8 @@ def curation_delta(spark, sf_dir):
 @query("""WITH s AS (SELECT DISTINCT source, lang, md5(text) AS h FROM documents), l AS (SELECT source, string_agg(lang || ':' || h, ',' ORDER BY lang || ':' || h) AS j FROM s GROUP BY source) SELECT source, sha256(j) AS fingerprint FROM l""")
 def set_fingerprint(spark, sf_dir):
     """SHA-256 of each source's sorted distinct (lang, content) set."""
-    sets = table(spark, sf_dir, "documents").groupBy("source").agg(F.array_sort(F.collect_set(F.concat_ws(":", "lang", F.md5("text")))).alias("s"))
-    return sets.select("source", F.sha2(F.array_join("s", ","), 256).alias("fingerprint"))
+    sets = table(spark, sf_dir, "documents").select("source", F.concat_ws(":", "lang", F.md5("text")).alias("s"))
+    return ordered_digest(sets, "source", "s")
 
 
 @query("""WITH c AS (SELECT conv_id, turn, role, text, max(CASE WHEN role = 'user' THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS asked FROM conversations)

@@ -1,12 +1,13 @@
 """Queries over all rows of their tables, against SQL without filters or plain Python."""
 
+import hashlib
 import random
 
 import duckdb
 import pytest
 
 from sievework import registry
-from sievework.operators import claims
+from sievework.operators import claims, identity
 from sievework.sources import tables
 from tests.test_queries import plain
 
@@ -47,6 +48,24 @@ def test_set_relations(spark, least, percent):
     assert sorted((r.a, r.b, r.shared, r.n_a, r.n_b) for r in got) == sorted(want)
 
 
+def test_component_keys_are_hashed_in_buckets(spark):
+    labels = spark.createDataFrame([(i, 0) for i in range(3000)] + [(5000, 5000), (5001, 5000)], "node long, component long")
+    keys = lambda df, **k: {r.component: (r.n, r.key) for r in identity.component_key(df, **k).collect()}
+    got = keys(labels)
+    assert {c: n for c, (n, _) in got.items()} == {0: 3000, 5000: 2} and keys(labels.repartition(7, "node")) == got
+    assert keys(labels.where("node != 17"))[0][1] != got[0][1]
+    assert keys(labels, buckets=2)[0][1] != got[0][1]
+
+
+def test_a_fingerprint_gathers_no_set(spark):
+    rows = [(g, f"{i % 700}x") for g in ("a", "b", None) for i in range(1000)] + [("c", "")]
+    df = identity.ordered_digest(spark.createDataFrame(rows, "g string, i string").repartition(5), "g", "i")
+    of = lambda items: hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+    all_of = of({f"{i}x" for i in range(700)})
+    assert {r.g: r.fingerprint for r in df.collect()} == {"a": all_of, "b": all_of, None: all_of, "c": of([""])}
+    assert "collect_set" not in registry.queries()["set_fingerprint"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+
+
 def test_components_of_all_lines(spark, sf_dir):
     up = {}
 
