@@ -9,8 +9,10 @@ main text. Words are never compared with lists, so any language will do.
 Everything happens within a page, so pages are neither shuffled nor grouped; a task holds one Arrow batch.
 
 Defined results: null or empty html gives the empty text. Unclosed and stray tags are tolerated: an end tag closes what
-lies inside its element, one without a start is ignored. Text outside any element counts as a block. Repeated rows give
-one row each."""
+lies inside its element, one without a start is ignored. Script, style, title, textarea and comments run to the end of the
+page where nothing ends them. Other silent elements end at their own end tag; a start without one, and a self-closed svg
+or math, hides nothing. The head hides nothing but its silent elements, since its end tag may be missing. Text outside any
+element counts as a block. Repeated rows give one row each."""
 
 from __future__ import annotations
 
@@ -27,10 +29,12 @@ from pyspark.sql import functions as F
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td textarea tfoot th thead title tr ul button".split()
 )
-SILENT = "script|style|noscript|template|svg|math|iframe|object|canvas|head|title|select|textarea|button|audio|video"
+RAW = "script|style|title|textarea"
+SILENT = frozenset("noscript template svg math iframe object canvas select button audio video".split())
+FLAT = frozenset("button select iframe".split())  # never inside one of the same name: a second start leaves the first unclosed
 BOILERPLATE = frozenset("nav footer aside header form menu dialog fieldset".split())
 CONTENT = frozenset("article main".split())
-CONTAINERS = BLOCKS - frozenset("p hr h1 h2 h3 h4 h5 h6 dt dd li option td th tr tbody thead tfoot body html".split())
+CONTAINERS = BLOCKS - frozenset("p hr h1 h2 h3 h4 h5 h6 dt dd li option td th tr tbody thead tfoot body html head".split())
 ASIDE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|banner\w*|promo\w*|sponsor\w*|cookie\w*|consent|gdpr|notice\w*|alert|menu\w*|nav\w*|breadcrumb\w*|sidebar\w*|side|footer|foot|header|masthead|topbar|comment\w*|reply|replies|respond|disqus|share|sharing|social|related|recommended|subscribe|newsletter|signup|popup|modal|overlay|login|search|widget\w*|toolbar|pagination|pager|copyright|legal|skip|complementary|contentinfo)(?:$|[\s_-])",
     re.I,
@@ -38,7 +42,7 @@ ASIDE_NAMES = re.compile(
 CONTENT_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|post|entry|story|main|body|text)(?:$|[\s_-])", re.I)
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<silent>{SILENT})(?=[\s/>])(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>.*?(?:</(?P=silent)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*))>|<[!?/][^>]*>",
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*))>|<[!?/][^>]*>",
     re.I | re.S,
 )
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -131,6 +135,25 @@ def aside(attrs: str, names: str) -> bool:
     return bool((names and ASIDE_NAMES.search(names)) or (attrs and HIDDEN.search(attrs)))
 
 
+def silent_ends(tokens: list[re.Match]) -> dict[int, int]:
+    """Where each closed silent element ends, by its start."""
+    ends: dict[int, int] = {}
+    started: dict[str, list[int]] = {}
+    for m in tokens:
+        tag = (m["tag"] or "").lower()
+        if tag not in SILENT:
+            continue
+        begun = started.setdefault(tag, [])
+        if m["end"]:
+            if begun:
+                ends[begun.pop()] = m.end()
+        elif not (tag in ("svg", "math") and m["attrs"].endswith("/")):
+            if tag in FLAT:
+                begun.clear()
+            begun.append(m.start())
+    return ends
+
+
 def blocks_of(html: str) -> list[tuple]:
     """The text blocks in page order: zone, heading, item, words, linked words, text."""
     out: list[tuple] = []
@@ -153,14 +176,22 @@ def blocks_of(html: str) -> list[tuple]:
             if link:
                 linked.append(text)
 
-    for m in TOKEN.finditer(html):
+    tokens = list(TOKEN.finditer(html))
+    ends = silent_ends(tokens)
+    for m in tokens:
+        if m.start() < at:
+            continue  # inside a silent element
         put(html[at : m.start()])
         at = m.end()
         tag = m["tag"]
         if tag is None:
             continue
         tag = tag.lower()
-        if tag in BLOCKS:
+        if tag in SILENT and not m["end"]:
+            at = ends.get(m.start(), at)
+            if at == m.end() and tag in BLOCKS:
+                flush()
+        elif tag in BLOCKS:
             flush()
             if m["end"]:
                 if tag in CONTAINERS and any(t == tag for t, _ in stack):

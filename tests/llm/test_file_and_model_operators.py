@@ -243,6 +243,29 @@ def test_html(spark):
     assert htmltext.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+LONG = "This is the first long paragraph of the main text of a page."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>t</title><body><article><p>{LONG}</p></article>",
+        f"<head class=header><title>t</title><meta charset=x><article><p>{LONG}</p></article>",
+        f"<article><svg width='1'/><p>{LONG}</p></article>",
+        f"<article><svg width='1'/><p>{LONG}</p><svg><text>no</text></svg></article>",
+        f"<article><svg><text>no</text><svg>no</svg><text>no</text></svg><p>{LONG}</p></article>",
+        f"<article><math/><p>{LONG}</p><math><mi>no</mi></math></article>",
+        f"<article><object data=x><p>{LONG}</p><object>no</object></article>",
+        f"<article><iframe src=x><p>{LONG}</p></article>",
+        f"<article><button class=share><p>{LONG}</p><button>no</button></article>",
+        f"<article><p>{LONG}</p><script>no",
+        f"<article><p>{LONG}</p><!-- no",
+    ],
+)
+def test_html_without_end_tags(page):
+    assert [b[5] for b in htmltext.blocks_of(page)] == [LONG] and htmltext.blocks_of(page)[0][0] == 1
+
+
 def test_html_of_the_tables(spark, sf_dir):
     from html import unescape
 
