@@ -93,6 +93,18 @@ def test_piecewise_encoding(texts):
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])][: len(texts)] == want if texts else not len(ids)
 
 
+@pytest.mark.parametrize("text", ["<|endoftext|>", "one two<|endoftext|>three four", "one <|endoftext|> two", "a  <|endoftext|>  b", "<|endoftext|><|endoftext|> x", "<|endoftext |> a <| endoftext|>", "\n<|endoftext|>\n é <|endoftext|>é"])
+def test_added_tokens_in_a_text(text):
+    """As in plain use of the library, with a tokenizer of its own."""
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    data = np.frombuffer(text.encode(), np.uint8)
+    ids, counts = tokens.PieceEncoder(path).encode(data, np.array([0, len(data)]))
+    assert ids.tolist() == want and counts.tolist() == [len(want)]
+
+
 def test_language(spark, sf_dir, odd, no_docs):
     docs = shared.table(spark, sf_dir.replace("0.001", "0.01"), "documents")
     got = langid.identify(docs).join(docs.select("doc_id", "lang", "text"), "doc_id").collect()
