@@ -34,8 +34,8 @@ from . import files, shared
 MAGIC = b"SVTK"
 BLOCK_IDS = 4096
 TRAILER = struct.Struct("<4sIIxxxxqq")
-#: Distinct pieces that a worker remembers; the memory grows with none but this number.
-REMEMBERED = 300_000
+#: Distinct pieces that a worker remembers, about 20 bytes each; the memory grows with none but this number.
+REMEMBERED = 3_000_000
 #: Pieces that go to the tokenizer at a time.
 AT_A_TIME = 32_768
 
@@ -117,7 +117,8 @@ class Reader:
 
 
 class PieceEncoder:
-    """Encodes blocks of texts piece by piece. Remembers the ids of pieces by their 64-bit hash and length."""
+    """Encodes blocks of texts piece by piece. Remembers the ids of pieces by their 64-bit hash and length. Once there are
+    more than REMEMBERED, those that came up only once since the last time are forgotten."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -126,11 +127,17 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.hasher = shared.Hasher(5)
-        self._forget()
+        self.keys, self.firsts, self.counts, self.again = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
+        self.ids = np.zeros(0, np.uint16 if self.vocabulary <= 1 << 16 else np.uint32)
 
     def _forget(self) -> None:
-        self.keys, self.firsts, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint16 if self.vocabulary <= 1 << 16 else np.uint32)
+        keep = np.flatnonzero(self.again)
+        if len(keep) > REMEMBERED // 2:
+            keep = keep[:0]
+        counts = self.counts[keep].astype(np.int64)
+        firsts = np.cumsum(counts) - counts
+        self.ids = self.ids[np.repeat(self.firsts[keep] - firsts, counts) + np.arange(counts.sum())]
+        self.keys, self.firsts, self.counts, self.again = self.keys[keep], firsts, self.counts[keep], np.zeros(len(keep), bool)
 
     def _learn(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         raw, all_counts, all_ids = data.tobytes(), [], [self.ids]
@@ -143,7 +150,8 @@ class PieceEncoder:
         firsts = np.cumsum(counts) - counts + len(self.ids)
         self.ids = np.concatenate(all_ids)
         at = np.searchsorted(self.keys, keys)
-        self.keys, self.firsts, self.counts = np.insert(self.keys, at, keys), np.insert(self.firsts, at, firsts), np.insert(self.counts, at, counts)
+        self.keys, self.firsts = np.insert(self.keys, at, keys), np.insert(self.firsts, at, firsts)
+        self.counts, self.again = np.insert(self.counts, at, counts), np.insert(self.again, at, False)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids of each text."""
@@ -165,12 +173,13 @@ class PieceEncoder:
         known = np.zeros(len(unique), bool)
         inner = at < len(self.keys)
         known[inner] = self.keys[at[inner]] == unique[inner]
+        self.again[at[known]] = True
         new = np.flatnonzero(~known)
         if len(new):
             self._learn(unique[new], data, starts[first[new]], ends[first[new]])
             at = np.searchsorted(self.keys, unique)
         which = at[back]
-        counts = self.counts[which]
+        counts = self.counts[which].astype(np.int64)
         total = np.cumsum(counts)
         source = np.repeat(self.firsts[which] - (total - counts), counts) + np.arange(total[-1])
         bounds = np.searchsorted(starts, offsets)

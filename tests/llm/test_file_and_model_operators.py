@@ -93,6 +93,16 @@ def test_piecewise_encoding(texts):
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])][: len(texts)] == want if texts else not len(ids)
 
 
+def test_pieces_are_forgotten_by_use(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 40)
+    enc = tokens.PieceEncoder(queries.tokenizer_path())
+    for i in range(30):
+        text = " ".join(f"w{j}" for j in [1, 2, 3, *range(i * 9, i * 9 + 20)])
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids, _ = enc.encode(data, np.array([0, len(data)]))
+        assert ids.tolist() == plain_tokens([text])[0][:-1] and len(enc.keys) <= 80
+
+
 @pytest.mark.parametrize("text", ["<|endoftext|>", "one two<|endoftext|>three four", "one <|endoftext|> two", "a  <|endoftext|>  b", "<|endoftext|><|endoftext|> x", "<|endoftext |> a <| endoftext|>", "\n<|endoftext|>\n é <|endoftext|>é"])
 def test_added_tokens_in_a_text(text):
     """As in plain use of the library, with a tokenizer of its own."""
