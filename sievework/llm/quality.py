@@ -115,5 +115,8 @@ def quality_verdicts(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFr
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The documents that pass, with their own columns."""
-    return quality_verdicts(docs, rules).where("kept").select("doc.*")
+    """The documents that pass, with their own columns.
+
+    A filter on `kept` would be pushed below the measures and compute each of them once for every mention; a generator of
+    one row or none stays above them, so every text is measured once."""
+    return quality_verdicts(docs, rules).select(F.explode(F.when(F.col("kept"), F.array("doc"))).alias("doc")).select("doc.*")

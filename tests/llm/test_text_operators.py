@@ -101,6 +101,13 @@ def test_quality_runs_no_python(odd):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_quality_filter_measures_each_text_once(odd):
+    """The optimizer must not copy the measures into a filter below them."""
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    verdicts, kept = plan(quality.quality_verdicts(odd)), plan(quality.keep_good(odd))
+    assert all(kept.count(f) == verdicts.count(f) for f in ("split(", "xxhash64(", "regexp_replace("))
+
+
 def test_quality_keeps_columns_and_agrees_with_labels(spark, sf_dir, no_docs):
     docs = shared.table(spark, sf_dir.replace("0.001", "0.01"), "documents")
     kept = quality.keep_good(docs)
