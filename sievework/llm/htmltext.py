@@ -1,22 +1,26 @@
 """Main text of web pages: flat text blocks, judged by a decision tree.
 
 A page is cut into blocks at block elements. A block's features are its number of words and its link density, the same of
-the blocks before and after it, and what surrounds it: the zone that its nearest telling ancestor makes (content such as
-an article, or the rest of a page such as menus, footers, forms and adverts), heading or list item, and whether the page
-marks any content zone at all. A decision tree, grown from the small table of labelled blocks below, says which blocks are
-main text. Words are never compared with lists, so any language will do.
-
-Everything happens within a page, so pages are neither shuffled nor grouped; a task holds one Arrow batch.
-
-Defined results: null or empty html gives the empty text. Unclosed and stray tags are tolerated: an end tag closes what
-lies inside its element, one without a start is ignored. Script, style, title, textarea and comments run to the end of the
-page where nothing ends them. Other silent elements end at their own end tag; a start without one, and a self-closed svg
-or math, hides nothing. The head hides nothing but its silent elements, since its end tag may be missing. Text outside any
-element counts as a block. Repeated rows give one row each."""
+the blocks before and after it, and where it stands: its zone, whether it is a heading or a list item, and whether the
+page marks any content zone at all. The zone comes from the nearest telling ancestor: content (an article), the rest of a
+page (menus, footers, forms, adverts), or a header within content, which holds titles as well as bylines. A decision tree
+says which blocks are main text. It is grown from the blocks of the small labelled pages below; where a page has no telling
+elements, the sizes and link densities of the neighbours decide. The words of a text are never compared with lists.
+
+Everything happens within a page, so pages are neither shuffled nor grouped; a task holds one Arrow batch of whole pages,
+and works on one page at a time, in steps that are linear in its length.
+
+Defined results: null or empty html gives the empty text. An empty table gives no rows. Only page_id, url and html are
+read, so other columns may have any name. Repeated rows give one row each. Unclosed and stray tags are tolerated: an end
+tag closes what lies inside its element, one without a start is ignored. Script, style, title, textarea and comments run
+to the end of the page where nothing ends them. Other silent elements end at their own end tag; a start without one, and a
+self-closed svg, hides nothing. The head hides nothing but its silent elements, since its end tag may be missing. Text
+outside any element counts as a block."""
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -30,19 +34,26 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td textarea tfoot th thead title tr ul button".split()
 )
 RAW = "script|style|title|textarea"
-SILENT = frozenset("noscript template svg math iframe object canvas select button audio video".split())
+SILENT = frozenset("noscript template svg iframe object canvas select button audio video".split())
 FLAT = frozenset("button select iframe".split())  # never inside one of the same name: a second start leaves the first unclosed
-BOILERPLATE = frozenset("nav footer aside header form menu dialog fieldset".split())
+BOILERPLATE = frozenset("nav footer aside menu dialog fieldset".split())
 CONTENT = frozenset("article main".split())
 CONTAINERS = BLOCKS - frozenset("p hr h1 h2 h3 h4 h5 h6 dt dd li option td th tr tbody thead tfoot body html head".split())
-ASIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|banner\w*|promo\w*|sponsor\w*|cookie\w*|consent|gdpr|notice\w*|alert|menu\w*|nav\w*|breadcrumb\w*|sidebar\w*|side|footer|foot|header|masthead|topbar|comment\w*|reply|replies|respond|disqus|share|sharing|social|related|recommended|subscribe|newsletter|signup|popup|modal|overlay|login|search|widget\w*|toolbar|pagination|pager|copyright|legal|skip|complementary|contentinfo)(?:$|[\s_-])",
-    re.I,
+
+# Parts of class names, ids and roles that tell the zone of a container; the parts that tell it of a single
+# block as well; and first parts that only say what a container stands beside.
+ASIDE_PARTS = re.compile(
+    r"ads?|adv|advert\w*|adsense|banners?|promo\w*|sponsor\w*|cookies?|consent|gdpr|notices?|alert|menus?|nav\w*|breadcrumbs?|sidebars?|footer|masthead|topbar|comments?|reply|replies|respond|disqus|share|sharing|social|related|recommended|subscribe|newsletter|signup|popup|modal|overlay|login|search|widgets?|toolbar|pagination|pager|copyright|legal|skip|complementary|contentinfo"
 )
-CONTENT_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|post|entry|story|main|body|text)(?:$|[\s_-])", re.I)
+ADVERT_PARTS = re.compile(r"ads?|adv|advert\w*|adsense|promo\w*|sponsor\w*|cookies?|comments?|share|sharing|newsletter|subscribe")
+HEADER_PARTS = frozenset("header banner heading".split())
+CONTENT_PARTS = frozenset("article content post entry story main".split())
+BESIDE = frozenset("has with no without".split())
+
+OTHER, FORM, OPEN, TITLES, MAIN = -1.0, -2.0, 0.0, 0.5, 1.0  # zones; a form is other, but may wrap a whole page
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*))>|<[!?/][^>]*>",
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])(?>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>]*)(?P<attrs>(?>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*))>|<[!?/][^<>]*>",
     re.I | re.S,
 )
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -50,35 +61,57 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|disp
 
 FEATURES = ("zone", "marked", "heading", "item", "words", "links", "words_before", "links_before", "words_after", "links_after")
 
-# Labelled blocks of invented pages, page by page: zone (1 content, -1 other), heading, list item, words,
-# linked words, main text or not.
+# Labelled pages. +n stands for n words of main text, -n for n words of other text; both sit in the markup
+# that they would have. Pages with telling elements first, then pages of plain div and p elements, where the size and the
+# links of neighbours tell.
 LABELLED = """
-page
--1 0 1 1 1 0 | -1 0 1 1 1 0 | -1 0 1 2 2 0 | -1 0 0 8 0 0 | 1 1 0 9 0 1 | 1 0 0 40 0 1 | 1 0 0 1 0 1 | 1 0 0 120 2 1 | 1 0 0 3 0 1 | -1 0 0 14 0 0
-page
--1 0 0 20 0 0 | 1 1 0 4 0 1 | 1 0 0 6 0 1 | 1 0 1 7 0 1 | 1 0 1 5 0 1 | 1 0 1 2 2 1 | 1 0 0 88 12 1 | -1 0 0 60 0 0 | -1 0 0 45 3 0 | -1 0 0 2 2 0
-page
--1 1 0 3 0 0 | -1 0 1 2 2 0 | 1 0 0 200 0 1 | 1 0 0 12 0 1 | -1 0 0 35 30 0 | 1 0 0 50 1 1 | 1 0 0 2 0 1 | -1 0 0 9 0 0 | -1 0 0 100 0 0
-page
-0 0 0 2 2 0 | 0 0 0 3 3 0 | 0 1 0 6 0 1 | 0 0 0 40 0 1 | 0 0 0 60 3 1 | 0 0 0 9 0 1 | 0 0 0 35 0 1 | 0 0 0 4 0 0 | 0 0 0 5 4 0 | -1 0 0 12 1 0
-page
-0 0 1 1 1 0 | 0 0 1 2 2 0 | 0 0 1 1 1 0 | 0 1 0 5 0 1 | 0 0 0 25 0 1 | 0 0 0 80 5 1 | 0 0 0 30 0 1 | 0 0 0 3 3 0 | 0 0 0 20 18 0
-page
--1 0 0 5 0 0 | 0 0 0 4 0 0 | 1 1 0 7 7 1 | 1 0 0 15 0 1 | 1 0 0 33 0 1 | 0 0 0 22 0 0 | 0 0 0 70 0 0 | 0 0 1 2 2 0 | -1 0 0 6 0 0
-page
-0 0 0 3 1 0 | 0 0 0 15 0 1 | 0 0 0 22 0 1 | 0 0 0 50 0 1 | 0 0 0 2 0 0
+<header><p>-3</p></header><nav><ul><li><a>-1</a><li><a>-2</a><li><a>-1</a></ul></nav><div class=ad>-8</div><article><h1>+9</h1><p>+40<p>+1<p>+120<a>+2</a><p>+3</article><footer>-14</footer>
+<div class=cookie-notice>-20</div><main><h1>+4</h1><p>+6<ul><li>+7<li>+5<li><a>+2</a></ul><p>+88<a>+12</a></main><section id=comments><h3>-2</h3><article><p>-60<p>-45</article></section><footer><p><a>-2</a></footer>
+<header><h1>-3</h1></header><nav><a>-2</a></nav><article><header><h1>+7</h1><p>-5</header><p>+200<p>+12<aside><p>-35<a>-30</a></aside><p>+50<p>+2<form><p>-9</form></article><aside><p>-100</aside>
+<article><div class=entry-header><h2>+5</h2><p>-4</div><div class=entry-content><p>+30<h2>+3</h2><p>+25<p class=advert>-12<blockquote>+18</blockquote></div><div class=share><p>-3</div></article><div class=sidebar><h3>-2</h3><p>-40</div>
+<div><p>-5</div><article><h1><a>+7</a></h1><p>+15<p>+33</article><div><p>-22<p>-70</div><ul><li><a>-2</a></ul>
+<div class="content has-sidebar"><h1>+6</h1><p>+44<p>+20</div><div class=widget><p>-15</div><div><p>-4</div>
+<nav><a>-2</a></nav><article><h1>+1</h1><p>+3</article><footer>-5</footer>
+<nav><a>-9</a></nav><article><p><a>+4</a><p><a>+9</a><p><a>+2</a> +1<p>+2</article><footer>-30<a>-12</a></footer>
+<div class=menu><p>-25<p>-50</div><article><h1>+3</h1><p>+2<p>+1<p>+350<p>+2</article>
+<nav><ul><li>-1<li>-2<li>-3</ul></nav><main><h2>+2</h2><ul><li><a>+1</a><li><a>+3</a></ul><p>+150</main><div class=newsletter><p>-30</div>
+<header><p>-60</header><article><h1>+12</h1></article><article><h1>+10</h1><p>+4</article><footer><p>-80<p>-40</footer>
+<div class=breadcrumbs><a>-1</a> <a>-2</a></div><div class=post><p>+5<p><a>+5</a><p>+5</div><div class=related><p>-5<p>-45<p>-300</div>
+<article><p>+1</article><footer>-1</footer><aside><p>-1<p>-150</aside>
+<header><p>-2</header><div id=content><header><h2>+4</h2><p>-2</header><p>+6<p>+1</div><footer><p>-7</footer>
+<main><p>+2<p>+45<p>+4</main>
+<div>-40</div><article><header><h1>+11</h1><p>-8</header><p>+70</article><div>-25</div>
+<article><div class=post-header><h1>+8</h1><h2>+14</h2><p>-12</div><p>+20<p>+3</article><footer>-6</footer>
+<div class=article-heading><h1>+6</h1><p>-3</div><div class=article><p>+31<p>+18</div><p>-11
+<div><a>-1</a></div><div><a>-2</a></div><div><a>-3</a></div><h1>+6</h1><p>+40<p>+60<a>+3</a><p>+9<p>+35<p>+2<p>+50<p>-4<p><a>-4</a> -1
+<ul><li><a>-1</a><li><a>-2</a><li><a>-1</a></ul><h1>+5</h1><p>+25<p>+80<a>+5</a><h2>+3</h2><p>+30<ul><li>+6<li>+4<li>+8</ul><p>+20<p>-2<a>-3</a><p><a>-18</a> -2
+<h1>+4</h1><p>+12<p>+15
+<h1>+8</h1><p>+60<h2>+2</h2><p>+45<h2>+4</h2><p>+3<p>+70<p>+25
+<div>-3</div><div><a>-2</a> <a>-2</a> <a>-3</a></div><div>+15</div><div>+22</div><div>+5</div><div>+50</div><div>-3 <a>-4</a></div><div>-4</div>
+<h1><a>-2</a></h1><ul><li><a>-1</a><li><a>-1</a></ul><h2>+7</h2><p>+33<p>+41<h3>-2</h3><ul><li><a>-6</a><li><a>-7</a><li><a>-5</a></ul><p>-5
+<div>-2</div><div><a>-2</a></div><div>-3</div><div><a>-1</a></div><p>+28<p>+4<p>+31<div><a>-2</a></div><div>-3</div><div><a>-2</a></div>
+<p>+7
+<p>+50<p>+8
 """
+LONG = 30  # words from which on a block's length tells nothing more
+NUMBER = re.compile(r"([+-])(\d+)")
 
 
 class Tree:
-    """A decision tree of axis-parallel cuts by Gini impurity. Flat arrays: feature, cut, left, right, value."""
+    """A decision tree of axis-parallel cuts by information gain. Flat arrays: feature, cut, left, right, value. No leaf has
+    fewer labelled blocks than `least`."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 6):
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 8, least: int = 2):
+        self.least = least
         self.nodes: list[list[float]] = []
         self._grow(x, y, depth)
         self.table = np.array(self.nodes)
         self.depth = depth
 
+    @staticmethod
+    def _entropy(p: float) -> float:
+        return 0.0 if p in (0, 1) else float(-p * np.log2(p) - (1 - p) * np.log2(1 - p))
+
     def _grow(self, x: np.ndarray, y: np.ndarray, depth: int) -> int:
         at = len(self.nodes)
         self.nodes.append([-1, 0.0, at, at, float(y.mean())])
@@ -87,8 +120,9 @@ class Tree:
             values = np.unique(x[:, f])
             for cut in (values[:-1] + values[1:]) / 2:
                 low = x[:, f] <= cut
-                p, q = y[low].mean(), y[~low].mean()
-                loss = low.sum() * p * (1 - p) + (~low).sum() * q * (1 - q)
+                if min(low.sum(), (~low).sum()) < self.least:
+                    continue
+                loss = low.sum() * self._entropy(y[low].mean()) + (~low).sum() * self._entropy(y[~low].mean())
                 if best is None or loss < best[0] - 1e-12:
                     best = (loss, f, cut, low)
         if best is not None:
@@ -110,29 +144,51 @@ class Tree:
 def features(blocks: list[tuple]) -> np.ndarray:
     """One row for each block of a page; blocks: zone, heading, item, words, linked words."""
     b = np.array([x[:5] for x in blocks], float).reshape(-1, 5)
-    words, density = b[:, 3], b[:, 4] / np.maximum(b[:, 3], 1)
+    words, density = np.minimum(b[:, 3], LONG), b[:, 4] / np.maximum(b[:, 3], 1)
     around = np.zeros((len(b), 4))
     around[1:, 0], around[1:, 1] = words[:-1], density[:-1]
     around[:-1, 2], around[:-1, 3] = words[1:], density[1:]
-    marked = np.full(len(b), float((b[:, 0] == 1).any()))
+    marked = np.full(len(b), float((b[:, 0] > OPEN).any()))
     return np.column_stack((b[:, 0], marked, b[:, 1], b[:, 2], words, density, around))
 
 
 def train(table: str = LABELLED) -> Tree:
+    """The tree of the labelled pages. A page's blocks come from blocks_of, as those of any page do."""
     x, y = [], []
-    for page in table.split("page\n")[1:]:
-        rows = [tuple(map(int, r.split())) for r in page.replace("\n", " | ").split(" | ") if r.strip()]
-        x.append(features(rows))
-        y += [r[5] for r in rows]
+    for page in table.strip().splitlines():
+        blocks = blocks_of(NUMBER.sub(lambda m: " ".join([m[1]] * int(m[2])), page))
+        x.append(features(blocks))
+        y += [b[5].startswith("+") for b in blocks]
     return Tree(np.vstack(x), np.array(y, float))
 
 
-def names_in(attrs: str) -> str:
-    return " ".join(x[0] or x[1] or x[2] for x in NAMED.findall(attrs)) if attrs else ""
+def names_in(attrs: str) -> list[list[str]]:
+    """The class names, ids and roles of an element, each as its parts."""
+    names = " ".join(x[0] or x[1] or x[2] for x in NAMED.findall(attrs)).lower().split() if attrs else []
+    return [[p for p in re.split(r"[_-]+", n) if p] for n in names]
+
+
+def zone_of(tag: str, attrs: str, zone: float) -> float:
+    """The zone inside a container that stands in `zone`."""
+    names = [n for n in names_in(attrs) if n and n[0] not in BESIDE]
+    content = any(p in CONTENT_PARTS for n in names for p in n)
+    header = tag == "header" or any(p in HEADER_PARTS for n in names for p in n)
+    if tag in BOILERPLATE or (attrs and HIDDEN.search(attrs)):
+        return OTHER
+    if header and (zone > OPEN or content) and zone >= OPEN:
+        return TITLES
+    if header or any(ASIDE_PARTS.fullmatch(p) for n in names for p in n):
+        return OTHER
+    if tag == "form":
+        return FORM if zone in (OPEN, FORM) else OTHER
+    if tag == "main" or (zone in (OPEN, FORM) and (tag in CONTENT or content)):
+        return MAIN  # an article inside the rest of a page, such as a comment, stays there
+    return zone
 
 
-def aside(attrs: str, names: str) -> bool:
-    return bool((names and ASIDE_NAMES.search(names)) or (attrs and HIDDEN.search(attrs)))
+def apart(attrs: str) -> bool:
+    """Whether a single block's own attributes set it apart from its surroundings."""
+    return bool(attrs) and bool(HIDDEN.search(attrs) or any(n and n[0] not in BESIDE and any(ADVERT_PARTS.fullmatch(p) for p in n) for n in names_in(attrs)))
 
 
 def silent_ends(tokens: list[re.Match]) -> dict[int, int]:
@@ -147,7 +203,7 @@ def silent_ends(tokens: list[re.Match]) -> dict[int, int]:
         if m["end"]:
             if begun:
                 ends[begun.pop()] = m.end()
-        elif not (tag in ("svg", "math") and m["attrs"].endswith("/")):
+        elif not (tag == "svg" and m["attrs"].endswith("/")):
             if tag in FLAT:
                 begun.clear()
             begun.append(m.start())
@@ -157,16 +213,17 @@ def silent_ends(tokens: list[re.Match]) -> dict[int, int]:
 def blocks_of(html: str) -> list[tuple]:
     """The text blocks in page order: zone, heading, item, words, linked words, text."""
     out: list[tuple] = []
-    stack: list[tuple[str, int]] = []  # open containers, and the zone in each
+    stack: list[tuple[str, float]] = []  # open containers, and the zone in each
+    open_tags: Counter = Counter()
     parts: list[str] = []
     linked: list[str] = []
-    zone, link, heading, item, at, apart = 0, 0, 0, 0, 0, False
+    zone, link, heading, item, at, alone = OPEN, 0, 0, 0, 0, False
 
     def flush() -> None:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                out.append((-1 if apart else zone, heading, item, text.count(" ") + 1, len(unescape("".join(linked)).split()), text))
+                out.append((OTHER if alone or zone == FORM else zone, heading, item, text.count(" ") + 1, len(unescape("".join(linked)).split()), text))
             parts.clear()
             linked.clear()
 
@@ -194,20 +251,19 @@ def blocks_of(html: str) -> list[tuple]:
         elif tag in BLOCKS:
             flush()
             if m["end"]:
-                if tag in CONTAINERS and any(t == tag for t, _ in stack):
-                    while stack.pop()[0] != tag:
-                        pass
-                    zone = stack[-1][1] if stack else 0
+                if tag in CONTAINERS and open_tags[tag]:
+                    while True:
+                        inner = stack.pop()[0]
+                        open_tags[inner] -= 1
+                        if inner == tag:
+                            break
+                    zone = stack[-1][1] if stack else OPEN
                     link = 0
             elif tag in CONTAINERS and not m["attrs"].endswith("/"):
-                attrs = m["attrs"]
-                names = names_in(attrs)
-                if tag in BOILERPLATE or aside(attrs, names):
-                    zone = -1
-                elif tag == "main" or (zone == 0 and (tag in CONTENT or (names and CONTENT_NAMES.search(names)))):
-                    zone = 1  # an article inside the rest of a page, such as a comment, stays there
+                zone = zone_of(tag, m["attrs"], zone)
                 stack.append((tag, zone))
-            apart = not m["end"] and tag not in CONTAINERS and bool(m["attrs"]) and aside(m["attrs"], names_in(m["attrs"]))
+                open_tags[tag] += 1
+            alone = not m["end"] and tag not in CONTAINERS and apart(m["attrs"])
             heading = int(not m["end"] and len(tag) == 2 and tag[0] == "h" and tag[1].isdigit())
             item = int(not m["end"] and tag in ("li", "dt", "dd"))
         elif tag == "a":
