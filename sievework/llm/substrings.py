@@ -14,10 +14,11 @@ smaller than its own. Two independent 64-bit hashes have to agree before windows
 
 Frequent strings: round 1 is a partial aggregate and a join that Spark may split. In round 2 equal surroundings inside a
 task's block are resolved there, and only the first document's are sent on. A rank of up to MOST positions is gathered by
-its key; a more frequent one is not: its windows' least documents are a partial aggregate by both hashes, joined back to
-the windows, which Spark may split. Settled positions are spread by their document.
+its key. A more frequent one is not: equal surroundings are one row of a partial aggregate, whose windows are compared by
+a second one, and the answer goes back to all positions by a join that Spark may split. Settled positions are not moved.
 
-Defined results: null counts as the empty text. Texts shorter than LENGTH bytes have no windows. Rows without doc_id keep
+Defined results: an empty table gives no rows. Only doc_id and text are read, so other columns may have any name. Texts
+may have up to 2 GB, as Spark's strings do. null counts as the empty text. Texts shorter than LENGTH bytes have no windows. Rows without doc_id keep
 all bytes and remove none. Rows that repeat a doc_id do not remove each other's bytes; each is judged against smaller
 ones. Repeats within one document stay."""
 
@@ -35,7 +36,7 @@ from . import shared
 
 LENGTH = 50
 GRAM = 24
-MOST = 4096  # positions of a rank that one task may gather
+MOST = 64  # positions of a rank that one task may gather
 _PLACE = np.uint64((1 << 28) - 1)
 _HASH = ~_PLACE
 
@@ -104,13 +105,16 @@ def _repeated(docs: DataFrame, most: int = MOST) -> DataFrame:
     return shared.saved(keys, "substrings-keys", release=True)
 
 
-_SENT = "part int, doc_id long, row long, start int, windows int, around binary"
+_SENT = "part int, doc_id long, row long, start int, windows int, around binary, hot boolean"
 
 
 def _surroundings(docs: DataFrame, repeated: DataFrame, parts: int) -> DataFrame:
-    """For each remaining position: part (by its key, or by its document if it has no bytes), doc_id, row, where its windows start, their number, and the bytes
-    of all of them, or no bytes if a smaller document is known to have the same. row is 0 unless the table has the doc_id more than once, then a hash of the text."""
-    schema = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("around", pa.binary())])
+    """For each remaining position: part (by its key), doc_id, row, where its windows start, their number, the bytes of all
+    of them, or no bytes if a smaller document is known to have the same, and whether its rank is a frequent one. row is 0
+    unless the table has the doc_id more than once, then a hash of the text."""
+    schema = pa.schema(
+        [("part", pa.int32()), ("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("around", pa.binary()), ("hot", pa.bool_())]
+    )
 
     def surround(batches):
         hasher = shared.Hasher(9)
@@ -121,13 +125,12 @@ def _surroundings(docs: DataFrame, repeated: DataFrame, parts: int) -> DataFrame
                 continue
             pair = lambda k, t: shared.mixed(k + t.astype(np.uint64) * shared.U64(0x9E3779B97F4A7C15))
             wanted = []
-            for name in ("whole", "open"):
+            for name in ("whole", "open", "hot"):
                 lists = rows.column(name)
                 flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
                 wanted.append(np.isin(pair(key, text), pair(flat, np.repeat(np.arange(rows.num_rows), np.diff(lists.offsets.to_numpy())))))
-            whole = wanted[0]
-            keep = np.flatnonzero(whole | wanted[1])
-            text, key, lo, hi, whole = text[keep], key[keep], lo[keep], hi[keep], whole[keep]
+            keep = np.flatnonzero(wanted[0] | wanted[1] | wanted[2])
+            text, key, lo, hi, whole, hot = text[keep], key[keep], lo[keep], hi[keep], wanted[0][keep], wanted[2][keep]
             ids, names = rows.column("doc_id").to_numpy(zero_copy_only=False), rows.column("row").to_numpy(zero_copy_only=False)
             # equal surroundings in this block: only the least document's go on
             same = hasher.spans(sums, lo, hi + LENGTH)
@@ -140,8 +143,8 @@ def _surroundings(docs: DataFrame, repeated: DataFrame, parts: int) -> DataFrame
             done = settled.tolist()
             raw = data.tobytes()
             around = [None if d else raw[b : e + LENGTH] for d, b, e in zip(done, lo.tolist(), hi.tolist())]
-            part = (shared.mixed(np.where(settled, ids[text].view(np.uint64), key)) % shared.U64(parts)).astype(np.int32)
-            yield shared.columns_to_batch(schema, part, ids[text], names[text], (lo - offsets[:-1][text]).astype(np.int32), (hi - lo + 1).astype(np.int32), around)
+            part = (shared.mixed(key) % shared.U64(parts)).astype(np.int32)
+            yield shared.columns_to_batch(schema, part, ids[text], names[text], (lo - offsets[:-1][text]).astype(np.int32), (hi - lo + 1).astype(np.int32), around, hot)
 
     met = docs.join(repeated, "doc_id")
     rows = F.count("*").over(Window.partitionBy("doc_id"))
@@ -151,10 +154,8 @@ def _surroundings(docs: DataFrame, repeated: DataFrame, parts: int) -> DataFrame
 def _ranked(rows: pa.Table) -> pa.Table:
     """doc_id, row, start, end of the byte stretches of a part whose windows a smaller document has."""
     schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
-    there = rows.filter(pa.compute.is_valid(rows.column("around"))).combine_chunks()
-    here = rows.filter(pa.compute.is_null(rows.column("around"))).combine_chunks()
-    n = here.column("windows").to_numpy()
-    made = [pa.Table.from_arrays([here.column("doc_id"), here.column("row"), here.column("start"), pa.array(here.column("start").to_numpy() + n + np.int32(LENGTH - 1), pa.int32())], schema=schema)]
+    there = rows.combine_chunks()
+    made = [schema.empty_table()]
     if there.num_rows:
         doc = there.column("doc_id").to_numpy()
         row, step, name, check = _windows(there)
@@ -192,9 +193,22 @@ def _windows(rows: pa.Table) -> tuple[np.ndarray, ...]:
 
 
 def _ranked_apart(sent: DataFrame) -> DataFrame:
-    """What _ranked gives, without gathering a rank: the least document of each window by a partial aggregate that is
-    joined back to the windows."""
-    schema = pa.schema([("one", pa.int64()), ("two", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int32())])
+    """What _ranked gives, without gathering a rank. Positions with equal surroundings share a name of 128 bits: all but
+    those of their least document are covered. The windows of each distinct surroundings stand for that document; the least
+    document of equal windows is a partial aggregate too."""
+    parts = [("a", pa.int64()), ("b", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("around", pa.binary())]
+    named_schema = pa.schema(parts)
+    window_schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("least", pa.int64()), ("step", pa.int32()), ("one", pa.int64()), ("two", pa.int64())])
+
+    def name(batches):
+        one, two = shared.Hasher(10), shared.Hasher(11)
+        for batch in batches:
+            around = batch.column("around").cast(pa.large_binary())
+            offsets = np.frombuffer(around.buffers()[1], np.int64, len(around) + 1, around.offset * 8)
+            data = np.frombuffer(around.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+            at = offsets - offsets[0]
+            names = [h.spans(h.prefix(data), at[:-1], at[1:]).view(np.int64) for h in (one, two)]
+            yield shared.columns_to_batch(named_schema, *names, *[batch.column(c) for c in ("doc_id", "row", "start", "windows", "around")])
 
     def explode(batches):
         for batch in batches:
@@ -202,26 +216,55 @@ def _ranked_apart(sent: DataFrame) -> DataFrame:
                 rows = pa.Table.from_batches([batch.slice(at, 10_000)])
                 row, step, one, two = _windows(rows)
                 of = lambda c: rows.column(c).to_numpy()[row]  # noqa: E731, B023
-                yield shared.columns_to_batch(schema, one.view(np.int64), two.view(np.int64), of("doc_id"), of("row"), (of("start") + step).astype(np.int32))
-
-    end = lambda n: (F.col("start") + n + F.lit(LENGTH - 1)).cast("int").alias("end")
-    windows = sent.where("around is not null").mapInArrow(explode, "one long, two long, doc_id long, row long, start int")
-    least = windows.groupBy("one", "two").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-    later = windows.join(least, ["one", "two"]).where("least < doc_id").select("doc_id", "row", "start", end(F.lit(1)))
-    return later.unionAll(sent.where("around is null").select("doc_id", "row", "start", end(F.col("windows"))))
+                yield shared.columns_to_batch(window_schema, of("a"), of("b"), of("least"), step.astype(np.int32), one.view(np.int64), two.view(np.int64))
+
+    named = sent.mapInArrow(name, "a long, b long, doc_id long, row long, start int, windows int, around binary")
+    blocks = named.groupBy("a", "b").agg(F.min("doc_id").alias("least"), F.first("windows").alias("windows"), F.first("around").alias("around"))
+    windows = shared.saved(blocks, "substrings-blocks", release=True).mapInArrow(explode, "a long, b long, least long, step int, one long, two long")
+    windows = shared.saved(windows, "substrings-windows", release=True)
+    first = windows.groupBy("one", "two").agg(F.min("least").alias("first"), F.max("least").alias("last")).where("first < last").drop("last")
+    bit = F.call_function("shiftleft", F.lit(1), F.col("step"))
+    marks = windows.join(first, ["one", "two"]).groupBy("a", "b").agg(F.min("least").alias("least"), F.bit_or(F.when(F.col("first") < F.col("least"), bit).otherwise(F.lit(0))).alias("mask"))
+    least = windows.groupBy("a", "b").agg(F.min("least").alias("least")).join(marks.drop("least"), ["a", "b"], "left")
+    placed = named.select("a", "b", "doc_id", "row", "start", "windows").join(shared.saved(least, "substrings-marks", release=True), ["a", "b"])
+    end = lambda at, n: (at + n + F.lit(LENGTH - 1)).cast("int").alias("end")
+    later = placed.where("least < doc_id").select("doc_id", "row", "start", end(F.col("start"), F.col("windows")))
+    steps = F.filter(F.sequence(F.lit(0), F.col("windows") - 1), lambda i: F.call_function("getbit", F.col("mask").cast("long"), i) == 1)
+    own = placed.where("least = doc_id and mask <> 0").select("doc_id", "row", "start", F.explode(steps).alias("step"))
+    own = own.select("doc_id", "row", (F.col("start") + F.col("step")).cast("int").alias("start"))
+    return later.unionAll(own.select("doc_id", "row", "start", end(F.col("start"), F.lit(1))))
+
+
+def _runs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each row's maximal removed stretches, and each row's first stretch plus the end."""
+    spans = batch.column("spans")
+    flat = spans.flatten()
+    counts = pa.compute.list_value_length(spans).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    of = np.repeat(np.arange(batch.num_rows), counts)
+    start, end, row = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("start", "end", "row"))
+    mine = (row == 0) | (row == batch.column("row").to_numpy(zero_copy_only=False)[of])
+    of, start, end = of[mine], start[mine], end[mine]
+    if not len(of):
+        return start, end, np.zeros(batch.num_rows + 1, np.int64)
+    reach = np.maximum.accumulate((of << 32) + end) - (of << 32)  # spans are sorted by start within their row
+    head = np.ones(len(of), bool)
+    head[1:] = (of[1:] != of[:-1]) | (start[1:] > reach[:-1])
+    heads = np.flatnonzero(head)
+    lasts = np.append(heads[1:], len(of)) - 1
+    return start[heads], reach[lasts], np.searchsorted(of[heads], np.arange(batch.num_rows + 1))
 
 
 def remove_repeats(docs: DataFrame, keep_text: bool = False, most: int = MOST) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256; with keep_text also kept, the remaining bytes. Ranks of more than
-    most positions are not gathered in one task."""
+    most positions are not gathered in one task; both ways give the same rows."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     parts = shared.parts_for(docs, 2 << 20)
     repeated = _repeated(docs, most)
-    sent = _surroundings(docs, repeated, parts)
-    marked = sent.groupBy("part").applyInArrow(_ranked, "doc_id long, row long, start int, end int")
-    hot = repeated.where(F.size("hot") > 0).select("doc_id", F.array().cast("array<bigint>").alias("whole"), F.col("hot").alias("open"))
-    if not hot.isEmpty():
-        marked = marked.unionAll(_ranked_apart(shared.saved(_surroundings(docs, hot, parts), "substrings-hot", release=True)))
+    sent = shared.saved(_surroundings(docs, repeated, parts), "substrings-sent", release=True)
+    settled = sent.where("around is null").select("doc_id", "row", "start", (F.col("start") + F.col("windows") + F.lit(LENGTH - 1)).alias("end"))
+    there = sent.where("around is not null")
+    marked = there.where("not hot").groupBy("part").applyInArrow(_ranked, "doc_id long, row long, start int, end int")
+    marked = settled.unionAll(marked).unionAll(_ranked_apart(there.where("hot")))
     spans = marked.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end", "row"))).alias("spans"))
     spans = shared.saved(spans, "substrings-spans", release=True)
     fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
@@ -230,21 +273,13 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False, most: int = MOST) -
 
     def cut(batches):
         for batch in batches:
-            rows = []
-            for text, spans, name in zip(batch.column("text"), batch.column("spans").to_pylist(), batch.column("row").to_pylist()):
-                own = [s for s in spans or () if s["row"] in (0, name)]
-                raw = text.as_py().encode()
-                kept, runs, at = [], 0, 0
-                for s in own:
-                    if s["start"] > at or not runs:
-                        kept.append(raw[at : s["start"]])
-                        runs += 1
-                        at = s["end"]
-                    else:
-                        at = max(at, s["end"])
-                kept.append(raw[at:])
-                left = b"".join(kept)
-                rows.append((len(raw), len(raw) - len(left), runs, hashlib.sha256(left).hexdigest(), left))
+            begins, finishes, first = _runs(batch)
+            texts, rows = batch.column("text").cast(pa.large_binary()), []
+            for i, (lo, hi) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
+                raw = texts[i].as_py()
+                edges = [0, *(x for be in zip(begins[lo:hi].tolist(), finishes[lo:hi].tolist()) for x in be), len(raw)]
+                left = b"".join([raw[b:e] for b, e in zip(edges[::2], edges[1::2])]) if hi > lo else raw
+                rows.append((len(raw), len(raw) - len(left), hi - lo, hashlib.sha256(left).hexdigest(), left))
             made = list(zip(*rows)) if rows else [[]] * 5
             yield shared.columns_to_batch(schema, batch.column("doc_id"), *made[: len(fields) - 1])
 
