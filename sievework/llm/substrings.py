@@ -29,7 +29,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
@@ -37,6 +37,7 @@ from . import shared
 LENGTH = 50
 GRAM = 24
 MOST = 64  # positions of a rank that one task may gather
+WHOLE, OPEN, HOT = 1, 2, 3  # kinds of ranks, in the last two bits of a key
 _PLACE = np.uint64((1 << 28) - 1)
 _HASH = ~_PLACE
 
@@ -92,17 +93,17 @@ def _positions(docs: DataFrame, with_block: bool) -> DataFrame:
 
 
 def _repeated(docs: DataFrame, most: int = MOST) -> DataFrame:
-    """doc_id, whole, open, hot: the ranks of round 1 that another document has as well. Where all positions of a rank have the
-    same windows, those of later documents are done (whole) and the first one's are of no more use; the rest is open, or hot if it
-    has more positions than most."""
+    """doc_id, keys: the ranks of round 1 that another document has as well, the kind of each in the last two bits. Where
+    all positions of a rank have the same windows, those of later documents are done (whole) and the first one's are of no
+    more use; the rest is open, or hot if it has more positions than most."""
     ranks = _positions(docs, True).groupBy("key").agg(
         F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.min("block").alias("low"), F.max("block").alias("high"), F.count("*").alias("n")
     )
     kind = F.when(F.col("low") == F.col("high"), "whole").when(F.col("n") <= most, "open").otherwise("hot")
     ranks = shared.saved(ranks.where("least < most").select("key", "least", kind.alias("kind")), "substrings-ranks", release=True)
     met = _positions(docs, False).join(ranks, "key").where("kind != 'whole' or least < doc_id")
-    keys = met.groupBy("doc_id").agg(*[F.collect_set(F.when(F.col("kind") == k, F.col("key"))).alias(k) for k in ("whole", "open", "hot")])
-    return shared.saved(keys, "substrings-keys", release=True)
+    named = F.col("key").bitwiseAND(F.lit(~3)) + F.when(F.col("kind") == "whole", WHOLE).when(F.col("kind") == "open", OPEN).otherwise(HOT)
+    return shared.saved(met.groupBy("doc_id").agg(F.collect_list(named).alias("keys")), "substrings-keys", release=True)
 
 
 _SENT = "part int, doc_id long, row long, start int, windows int, around binary, hot boolean"
@@ -123,14 +124,17 @@ def _surroundings(docs: DataFrame, repeated: DataFrame, parts: int) -> DataFrame
             text, place, key, lo, hi = picked(hasher, sums, offsets)
             if not len(text):
                 continue
-            pair = lambda k, t: shared.mixed(k + t.astype(np.uint64) * shared.U64(0x9E3779B97F4A7C15))
-            wanted = []
-            for name in ("whole", "open", "hot"):
-                lists = rows.column(name)
-                flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-                wanted.append(np.isin(pair(key, text), pair(flat, np.repeat(np.arange(rows.num_rows), np.diff(lists.offsets.to_numpy())))))
-            keep = np.flatnonzero(wanted[0] | wanted[1] | wanted[2])
-            text, key, lo, hi, whole, hot = text[keep], key[keep], lo[keep], hi[keep], wanted[0][keep], wanted[2][keep]
+            pair = lambda k, t: shared.mixed((k >> shared.U64(2)) + t.astype(np.uint64) * shared.U64(0x9E3779B97F4A7C15))
+            lists = rows.column("keys")
+            flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            known, at = np.unique(pair(flat, np.repeat(np.arange(rows.num_rows), np.diff(lists.offsets.to_numpy()))), return_index=True)
+            kinds = (flat[at] & shared.U64(3)).astype(np.int64)
+            asked = pair(key, text)
+            at = np.searchsorted(known, asked)
+            at[at == len(known)] = 0
+            kind = np.where(known[at] == asked, kinds[at], 0)
+            keep = np.flatnonzero(kind)
+            text, key, lo, hi, whole, hot = text[keep], key[keep], lo[keep], hi[keep], kind[keep] == WHOLE, kind[keep] == HOT
             ids, names = rows.column("doc_id").to_numpy(zero_copy_only=False), rows.column("row").to_numpy(zero_copy_only=False)
             # equal surroundings in this block: only the least document's go on
             same = hasher.spans(sums, lo, hi + LENGTH)
@@ -140,15 +144,22 @@ def _surroundings(docs: DataFrame, repeated: DataFrame, parts: int) -> DataFrame
             least = np.empty(len(order), np.int64)
             least[order] = ids[text][order][np.flatnonzero(head)][np.cumsum(head) - 1] if len(order) else least
             settled = whole | (least < ids[text])
-            done = settled.tolist()
+            # settled stretches of a text that touch make one row
+            head = np.ones(len(text), bool)
+            head[1:] = ~(settled[1:] & settled[:-1] & (text[1:] == text[:-1]) & (lo[1:] <= hi[:-1] + LENGTH))
+            first = np.flatnonzero(head)
+            if len(first) < len(text):
+                hi = np.maximum.reduceat(hi, first)
+                text, key, lo, hot, settled = text[first], key[first], lo[first], hot[first], settled[first]
             raw = data.tobytes()
-            around = [None if d else raw[b : e + LENGTH] for d, b, e in zip(done, lo.tolist(), hi.tolist())]
+            around = [None if d else raw[b : e + LENGTH] for d, b, e in zip(settled.tolist(), lo.tolist(), hi.tolist())]
             part = (shared.mixed(key) % shared.U64(parts)).astype(np.int32)
             yield shared.columns_to_batch(schema, part, ids[text], names[text], (lo - offsets[:-1][text]).astype(np.int32), (hi - lo + 1).astype(np.int32), around, hot)
 
     met = docs.join(repeated, "doc_id")
-    rows = F.count("*").over(Window.partitionBy("doc_id"))
-    return met.withColumn("row", F.when(rows > 1, F.xxhash64("text")).otherwise(F.lit(0).cast("long"))).mapInArrow(surround, _SENT)
+    again = shared.saved(docs.groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(True).alias("again")), "substrings-again")
+    row = F.when(F.col("again"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    return met.join(again, "doc_id", "left").select("doc_id", "text", "keys", row.alias("row")).mapInArrow(surround, _SENT)
 
 
 def _ranked(rows: pa.Table) -> pa.Table:
