@@ -49,13 +49,13 @@ def first_nonblank(*cs) -> Column:
 
 
 def excerpt(text, needle, left: int = 100, right: int = 140, fallback: int = 240) -> Column:
-    """The surroundings of the first match, control white space as spaces; the text's front where there is none."""
+    """The surroundings of the first match, control white space as spaces; the text's front, as it is, where there is none."""
     t = text_of(text)
     at = F.instr(ascii_lower(t), ascii_lower(needle)) if not isinstance(needle, str) else F.instr(ascii_lower(t), needle)
     length = F.length(needle) if not isinstance(needle, str) else F.lit(len(needle))
     start = F.greatest(at - left, F.lit(1))
-    cut = F.when(at > 0, F.substring(t, start, at + length + right - start)).otherwise(F.substring(t, 1, fallback))
-    return F.trim(F.translate(cut, "\n\r\t", "   "))
+    shown = F.translate(F.substring(t, start, at + length + right - start), "\n\r\t", "   ")
+    return F.when(at > 0, shown).otherwise(F.substring(t, 1, fallback))
 
 
 def stable_id(prefix: str, *parts) -> Column:
@@ -93,6 +93,13 @@ def ladder(*steps, otherwise=None) -> Column:
     return out.otherwise(otherwise if isinstance(otherwise, Column) else F.lit(otherwise))
 
 
+def keep_rows(df, condition: Column):
+    """The rows that meet a condition on computed columns. A filter would be pushed below the projections that compute them
+    and repeat their expressions for every mention; a generator of one row or none stays above, so each is computed once."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(F.explode(F.when(condition, F.array(row))).alias("row")).select("row.*")
+
+
 def flags(**conditions) -> Column:
     return F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in conditions.items()]))
 
@@ -112,8 +119,9 @@ def pack(items, cost, most: int, budget: int) -> Column:
 
 
 def format_bytes(c) -> Column:
+    """Whole bytes below one KiB, else two decimals of the greatest unit that fits, up to PiB."""
     n = col(c).cast("double")
     out = F.format_string("%d B", col(c).cast("long"))
-    for unit, size in (("KiB", 1 << 10), ("MiB", 1 << 20), ("GiB", 1 << 30), ("TiB", 1 << 40)):
-        out = F.when(n >= size, F.format_string(f"%.1f {unit}", n / size)).otherwise(out)
+    for power, unit in enumerate(("KiB", "MiB", "GiB", "TiB", "PiB"), 1):
+        out = F.when(n >= 1024.0**power, F.format_string(f"%.2f {unit}", n / F.lit(1024.0**power))).otherwise(out)
     return out

@@ -77,17 +77,21 @@ def set_relations(members: DataFrame, owner: str, item: str, least_shared: int,
     return found.select(side("u", "v", "a"), side("v", "u", "b"), "shared", side("n_u", "n_v", "n_a"), side("n_v", "n_u", "n_b"))
 
 
-def lineage_roots(parents: DataFrame, most_rounds: int = 64) -> DataFrame:
+def lineage_roots(parents: DataFrame) -> DataFrame:
     """child, parent -> node, root, depth, cyclic: ancestry by pointer jumping, so a chain of n takes log n rounds.
-    Each round's table is written to the checkpoint folder where one is set."""
+    Each round's table is written to the checkpoint folder where one is set. Rounds go on until no pointer moves, or until
+    they have gone further than there are nodes: what still moves then leads into a cycle, and has neither root nor depth."""
     up = parents.select(F.col("child").alias("node"), F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth"))
     spark = parents.sparkSession
-    for _ in range(most_rounds):
+    nodes, reach = up.count(), 1
+    while True:
         above = up.select(F.col("node").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
         joined = up.join(above, "root", "left")
-        moved = joined.select("node", F.coalesce("next", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0).cast("long"))).alias("depth"), (F.col("next").isNotNull() & (F.col("node") != F.col("root"))).alias("moved"))
+        moved = joined.select("node", F.coalesce("next", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0).cast("long"))).alias("depth"), F.col("next").isNotNull().alias("moved"))
         up = moved.checkpoint() if spark.sparkContext.getCheckpointDir() else moved.persist()
-        if not up.where("moved").limit(1).count():
+        reach *= 2
+        if reach > 2 * nodes or up.where("moved").isEmpty():
             break
         up = up.drop("moved")
-    return up.select("node", "root", "depth", (F.col("node") == F.col("root")).alias("cyclic"))
+    end = lambda c: F.when(~F.col("moved"), F.col(c)).alias(c)
+    return up.select("node", end("root"), end("depth"), F.col("moved").alias("cyclic"))

@@ -12,34 +12,39 @@ from ..functions.columns import ascii_lower, ladder, norm, pack
 
 
 def paragraphs(text) -> Column:
-    """array<struct<pos, text>> of the lines with text."""
+    """array<struct<pos, text, low>> of the lines with text; low is the text in lower case, made once for all uses."""
     lines = F.transform(F.split(text, "\n"), lambda t, i: F.struct(i.alias("pos"), norm(t).alias("text")))
-    return F.filter(lines, lambda p: p["text"] != "")
+    full = F.filter(lines, lambda p: p["text"] != "")
+    return F.transform(full, lambda p: F.struct(p["pos"].alias("pos"), p["text"].alias("text"), ascii_lower(p["text"]).alias("low")))
 
 
 def passage_scores(items: Column, anchors: dict[str, list[str]], cap: int = 5, bonus: int = 2) -> Column:
-    """array<struct<score, pos, text>>: for each group of anchor terms its hits up to the cap, plus a bonus if any."""
+    """array<struct<score, pos, text, low>>: for each group of anchor terms its hits up to the cap, plus a bonus if any."""
 
-    def score(t: Column) -> Column:
-        low, total = ascii_lower(t), F.lit(0)
-        for terms in anchors.values():
-            n = sum((low.contains(w).cast("int") for w in terms), F.lit(0))
-            total = total + F.least(n, F.lit(cap)) + F.when(n > 0, bonus).otherwise(0)
-        return total
+    def hits(low: Column) -> Column:
+        return F.array(*[sum((low.contains(w).cast("int") for w in terms), F.lit(0)) for terms in anchors.values()])
 
-    return F.transform(items, lambda p: F.struct(score(p["text"]).alias("score"), p["pos"].alias("pos"), p["text"].alias("text")))
+    def total(counts: Column) -> Column:
+        return F.aggregate(counts, F.lit(0), lambda a, n: a + F.least(n, F.lit(cap)) + F.when(n > 0, bonus).otherwise(0))
+
+    counted = F.transform(items, lambda p: F.struct(hits(p["low"]).alias("counts"), p.alias("p")))
+    return F.transform(counted, lambda x: F.struct(total(x["counts"]).alias("score"), x["p"]["pos"].alias("pos"), x["p"]["text"].alias("text"), x["p"]["low"].alias("low")))
 
 
 def ranked(items: Column) -> Column:
     """Best score first, then position."""
-    order = F.transform(items, lambda p: F.struct((-p["score"]).alias("rank"), p["pos"].alias("pos"), p["score"].alias("score"), p["text"].alias("text")))
+    order = F.transform(items, lambda p: F.struct((-p["score"]).alias("rank"), p["pos"].alias("pos"), p["score"].alias("score"), p["text"].alias("text"), p["low"].alias("low")))
     return F.sort_array(order)
 
 
-def distinct_by_text(items: Column) -> Column:
-    """The first item of each normalized text, in order."""
-    keys = F.transform(items, lambda p: ascii_lower(p["text"]))
-    return F.filter(F.transform(items, lambda p, i: F.struct((F.array_position(keys, ascii_lower(p["text"])) == i + 1).alias("first"), p.alias("p"))), lambda x: x["first"])
+def distinct_by_text(rows: DataFrame, items: str) -> DataFrame:
+    """The rows with only the first item of each lower-case text, in order. Sorted by text, the first of each is the one
+    that differs from its neighbour: n log n steps for n items."""
+    by_text = F.sort_array(F.transform(items, lambda p, i: F.struct(p["low"].alias("low"), i.alias("i"), p.alias("p"))))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.transform("by text", lambda x: x["low"]))
+    marked = F.filter(F.zip_with("by text", F.slice(before, 1, F.size("by text")), lambda x, low: F.when(~x["low"].eqNullSafe(low), x)), lambda x: x.isNotNull())
+    ordered = F.sort_array(F.transform(marked, lambda x: F.struct(x["i"].alias("i"), x["p"].alias("p"))))
+    return rows.withColumn("by text", by_text).withColumn(items, F.transform(ordered, lambda x: x["p"])).drop("by text")
 
 
 def budget_pack(items: Column, most: int, chars: int) -> Column:
@@ -49,7 +54,7 @@ def budget_pack(items: Column, most: int, chars: int) -> Column:
 def segments(docs: DataFrame, key: str, text: str, mention: str, reach: int = 500) -> DataFrame:
     """Text around each mention of a term, from the end of the mention before to the start of the one after, at most
     `reach` each way. Positions come from the lengths of the pieces between mentions."""
-    pieces = F.split(F.col(text), mention)
+    pieces = F.split(F.col(text), "\\Q" + mention.replace("\\E", "\\E\\\\E\\Q") + "\\E")
     cut = docs.select(key, F.col(text).alias("t"), pieces.alias("p")).where(F.size("p") > 1)
     rows = cut.select(key, F.explode(F.transform(F.sequence(F.lit(1), F.size("p") - 1), lambda i: F.struct(i.alias("no"), F.get("p", i - 1).alias("before"), F.get("p", i).alias("after")))).alias("s"))
     shown = F.concat(F.substring(F.col("s.before"), -reach, reach), F.lit(mention), F.substring(F.col("s.after"), 1, reach))

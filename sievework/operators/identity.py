@@ -16,21 +16,20 @@ def _settled(df: DataFrame) -> DataFrame:
     return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
 
 
-def connected(links: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataFrame:
+def connected(links: DataFrame, a: str, b: str) -> DataFrame:
     """node, component (its least node). Each round takes the least label of the neighbours and then the label of that
     label, so long chains shorten by half; labels only sink, and the rounds end when none does."""
     pairs = links.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null")
     both = _settled(pairs.unionAll(pairs.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
     labels = _settled(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.col("node")).alias("component")))
-    for _ in range(most_rounds):
+    while True:
         near = both.join(labels, both.y == labels.node).groupBy("x").agg(F.min("component").alias("near"))
         step = labels.join(near, labels.node == near.x).select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
         above = labels.select(F.col("node").alias("via"), F.col("component").alias("further"))
         moved = _settled(step.join(above, step.component == above.via, "left").select("node", "old", F.least("component", F.coalesce("further", "component")).alias("component")))
         labels = moved.select("node", "component")
-        if not moved.where("old != component").limit(1).count():
-            break
-    return labels
+        if moved.where("old != component").isEmpty():
+            return labels
 
 
 def component_key(labels: DataFrame, prefix: str = "component", buckets: int = 4096) -> DataFrame:

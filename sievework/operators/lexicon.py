@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import ascii_lower, excerpt, ladder
+from ..functions.columns import ascii_lower, excerpt, keep_rows, ladder
 
 
 @dataclass(frozen=True)
@@ -101,7 +101,7 @@ def audit_summary(rows: DataFrame) -> DataFrame:
 
 def recall(expected: DataFrame, scored: DataFrame, key: str) -> DataFrame:
     """Every expected row with whether it was recovered; missing ones have score 0 and tier none."""
-    found = scored.where("score > 0").select(key, "score", "tier", F.array_join("lanes_hit", ";").alias("lanes"))
+    found = keep_rows(scored.select(key, "score", "tier", F.array_join("lanes_hit", ";").alias("lanes")), F.col("score") > 0)
     return expected.join(found, key, "left").select(
         key, "expected_positive", F.col("score").isNotNull().alias("recovered"), F.coalesce("score", F.lit(0).cast("long")).alias("score"), F.coalesce("tier", F.lit("none")).alias("tier"), F.coalesce("lanes", F.lit("")).alias("lanes")
     )

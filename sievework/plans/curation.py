@@ -41,8 +41,7 @@ def evidence_budget_pack(spark, sf_dir):
     """At most 6 distinct passages within 900 characters, best first; one that does not fit is skipped. The fold depends
     on order, so its rows are checked against plain Python in the tests."""
     items = _passages(spark, sf_dir).select("doc_id", ev.ranked(F.col("items")).alias("items"))
-    items = items.select("doc_id", F.transform(ev.distinct_by_text(F.col("items")), lambda x: x["p"]).alias("items"))
-    picked = items.select("doc_id", ev.budget_pack(F.col("items"), 6, 900).alias("out"))
+    picked = ev.distinct_by_text(items, "items").select("doc_id", ev.budget_pack(F.col("items"), 6, 900).alias("out"))
     return picked.select("doc_id", F.size("out").cast("long").alias("n_passages"), F.aggregate("out", F.lit(0).cast("long"), lambda a, p: a + F.length(p["text"])).alias("chars"), F.array_join(F.transform("out", lambda p: p["pos"].cast("string")), ",").alias("positions"))
 
 

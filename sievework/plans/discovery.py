@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import ascii_lower, excerpt, flags, norm
+from ..functions.columns import ascii_lower, excerpt, flags, keep_rows, norm
 from ..operators import lexicon as lx
 from ..registry import query
 from ..sources.tables import table
@@ -60,7 +60,8 @@ def lexicon_score(spark, sf_dir):
 
 @query(f"WITH {SCORED} SELECT doc_id, negative_labels, score FROM scored WHERE negative_labels <> ''")
 def negative_context(spark, sf_dir):
-    return scored(spark, sf_dir).where(F.size("negative_labels") > 0).select("doc_id", F.array_join("negative_labels", ";").alias("negative_labels"), "score")
+    rows = scored(spark, sf_dir).select("doc_id", F.array_join("negative_labels", ";").alias("negative_labels"), "score")
+    return keep_rows(rows, F.col("negative_labels") != "")
 
 
 @query(f"WITH {SCORED} SELECT source, tier, count(*) AS n, sum(score)::BIGINT AS total FROM scored JOIN documents USING (doc_id) GROUP BY source, tier")
@@ -101,7 +102,7 @@ def recall_summary(spark, sf_dir):
 
 @query(f"WITH {_RECALL} SELECT doc_id, substr(text, 1, 80) AS head FROM audit JOIN documents USING (doc_id) WHERE expected_positive AND tier NOT IN ('strong', 'possible')")
 def missed_positives(spark, sf_dir):
-    missed = recall_audit(spark, sf_dir).where(F.col("expected_positive") & ~F.col("tier").isin("strong", "possible"))
+    missed = keep_rows(recall_audit(spark, sf_dir).select("doc_id", "expected_positive", "tier"), F.col("expected_positive") & ~F.col("tier").isin("strong", "possible"))
     return table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 80).alias("head")).join(missed.select("doc_id"), "doc_id", "left_semi")
 
 
@@ -136,11 +137,11 @@ def identity_suppression(spark, sf_dir):
 
 @query(f"WITH {SCORED} SELECT doc_id, tier, score FROM scored WHERE tier IN ('strong', 'possible')")
 def min_tier_export(spark, sf_dir):
-    return scored(spark, sf_dir).where(lx.tier_rank("tier") >= 2).select("doc_id", "tier", "score").orderBy("doc_id")
+    return keep_rows(scored(spark, sf_dir).select("doc_id", "tier", "score"), lx.tier_rank("tier") >= 2).orderBy("doc_id")
 
 
 @query(f"""WITH t AS (SELECT doc_id, text, instr(translate(text, {AZ}), 'license') AS p FROM documents)
-    SELECT doc_id, trim(translate(CASE WHEN p > 0 THEN substr(text, greatest(p - 100, 1), p + 7 + 140 - greatest(p - 100, 1)) ELSE substr(text, 1, 240) END, chr(10) || chr(13) || chr(9), '   ')) AS excerpt FROM t""")
+    SELECT doc_id, CASE WHEN p > 0 THEN translate(substr(text, greatest(p - 100, 1), p + 7 + 140 - greatest(p - 100, 1)), chr(10) || chr(13) || chr(9), '   ') ELSE substr(text, 1, 240) END AS excerpt FROM t""")
 def excerpt_window(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", excerpt("text", "license").alias("excerpt"))
 

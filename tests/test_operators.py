@@ -22,7 +22,7 @@ def test_scalar_functions(spark):
     assert one(spark, c.truthy("t"), t=" Yes ") is True
     assert one(spark, c.first_nonblank("a", "b"), a=" ", b=" x ") == "x"
     assert one(spark, c.tokens("t"), t="a-b A c") == ["A", "B", "C"]
-    assert one(spark, c.format_bytes("n"), n=1536) == "1.5 KiB"
+    assert one(spark, c.format_bytes("n"), n=1536) == "1.50 KiB"
     assert one(spark, c.jaccard("a", "b"), a=[1, 2], b=[2, 3]) == 1 / 3
     assert one(spark, c.overlap_coefficient("a", "b"), a=[1, 2], b=[2, 3, 4]) == 0.5
     assert one(spark, c.excerpt("t", "needle"), t="x" * 300 + "needle\n" + "y" * 300) == "x" * 100 + "needle " + "y" * 139
@@ -71,8 +71,15 @@ def test_shards_are_balanced(spark):
 
 def test_lineage_of_chains_and_cycles(spark):
     links = [(i, i - 1) for i in range(1, 40)] + [(100, 101), (101, 100)]
-    got = {r.node: r for r in claims.lineage_roots(spark.createDataFrame(links, "child long, parent long"), 8).collect()}
-    assert all(got[i].root == 0 and got[i].depth == i for i in range(1, 40)) and got[100].cyclic
+    links += [(200, 201), (201, 202), (202, 200), (203, 202), (300, 300)]
+    got = {r.node: r for r in claims.lineage_roots(spark.createDataFrame(links, "child long, parent long")).collect()}
+    assert all(got[i].root == 0 and got[i].depth == i and not got[i].cyclic for i in range(1, 40))
+    assert all(got[i].cyclic and got[i].root is None and got[i].depth is None for i in (100, 101, 200, 201, 202, 203, 300))
+
+
+def test_segments_take_the_mention_literally(spark):
+    df = spark.createDataFrame([(1, "a.b.c")], "k long, t string")
+    assert sorted(r.segment for r in evidence.segments(df, "k", "t", ".").collect()) == ["a.b", "b.c"]
 
 
 def test_long_tables_round_trip(spark, tmp_path):
