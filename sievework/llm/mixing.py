@@ -10,7 +10,11 @@ copies are the table's entries that its point has passed. Hot sources cost nothi
 table of sources goes to the documents by a join whose side Spark measures first, and documents of a source are spread
 by their hash. Sources that are hot keep their rows where they are: the join key of a document is (source, salt).
 
-Defined results: a null source is a source of its own, named by null. Sources without a weight share the remaining
+A mean over MOST_RATE is split into equal parts whose counts are added, which has the same distribution, so no table is
+longer than some 200 entries.
+
+Defined results: an empty table gives no rows. mix() replaces input columns named copy_no or sort_key by its own;
+mixed_documents() returns the input's. A null source is a source of its own, named by null. Sources without a weight share the remaining
 weight in proportion to their documents; weights that sum to more than 1 are scaled. Null doc_ids use the hash of null.
 Repeated rows are repeated documents. Documents with null text are mixed like others."""
 
@@ -23,6 +27,8 @@ from . import shared
 
 #: md5 hex digits that make a point in [0, 1): 13 digits are 52 bits, which a double holds exactly.
 DIGITS = 13
+#: A greater mean is met by the sum of independent counts of equal means up to this one, each from a point of its own.
+MOST_RATE = 64.0
 #: Parts into which the documents of each source are dealt for the join with the sources' tables.
 SALTS = 64
 
@@ -71,17 +77,25 @@ def _table(rate: Column) -> Column:
 
 def mix(docs: DataFrame, weights: dict[str, float], total: float | None = None, seed: int = 17) -> DataFrame:
     """The documents' columns, copy_no (from 0) and sort_key, in the order of sort_key."""
-    src = F.col("source")
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
-    tables = shared.saved(rates(docs, weights, total).select("src", _table(F.col("rate")).alias("cdf")), "mixing-rates")
-    spread = tables.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    names = [F.col(f"d.`{c}`") for c in docs.columns]
-    joined = docs.withColumn("mixing salt", salt).alias("d").join(spread.alias("t"), src.eqNullSafe(F.col("t.src")) & (F.col("d.mixing salt") == F.col("t.salt")))
-    u = point(F.lit(seed), F.col("d.doc_id"))
-    copies = F.size(F.filter("t.cdf", lambda p: p <= u))
-    out = joined.select(*names, F.explode(F.when(copies > 0, F.sequence(F.lit(0).cast("long"), copies.cast("long") - 1))).alias("copy_no"))
-    key = F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy_no")))
-    return out.withColumn("sort_key", key).orderBy("sort_key", "doc_id", "copy_no")
+    own = [F.col(f"doc.`{c}`") for c in docs.columns if c not in ("copy_no", "sort_key")]
+    return _mixed(docs, weights, total, seed).select(*own, "copy_no", "sort_key")
+
+
+def _mixed(docs: DataFrame, weights: dict[str, float], total: float | None, seed: int) -> DataFrame:
+    """doc (the documents' columns as a struct), copy_no, sort_key, in the order of sort_key."""
+    rate = F.col("rate")
+    parts = F.greatest(F.ceil(rate / MOST_RATE), F.lit(1)).cast("int")
+    tables = rates(docs, weights, total).select("src", parts.alias("parts"), _table(rate / parts).alias("cdf"))
+    spread = shared.saved(tables, "mixing-rates").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("source").alias("own"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    joined = rows.alias("d").join(spread.alias("t"), F.col("d.own").eqNullSafe(F.col("t.src")) & (F.col("d.salt") == F.col("t.salt"))).select("d.doc", "t.parts", "t.cdf")
+    passed = lambda u: F.size(F.filter("cdf", lambda p: p <= u)).cast("long")
+    more = F.aggregate(F.sequence(F.lit(1), F.col("parts") - 1), F.lit(0).cast("long"), lambda n, k: n + passed(point(F.lit(seed), F.col("doc.doc_id"), k)))
+    copies = passed(point(F.lit(seed), F.col("doc.doc_id"))) + F.when(F.col("parts") > 1, more).otherwise(0)
+    counted = joined.select("doc", copies.alias("copies"))
+    out = counted.select("doc", F.explode(F.when(F.col("copies") > 0, F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).alias("copy_no"))
+    key = F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col("doc.doc_id").cast("string"), F.lit("null")), F.col("copy_no")))
+    return out.withColumn("sort_key", key).orderBy("sort_key", "doc.doc_id", "copy_no")
 
 
 # The weights of the registered query; the other sources share the rest.
@@ -90,7 +104,7 @@ WEIGHTS = {"src0": 0.10, "src1": 0.20, "src2": 0.05}
 
 def mixed_documents(docs: DataFrame, weights: dict[str, float] = WEIGHTS) -> DataFrame:
     """The mixed corpus with the documents' own columns only."""
-    return mix(docs, weights).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _mixed(docs, weights, None, 17).select("doc.*")
 
 
 def oracle(weights: dict[str, float] = WEIGHTS, seed: int = 17) -> str:
