@@ -14,7 +14,8 @@ where pages of the hot ones are spread under keys that match nothing. Payloads a
 
 Defined results: null html is the empty payload. Rows that repeat both page_id and payload of a first page are responses
 as well: none has a smaller page_id than the others. Null urls are written as the empty target. A page without page_id is
-never the first of others; without any page_id among equals, all are responses."""
+never the first of others; without any page_id among equals, all are responses. An empty table makes no archives and no
+rows. Only page_id, url and html are read, so other columns may have any name. A payload is one record, whatever its size."""
 
 from __future__ import annotations
 
@@ -114,7 +115,9 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
             out.finish()
 
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
-    return shared.saved(_roles(pages).mapInPandas(write, INDEX), "warc-index")
+    # the order in an archive is that of its rows, whatever order they arrive in, so a task that runs again writes the same file
+    ordered = _roles(pages).sortWithinPartitions("page_id", "url", F.xxhash64("html"))
+    return shared.saved(ordered.mapInPandas(write, INDEX), "warc-index")
 
 
 def byte_ranges(index: DataFrame) -> DataFrame:
