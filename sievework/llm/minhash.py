@@ -25,7 +25,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
@@ -214,9 +214,15 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group, with its own columns; of rows that repeat a doc_id, the one with the least text."""
-    kept = shared.saved(near_duplicates(docs, size, percent).where("kept").select("doc_id").distinct(), "minhash-kept")
-    order = Window.partitionBy("doc_id").orderBy("text")
-    place = "row within doc_id"
-    one = docs.join(kept, "doc_id", "left_semi").withColumn(place, F.row_number().over(order)).where(F.col(f"`{place}`") == 1).drop(place)
-    return one.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One document of each group, with its own columns.
+
+    Decisions fall on rows, named by a 64-bit hash of doc_id and text: rows that repeat both are one document, of which one
+    stays; rows that share a doc_id but are no near-duplicates all stay, and so do unlike rows without doc_id. Of a group,
+    the row with the least doc_id stays, one without doc_id last."""
+    name = F.xxhash64("doc_id", "text").alias("row")
+    groups = near_duplicates(docs.select(name, "text").withColumnRenamed("row", "doc_id"), size, percent).select(F.col("doc_id").alias("row"), "component_id")
+    ids = docs.select(name, F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("first"))
+    best = groups.distinct().join(ids.distinct(), "row").groupBy("component_id").agg(F.min(F.struct("first", "row"))["row"].alias("row"))
+    kept = shared.saved(best.select("row"), "minhash-kept")
+    rows = docs.select(name, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    return rows.join(kept, "row", "left_semi").groupBy("row").agg(F.first("doc").alias("doc")).select("doc.*")

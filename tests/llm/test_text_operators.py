@@ -68,6 +68,27 @@ def test_drop_near_duplicates_keeps_one(odd):
     assert len(ids) == len(set(ids)) and {0, 9, 4, 5, 6, 15} <= set(ids) and not {1, 2, 3, 8, 16} & set(ids)
 
 
+def stage_rows(spark):
+    from tests.llm.conftest import prose
+
+    a, b, c, d = (prose(i, 60) for i in (900, 901, 902, 903))
+    rows = [(None, a), (None, b), (None, b), (7, c), (7, d), (3, c), (None, d), (None, None), (8, None)]
+    return a, b, c, d, spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, row int")
+
+
+def test_drop_near_duplicates_decides_on_rows(spark):
+    a, b, c, d, docs = stage_rows(spark)
+    got = sorted(((r.doc_id, r.text) for r in minhash.drop_near_duplicates(docs).collect()), key=str)
+    assert got == sorted([(None, a), (None, b), (3, c), (7, d), (None, None), (8, None)], key=str)
+
+
+def test_drop_contaminated_decides_on_texts(spark):
+    a, b, c, d, docs = stage_rows(spark)
+    items = spark.createDataFrame([(1, b), (2, c)], "item_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in decontaminate.drop_contaminated(docs, items).collect()), key=str)
+    assert got == sorted([(None, a), (7, d), (None, d), (None, None), (8, None)], key=str)
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(7, 7), (None, 3), (200, 201), (201, 200)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "u long, v long")).collect()}
@@ -194,6 +215,21 @@ def test_mixing(odd, no_docs):
     assert mixing.mix(no_docs, weights).count() == 0 and mixing.mix(odd, {}).count() > 0
 
 
+def test_mixing_of_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "x", 5, "k", "s"), (2, "y", 6, "k", "s")], "doc_id long, text string, copy_no int, sort_key string, salt string").selectExpr("*", "'a' as source")
+    out = mixing.mix(docs, {"a": 1.0}, total=60.0)
+    assert out.columns == ["doc_id", "text", "salt", "source", "copy_no", "sort_key"] and out.where("salt = 's' and sort_key != 'k'").count() == out.count() > 20
+    kept = mixing.mixed_documents(docs)
+    assert kept.columns == docs.columns and all(r.sort_key == "k" and r.copy_no == 4 + r.doc_id for r in kept.collect())
+
+
+def test_mixing_of_large_rates(spark):
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit("t").alias("text"))
+    n = [r["count"] for r in mixing.mix(docs, {"a": 1.0}, total=40 * 500.0).groupBy("doc_id").count().collect()]
+    mean = sum(n) / len(n)
+    assert len(n) == 40 and abs(mean - 500) < 18 and 200 < sum((x - mean) ** 2 for x in n) / 39 < 1000
+
+
 def test_mixing_meets_the_weights(spark):
     docs = spark.range(20000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("source"))
     got = dict(mixing.mix(docs, {"hot": 0.6, "s1": 0.1}).groupBy("source").count().collect())
