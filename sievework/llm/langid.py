@@ -6,15 +6,17 @@ probability, so one binary search scores a position for all languages. Positions
 back along the same chain: context weight, then bigrams, then unigrams.
 
 A text gets the language of the lowest cross-entropy per character. The score is a softmax of the negative
-cross-entropies at a temperature that was fitted on the training sample; a text whose best cross-entropy lies beyond
-nearly all training texts' is marked as rejected.
+cross-entropies at a temperature; a text whose best cross-entropy lies beyond nearly all those of known texts is marked as
+rejected. Temperature and limit are calibrated on a fifth of the sample, by a model of the other four; the model that
+predicts then learns from the whole sample.
 
 Training takes at most about `per_language` texts of each language, chosen by a hash of doc_id; the model is as big as
 the trigrams of that sample and goes to the tasks by broadcast. Scoring is one Arrow pass over whole texts, without a
 shuffle.
 
 Defined results: null texts and texts without a letter are `und` with score 0. Without any labelled text every row is
-`und`. Rows with null lang are never learned from, and are predicted like others. Repeated rows give one row each."""
+`und`. An empty table gives no rows. Only doc_id, text and lang are read, so other columns may have any name. Of languages
+with equal cross-entropies the first by name wins. Rows with null lang are never learned from, and are predicted like others. Repeated rows give one row each."""
 
 from __future__ import annotations
 
@@ -166,34 +168,41 @@ def _sample(docs: DataFrame, per_language: int) -> DataFrame:
     own = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & F.coalesce(is_training(F.col("doc_id")), F.lit(True)))
     counts = shared.saved(own.groupBy("lang").count(), "langid-counts")
     point = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return own.join(counts, "lang").where(point * F.col("count") < per_language).select("lang", "text")
+    held = F.pmod(F.xxhash64(F.lit("calibration"), "doc_id"), F.lit(5)) == 0
+    return own.join(counts, "lang").where(point * F.col("count") < per_language).select("lang", "text", held.alias("held"))
 
 
 def train(docs: DataFrame, per_language: int = 1500) -> Model | None:
-    schema = pa.schema([("lang", pa.string()), ("key", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("lang", pa.string()), ("held", pa.bool_()), ("key", pa.int64()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]):
         for rows, data, offsets in shared.text_blocks(batches, "text"):
             codes, bounds = _folded(data, offsets)
             keys, first = _grams(codes, bounds)
             names, which = np.unique(np.array(rows.column("lang").to_pylist(), dtype=object).astype(str), return_inverse=True)
-            of = np.repeat(which, np.diff(first))
-            for i, name in enumerate(names):
+            held = rows.column("held").to_numpy(zero_copy_only=False)
+            of = np.repeat(which * 2 + held, np.diff(first))
+            for i in np.unique(of).tolist():
                 own, n = np.unique(keys[of == i], return_counts=True)
-                yield shared.columns_to_batch(schema, [name] * len(own), own.view(np.int64), n)
+                yield shared.columns_to_batch(schema, [names[i // 2]] * len(own), np.full(len(own), bool(i % 2)), own.view(np.int64), n)
 
     sample = shared.saved(_sample(docs, per_language), "langid-sample")
-    grams = sample.mapInArrow(count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()  # bounded by the sample
+    counted = sample.mapInArrow(count, "lang string, held boolean, key long, n long").groupBy("lang", "held", "key")
+    grams = counted.agg(F.sum("n").alias("n")).toPandas()  # bounded by the sample
     if grams.empty:
         return None
     languages = sorted(grams["lang"].unique())
-    which = grams["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy()
-    model = fit(languages, grams["key"].to_numpy().view(np.uint64), which, grams["n"].to_numpy())
-    return _calibrated(model, sample)
+    learn = lambda g: fit(languages, g["key"].to_numpy().view(np.uint64), g["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(), g["n"].to_numpy())
+    model, most = learn(grams), grams[~grams["held"]]
+    if most["lang"].nunique() == len(languages) and grams["held"].any():
+        model.temperature, model.limit = _calibrated(learn(most), sample.where("held"))
+    else:  # a sample of a few texts has no part to spare
+        model.temperature, model.limit = _calibrated(model, sample)
+    return model
 
 
-def _calibrated(model: Model, sample: DataFrame) -> Model:
-    """Fit temperature and limit on the sample's own cross-entropies."""
+def _calibrated(model: Model, sample: DataFrame) -> tuple[float, float]:
+    """The temperature with the least loss on the sample's cross-entropies, and the limit that one in a thousand passes."""
     sent = sample.sparkSession.sparkContext.broadcast(model)
 
     def score(batches):
@@ -210,9 +219,7 @@ def _calibrated(model: Model, sample: DataFrame) -> Model:
         loss = (np.log(np.exp(z - z.max(1, keepdims=True)).sum(1)) + z.max(1) - z[np.arange(len(z)), gold]).mean()
         if best is None or loss < best[0]:
             best = (loss, float(t))
-    model.temperature = best[1]
-    model.limit = float(np.quantile(ce.min(1), 0.999))
-    return model
+    return best[1], float(np.quantile(ce.min(1), 0.999))
 
 
 def identify(docs: DataFrame, per_language: int = 1500) -> DataFrame:

@@ -139,6 +139,46 @@ def test_kneser_ney_sums_to_one():
     assert np.isfinite(model.logs((low << np.uint64(42)) | (low << np.uint64(21)) | low)).all()
 
 
+def test_kneser_ney_against_plain_counts(spark, sf_dir):
+    """Cross-entropies of every text and language, from counts in dictionaries."""
+    docs = [(r.lang, r.text) for r in shared.table(spark, sf_dir, "documents").limit(40).collect()]
+    languages = sorted({x for x, _ in docs})
+
+    def triples(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        keys, _ = langid._grams(*langid._folded(data, np.array([0, len(data)])))
+        return [((k >> 42), (k >> 21) & 0x1FFFFF, k & 0x1FFFFF) for k in keys.tolist()]
+
+    grams = {x: Counter(t for y, text in docs for t in triples(text) if y == x) for x in languages}
+    rows = [(x, (a << 42) | (b << 21) | c, n) for x in languages for (a, b, c), n in grams[x].items()]
+    model = langid.fit(languages, np.array([k for _, k, _ in rows], np.uint64), np.array([languages.index(x) for x, _, _ in rows]), np.array([n for *_, n in rows]))
+    letters = {t[2] for x in languages for t in grams[x]}
+
+    def probability(x, sums, a, b, c):
+        g, pairs, total3, kinds3, total2, kinds2, before = sums[x]
+        ones = sum(before.values())
+        p = max(before[c] - 0.75, 0) / ones + 0.75 * len(before) / ones / (len(letters) + 1)
+        p = max(pairs[b, c] - 0.75, 0) / total2[b] + 0.75 * kinds2[b] / total2[b] * p if total2[b] else p
+        return max(g[a, b, c] - 0.75, 0) / total3[a, b] + 0.75 * kinds3[a, b] / total3[a, b] * p if total3[a, b] else p
+
+    sums = {}
+    for x in languages:
+        g = grams[x]
+        pairs = Counter((b, c) for _, b, c in g)
+        total3, kinds3, total2, kinds2 = Counter(), Counter((a, b) for a, b, _ in g), Counter(), Counter(b for b, _ in pairs)
+        for (a, b, _), n in g.items():
+            total3[a, b] += n
+        for (b, _), n in pairs.items():
+            total2[b] += n
+        sums[x] = (g, pairs, total3, kinds3, total2, kinds2, Counter(c for _, c in pairs))
+    for text in [t[:400] for _, t in docs[:12]] + ["Zürich 漢字 over the x"]:
+        data = np.frombuffer(text.encode(), np.uint8)
+        got = langid.cross_entropies(model, data, np.array([0, len(data)]))[0]
+        own = triples(text)
+        want = [-sum(np.log2(probability(x, sums, *t)) for t in own) / len(own) for x in languages]
+        assert np.allclose(got, want, rtol=1e-3), text[:40]
+
+
 def brute_base(rows):
     held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in rows}
     split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + [None]
