@@ -3,7 +3,7 @@
 Ranking every byte position of a corpus moves more than ten times the corpus in every round. So only the positions that a
 content rule picks are ranked: of every `LENGTH - GRAM + 1` neighbouring positions, that with the least hash of its next
 GRAM bytes. Every window of LENGTH bytes has exactly one such position, and equal windows have it in the same place, so
-nothing is lost and about one position in fourteen remains.
+nothing is lost and about one position in sixteen remains.
 
 This takes the place of prefix doubling: no pairs of ranks are sorted and no offset grows; GRAM and LENGTH are the only
 lengths compared. Round 1 ranks these positions by their first GRAM bytes; Spark brings equal ones together, and positions whose rank only
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from . import shared
 
 LENGTH = 50
-GRAM = 24
+GRAM = 20
 MOST = 64  # positions of a rank that one task may gather
 WHOLE, OPEN, HOT = 1, 2, 3  # kinds of ranks, in the last two bits of a key
 _PLACE = np.uint64((1 << 28) - 1)
