@@ -216,13 +216,21 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, with its own columns.
 
-    Decisions fall on rows, named by a 64-bit hash of doc_id and text: rows that repeat both are one document, of which one
-    stays; rows that share a doc_id but are no near-duplicates all stay, and so do unlike rows without doc_id. Of a group,
-    the row with the least doc_id stays, one without doc_id last."""
-    name = F.xxhash64("doc_id", "text").alias("row")
+    Decisions fall on rows. A row goes by its doc_id; one without, and rows that share a doc_id but not the text, go by a hash
+    of doc_id and text in the upper half of the numbers. So rows that repeat both are one document, of which one stays; rows
+    that share a doc_id but are no near-duplicates all stay, and so do unlike rows without doc_id. Of a group, the row with
+    the least doc_id stays, one without doc_id last."""
+    text = F.xxhash64("text")
+    sums = docs.select("doc_id", text.alias("h")).groupBy(F.col("doc_id").alias("id")).agg(F.min("h").alias("low"), F.max("h").alias("high"))
+    shared_ids = shared.saved(sums.where("low <> high").select("id", F.lit(True).alias("several")), "minhash-several")
+    own = F.col("doc_id").cast("long")
+    hashed = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    name = F.when(own.isNull() | F.col("several"), hashed).otherwise(own).alias("row")
+    whole = F.struct(*[F.col(f"d.`{c}`") for c in docs.columns]).alias("doc")
+    docs = docs.alias("d").join(shared_ids, F.col("d.doc_id") == F.col("id"), "left").select(F.col("d.doc_id").alias("doc_id"), F.col("d.text").alias("text"), whole, "several")
     groups = near_duplicates(docs.select(name, "text").withColumnRenamed("row", "doc_id"), size, percent).select(F.col("doc_id").alias("row"), "component_id")
     ids = docs.select(name, F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("first"))
     best = groups.distinct().join(ids.distinct(), "row").groupBy("component_id").agg(F.min(F.struct("first", "row"))["row"].alias("row"))
     kept = shared.saved(best.select("row"), "minhash-kept")
-    rows = docs.select(name, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    rows = docs.select(name, "doc")
     return rows.join(kept, "row", "left_semi").groupBy("row").agg(F.first("doc").alias("doc")).select("doc.*")
