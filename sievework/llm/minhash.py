@@ -8,8 +8,9 @@ r"""Near-duplicate detection: MinHash bands propose pairs, odd sketches sift the
    exact copies cost one row.
 3. Leaders that share a band key are in one bucket. Each is compared with the bucket's smallest leader: one pair for
    each member, never all pairs.
-4. After that round, members that did not join their bucket's component are compared with the bucket's members of other
-   components. The sketch and size bounds are conditions of that join, so only promising pairs become rows.
+4. After that round, members that did not join their bucket's component, and the other members of their buckets, meet in a
+   prefix join: sets of the asked similarity share one of their rarest shingles, so a bucket of many unlike documents is
+   never compared pair by pair. Sizes and sketches sift these pairs.
 5. A pair counts as a link only if the full sets have the asked similarity.
 
 40 bands of 5 rows miss a pair of similarity 0.8 with a probability of 1.2e-7; the sketch bound lies six standard
@@ -25,7 +26,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import shared
@@ -165,6 +166,22 @@ def _near(percent: int) -> F.Column:
     return sizes & parity & (_differing("su", "sv") <= sketch_bound(percent / 100))
 
 
+def _meeting(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """near: leader, c (its component), outer (still to be compared). Pairs (u, v) of different components, u outer, that
+    share a shingle of both prefixes. With all shingles in one order, the rarest first, two sets of the asked similarity
+    share one of their first n - ceil(n * percent / 100) + 1; a shingle of one holder meets nothing."""
+    own = near.select(F.col("leader").alias("doc_id"), "c", "outer")
+    size, name = F.size("shingles").cast("long").alias("n"), F.xxhash64("shingles").alias("set")
+    held = sets.join(own, "doc_id", "left_semi").select(F.explode("shingles").alias("t")).groupBy("t").agg(F.count("*").alias("held"))
+    words = sets.join(own, "doc_id").select("doc_id", "c", "outer", size, name, F.explode("shingles").alias("t"))
+    rank = F.dense_rank().over(Window.partitionBy("doc_id", "set").orderBy("held", "t"))
+    first = words.join(held, "t").withColumn("rank", rank).where(F.expr(f"rank <= n - (n * {percent} + 99) div 100 + 1 and held > 1"))
+    first = shared.saved(first.select("doc_id", "c", "outer", "n", "t"), "minhash-prefixes")
+    of = lambda x: first.select("t", F.col("doc_id").alias(x), F.col("c").alias(f"c{x}"), F.col("outer").alias(f"outer_{x}"), F.col("n").alias(f"n{x}"))
+    met = of("u").where("outer_u").join(of("v"), "t").where("cu != cv and (not outer_v or u < v)")
+    return met.where((F.col("nu") * 100 >= F.col("nv") * percent) & (F.col("nv") * 100 >= F.col("nu") * percent)).select("u", "v").distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFrame:
     """One row for each document row: doc_id, n_shingles, component_id, kept."""
     docs = shared.columns(docs, "doc_id", "text")
@@ -192,10 +209,11 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     named = found.select(F.col("node").alias("leader"), F.col("component").alias("c_leader"))
     pivot = found.select(F.col("node").alias("pivot"), F.col("component").alias("c_pivot"))
     placed = members.join(named, "leader", "left").join(pivot, "pivot", "left").select("key", "leader", comp("leader").alias("c"), comp("pivot").alias("p"))
-    placed = shared.saved(placed.join(light, "leader"), "minhash-placed")
-    side = lambda df, x, out: df.select("key", F.col("leader").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("parity").alias(f"p{x}"), F.col("c").alias(f"c{x}"), (F.col("c") != F.col("p")).alias(out))
-    rest = side(placed.where("c != p"), "u", "outer_u").join(side(placed, "v", "outer_v"), "key")
-    rest = rest.where((F.col("cu") != F.col("cv")) & _near(percent) & (~F.col("outer_v") | (F.col("u") < F.col("v")))).select("u", "v").distinct()
+    open_keys = placed.where("c != p").select("key").distinct()
+    near = placed.join(open_keys, "key").groupBy("leader").agg(F.first("c").alias("c"), F.max(F.col("c") != F.col("p")).alias("outer"))
+    rest = _meeting(shared.saved(near, "minhash-near"), sets, percent)
+    side = lambda x: light.select(F.col("leader").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("parity").alias(f"p{x}"))
+    rest = rest.join(side("u"), "u").join(side("v"), "v").where(_near(percent)).select("u", "v").distinct()
     rest = shared.saved(rest.join(stars.select("u", "v").unionAll(stars.select("v", "u")), ["u", "v"], "left_anti"), "minhash-rest")
     if not rest.isEmpty():
         more = _verified(rest, sets, percent)

@@ -57,6 +57,15 @@ def test_near_duplicates_in_a_crowd(spark):
     assert sorted(tuple(r) for r in minhash.near_duplicates(docs).collect()) == brute_duplicates(rows)
 
 
+def test_near_duplicates_of_unlike_members(spark):
+    """Documents that share most of a template are no links; the near copies among them are, whatever their bucket's pivot."""
+    template = [f"t{i}" for i in range(150)]
+    rows = [(n, " ".join(template + [f"own{n % 45}-{i}" for i in range(40)] + [f"end{n}"])) for n in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in minhash.near_duplicates(docs).collect())
+    assert got == brute_duplicates(rows) and len({r[2] for r in got}) == 45
+
+
 def test_near_duplicates_of_nothing(no_docs):
     assert minhash.near_duplicates(no_docs).count() == 0
 
