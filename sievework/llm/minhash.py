@@ -171,9 +171,8 @@ def _meeting(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     share a shingle of both prefixes. With all shingles in one order, the rarest first, two sets of the asked similarity
     share one of their first n - ceil(n * percent / 100) + 1; a shingle of one holder meets nothing."""
     own = near.select(F.col("leader").alias("doc_id"), "c", "outer")
-    size, name = F.size("shingles").cast("long").alias("n"), F.xxhash64("shingles").alias("set")
     held = sets.join(own, "doc_id", "left_semi").select(F.explode("shingles").alias("t")).groupBy("t").agg(F.count("*").alias("held"))
-    words = sets.join(own, "doc_id").select("doc_id", "c", "outer", size, name, F.explode("shingles").alias("t"))
+    words = sets.join(own, "doc_id").select("doc_id", "c", "outer", "n", "set", F.explode("shingles").alias("t"))
     rank = F.dense_rank().over(Window.partitionBy("doc_id", "set").orderBy("held", "t"))
     first = words.join(held, "t").withColumn("rank", rank).where(F.expr(f"rank <= n - (n * {percent} + 99) div 100 + 1 and held > 1"))
     first = shared.saved(first.select("doc_id", "c", "outer", "n", "t"), "minhash-prefixes")
@@ -199,6 +198,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     ids = shared.saved(members.select(F.explode(F.array("leader", "pivot")).alias("doc_id")).distinct(), "minhash-ids")
     sketches = light.select(F.col("leader").alias("doc_id"), "sketch", "parity")
     sets = shingle_sets(docs.join(ids, "doc_id", "left_semi"), size).join(sketches, "doc_id")
+    sets = sets.withColumns({"n": F.size("shingles").cast("long"), "set": F.xxhash64("shingles")})  # once a set, not once a shingle
     sets = shared.saved(sets, "minhash-sets", release=True)
     stars = shared.saved(members.where("leader != pivot").select(F.col("pivot").alias("u"), F.col("leader").alias("v")).distinct(), "minhash-stars")
     links = shared.saved(_verified(stars, sets, percent), "minhash-links")
