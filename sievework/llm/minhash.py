@@ -150,10 +150,18 @@ def _differing(a: str, b: str) -> F.Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
+def _sifted(pairs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sizes and sketches are near enough; only sketches travel here."""
+    for x in "uv":
+        side = light.select(F.col("leader").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("parity").alias(f"p{x}"))
+        pairs = pairs.join(side, x)
+    return pairs.where(_near(percent)).select("u", "v").distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sketches are near enough and whose full sets have at least the asked similarity."""
-    of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"a{x}"), F.size("shingles").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("parity").alias(f"p{x}"))
-    both = pairs.join(of("u"), "u").join(of("v"), "v").where(_near(percent))
+    """The pairs (u, v) whose full sets have at least the asked similarity."""
+    of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"a{x}"), F.col("n").alias(f"n{x}"))
+    both = pairs.join(of("u"), "u").join(of("v"), "v")
     common = F.size(F.array_intersect("au", "av"))
     return both.where(100 * common >= percent * (F.col("nu") + F.col("nv") - common)).select("u", "v").distinct()
 
@@ -169,16 +177,22 @@ def _near(percent: int) -> F.Column:
 def _meeting(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """near: leader, c (its component), outer (still to be compared). Pairs (u, v) of different components, u outer, that
     share a shingle of both prefixes. With all shingles in one order, the rarest first, two sets of the asked similarity
-    share one of their first n - ceil(n * percent / 100) + 1; a shingle of one holder meets nothing."""
+    share one of their first n - ceil(n * percent / 100) + 1; a shingle of one holder meets nothing. Sizes, and the places
+    of the shared shingle, bound the pairs inside the join: where it is the first one that two sets share, the shorter rest
+    behind it must still hold what the similarity asks for."""
     own = near.select(F.col("leader").alias("doc_id"), "c", "outer")
     held = sets.join(own, "doc_id", "left_semi").select(F.explode("shingles").alias("t")).groupBy("t").agg(F.count("*").alias("held"))
     words = sets.join(own, "doc_id").select("doc_id", "c", "outer", "n", "set", F.explode("shingles").alias("t"))
     rank = F.dense_rank().over(Window.partitionBy("doc_id", "set").orderBy("held", "t"))
     first = words.join(held, "t").withColumn("rank", rank).where(F.expr(f"rank <= n - (n * {percent} + 99) div 100 + 1 and held > 1"))
-    first = shared.saved(first.select("doc_id", "c", "outer", "n", "t"), "minhash-prefixes")
-    of = lambda x: first.select("t", F.col("doc_id").alias(x), F.col("c").alias(f"c{x}"), F.col("outer").alias(f"outer_{x}"), F.col("n").alias(f"n{x}"))
-    met = of("u").where("outer_u").join(of("v"), "t").where("cu != cv and (not outer_v or u < v)")
-    return met.where((F.col("nu") * 100 >= F.col("nv") * percent) & (F.col("nv") * 100 >= F.col("nu") * percent)).select("u", "v").distinct()
+    first = shared.saved(first.select("doc_id", "c", "outer", "n", "t", "rank"), "minhash-prefixes")
+    of = lambda x: first.select(F.col("t").alias(f"t{x}"), F.col("doc_id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("c", "outer", "n", "rank")])
+    able = (
+        "tu = tv and c_u != c_v and (not outer_v or u < v)"
+        f" and n_u * 100 >= n_v * {percent} and n_v * 100 >= n_u * {percent}"
+        f" and (1 + least(n_u - rank_u, n_v - rank_v)) * {100 + percent} >= {percent} * (n_u + n_v)"
+    )
+    return of("u").where("outer_u").join(of("v"), F.expr(able)).select("u", "v").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFrame:
@@ -196,12 +210,12 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     members = shared.saved(entries.join(pivots, "key"), "minhash-members")
     light = leaders.select("leader", "n", "sketch", "parity")
     ids = shared.saved(members.select(F.explode(F.array("leader", "pivot")).alias("doc_id")).distinct(), "minhash-ids")
-    sketches = light.select(F.col("leader").alias("doc_id"), "sketch", "parity")
-    sets = shingle_sets(docs.join(ids, "doc_id", "left_semi"), size).join(sketches, "doc_id")
+    sets = shingle_sets(docs.join(ids, "doc_id", "left_semi"), size)
     sets = sets.withColumns({"n": F.size("shingles").cast("long"), "set": F.xxhash64("shingles")})  # once a set, not once a shingle
     sets = shared.saved(sets, "minhash-sets", release=True)
     stars = shared.saved(members.where("leader != pivot").select(F.col("pivot").alias("u"), F.col("leader").alias("v")).distinct(), "minhash-stars")
-    links = shared.saved(_verified(stars, sets, percent), "minhash-links")
+    able = shared.saved(_sifted(stars, light, percent), "minhash-able")
+    links = shared.saved(_verified(able, sets, percent), "minhash-links")
     found = shared.saved(components(links), "minhash-components")
 
     # members outside their pivot's component, against the other components of their bucket
@@ -212,8 +226,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     open_keys = placed.where("c != p").select("key").distinct()
     near = placed.join(open_keys, "key").groupBy("leader").agg(F.first("c").alias("c"), F.max(F.col("c") != F.col("p")).alias("outer"))
     rest = _meeting(shared.saved(near, "minhash-near"), sets, percent)
-    side = lambda x: light.select(F.col("leader").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("parity").alias(f"p{x}"))
-    rest = rest.join(side("u"), "u").join(side("v"), "v").where(_near(percent)).select("u", "v").distinct()
+    rest = _sifted(rest, light, percent)
     rest = shared.saved(rest.join(stars.select("u", "v").unionAll(stars.select("v", "u")), ["u", "v"], "left_anti"), "minhash-rest")
     if not rest.isEmpty():
         more = _verified(rest, sets, percent)
