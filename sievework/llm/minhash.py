@@ -244,24 +244,37 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     )
 
 
+def _row_names(docs: DataFrame) -> DataFrame:
+    """Numbers of their own for the rows that doc_id does not name: those without one, those whose doc_id has several texts,
+    and ids from 2^62 on, where these numbers lie. id, a, b (two hashes of the text), name, copies (rows that repeat all)."""
+    keys = docs.groupBy("id", "a", "b").agg(F.count("*").alias("copies"))
+    several = keys.groupBy("id").agg(F.count("*").alias("texts")).where("texts > 1").select("id", F.lit(True).alias("several"))
+    odd = keys.join(several, "id", "left").where(f"id is null or several or copies > 1 or id >= {1 << 62}")
+    number = F.monotonically_increasing_id() + F.lit(1 << 62)
+    name = F.when(F.col("id").isNull() | F.col("several") | (F.col("id") >= 1 << 62), number).otherwise(F.col("id"))
+    return shared.saved(odd.select("id", "a", "b", name.alias("name"), "copies"), "minhash-names")
+
+
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group, with its own columns.
+    """One document of each group, with its own columns, whatever their names.
 
-    Decisions fall on rows. A row goes by its doc_id; one without, and rows that share a doc_id but not the text, go by a hash
-    of doc_id and text in the upper half of the numbers. So rows that repeat both are one document, of which one stays; rows
+    Decisions fall on rows. A row goes by its doc_id; one without, and rows that share a doc_id but not the text, go by a number
+    that doc_id and two hashes of the text (128 bits) get. So rows that repeat both are one document, of which one stays; rows
     that share a doc_id but are no near-duplicates all stay, and so do unlike rows without doc_id. Of a group, the row with
-    the least doc_id stays, one without doc_id last."""
-    text = F.xxhash64("text")
-    sums = docs.select("doc_id", text.alias("h")).groupBy(F.col("doc_id").alias("id")).agg(F.min("h").alias("low"), F.max("h").alias("high"))
-    shared_ids = shared.saved(sums.where("low <> high").select("id", F.lit(True).alias("several")), "minhash-several")
-    own = F.col("doc_id").cast("long")
-    hashed = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
-    name = F.when(own.isNull() | F.col("several"), hashed).otherwise(own).alias("row")
-    whole = F.struct(*[F.col(f"d.`{c}`") for c in docs.columns]).alias("doc")
-    docs = docs.alias("d").join(shared_ids, F.col("d.doc_id") == F.col("id"), "left").select(F.col("d.doc_id").alias("doc_id"), F.col("d.text").alias("text"), whole, "several")
-    groups = near_duplicates(docs.select(name, "text").withColumnRenamed("row", "doc_id"), size, percent).select(F.col("doc_id").alias("row"), "component_id")
-    ids = docs.select(name, F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("first"))
-    best = groups.distinct().join(ids.distinct(), "row").groupBy("component_id").agg(F.min(F.struct("first", "row"))["row"].alias("row"))
-    kept = shared.saved(best.select("row"), "minhash-kept")
-    rows = docs.select(name, "doc")
-    return rows.join(kept, "row", "left_semi").groupBy("row").agg(F.first("doc").alias("doc")).select("doc.*")
+    the least doc_id stays, one without doc_id last. Other columns decide nothing, except that of rows that repeat doc_id and
+    text any one may be the one that stays."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    packed = docs.select(whole)
+    text = F.col("doc.text")
+    # the second hash reads the text behind a prefix, so it starts from another state
+    packed = packed.select(F.col("doc.doc_id").cast("long").alias("id"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit("b"), text).alias("b"), "doc")
+    names = _row_names(packed.select("id", "a", "b")).select(F.col("id").alias("odd_id"), F.col("a").alias("odd_a"), F.col("b").alias("odd_b"), "name", "copies")
+    same = F.col("id").eqNullSafe(F.col("odd_id")) & (F.col("a") == F.col("odd_a")) & (F.col("b") == F.col("odd_b"))
+    named = packed.join(names, same, "left").select(F.coalesce("name", "id").alias("row"), "id", F.coalesce("copies", F.lit(1)).alias("copies"), "doc")
+    groups = near_duplicates(named.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), size, percent)
+    groups = groups.select(F.col("doc_id").alias("row"), "component_id").distinct()
+    ids = named.select("row", F.coalesce("id", F.lit((1 << 63) - 1)).alias("first")).distinct()
+    best = groups.join(ids, "row").groupBy("component_id").agg(F.min(F.struct("first", "row"))["row"].alias("row"))
+    kept = named.join(shared.saved(best.select("row"), "minhash-kept"), "row", "left_semi")
+    once = kept.where("copies > 1").groupBy("row").agg(F.first("doc").alias("doc"))
+    return kept.where("copies = 1").select("doc.*").union(once.select("doc.*"))

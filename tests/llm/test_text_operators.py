@@ -91,6 +91,20 @@ def test_drop_near_duplicates_decides_on_rows(spark):
     assert got == sorted([(None, a), (None, b), (3, c), (7, d), (None, None), (8, None)], key=str)
 
 
+def test_drop_near_duplicates_with_clashing_names_and_large_ids(spark):
+    """Columns named like the operator's own, ids from 2^62 on, rows that repeat all."""
+    from tests.llm.conftest import prose
+
+    names = "id several row doc d a b name copies first odd_id component_id u v n".split()
+    near = prose(910, 80).split()
+    texts = {(1 << 62) + 1: " ".join(near), (1 << 62) + 3: " ".join(near[:-1] + ["other"]), (1 << 63) - 1: prose(911, 60), 5: prose(912, 70), None: prose(913, 70)}
+    rows = [(k, t, *range(len(names))) for k, t in texts.items()] + [(5, texts[5], *range(len(names)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names))
+    got = minhash.drop_near_duplicates(docs)
+    assert got.columns == docs.columns
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted((r for r in rows[:-1] if r[0] != (1 << 62) + 3), key=str)
+
+
 def test_drop_contaminated_decides_on_texts(spark):
     a, b, c, d, docs = stage_rows(spark)
     items = spark.createDataFrame([(1, b), (2, c)], "item_id long, text string")
