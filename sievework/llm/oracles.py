@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, quality
+from . import mixing, quality, vectorcodes
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -52,4 +52,47 @@ _CONTAMINATION = rf"""
     FROM split s LEFT JOIN words ON s.doc_id = words.doc_id LEFT JOIN found ON s.doc_id = found.doc_id
     """
 
-ORACLES = {"op1_poisson_mixing": mixing.oracle(), "op3_quality_rules": _quality(), "op4_warc_index": _WARC, "op9_benchmark_decontamination": _CONTAMINATION}
+
+
+def _vector_codes() -> str:
+    """Lloyd's rounds without any bound: every part against every entry. Squares and sums are whole numbers below 2^53."""
+    parts, entries = vectorcodes.PARTS, vectorcodes.ENTRIES
+    steps = [
+        f"""usable AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * {vectorcodes.SCALE})) AS v, row_number() OVER (ORDER BY vec_id) - 1 AS e
+                   FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"points AS MATERIALIZED (SELECT e, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS x FROM (SELECT e, v, unnest(range({parts})) AS p FROM usable))",
+        f"book0 AS MATERIALIZED (SELECT p, e, x AS c, list_inner_product(x, x) AS cc FROM points WHERE e < {entries})",
+    ]
+    for r in range(vectorcodes.ROUNDS + 1):
+        steps.append(
+            f"""near{r} AS MATERIALIZED (SELECT q.e AS i, q.p, min((cc - 2 * list_inner_product(c, x) + list_inner_product(x, x), b.e)) AS best
+                FROM points q JOIN book{r} b ON q.p = b.p GROUP BY q.e, q.p)"""
+        )
+        if r < vectorcodes.ROUNDS:
+            steps.append(
+                f"""mean{r} AS (SELECT p, e, list(s ORDER BY j) AS c FROM
+                    (SELECT n.p, n.best[2] AS e, j, floor(sum(x[j]) / count(*)) AS s FROM near{r} n JOIN points q ON q.e = n.i AND q.p = n.p, unnest(range(1, len(x) + 1)) AS t(j) GROUP BY ALL) GROUP BY p, e),
+                book{r + 1} AS MATERIALIZED (SELECT p, e, k AS c, list_inner_product(k, k) AS cc FROM (SELECT b.p, b.e, coalesce(m.c, b.c) AS k FROM book{r} b LEFT JOIN mean{r} m ON m.p = b.p AND m.e = b.e))"""
+            )
+    last = vectorcodes.ROUNDS
+    return f"""
+    WITH {", ".join(steps)},
+    sha AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: x::BIGINT::VARCHAR), ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{last}),
+    codes AS (SELECT i, string_agg(printf('%02x', best[2]::BIGINT), '' ORDER BY p) AS code, sum(best[1])::BIGINT AS error FROM near{last} GROUP BY i)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM codes JOIN usable ON i = e, sha
+    """
+
+
+_EXACT = """
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+    FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+    """
+
+ORACLES = {
+    "op1_poisson_mixing": mixing.oracle(),
+    "op3_quality_rules": _quality(),
+    "op4_warc_index": _WARC,
+    "op9_benchmark_decontamination": _CONTAMINATION,
+    "op11_vector_codes": _vector_codes(),
+    "op12_exact_dedup": _EXACT,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention, decontaminate, htmltext, langid, minhash, mixing, oracles, quality, substrings, tokens, warc
+from . import alignment, attention, decontaminate, exactdup, htmltext, langid, minhash, mixing, oracles, quality, substrings, tokens, vectorcodes, warc
 from .shared import new_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -64,6 +64,18 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.token_alignment(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -77,6 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_repeated_substrings,
         op9_benchmark_decontamination,
         op10_html_text,
+        op11_vector_codes,
+        op12_exact_dedup,
+        op13_token_alignment,
     )
 }
 

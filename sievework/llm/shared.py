@@ -38,13 +38,34 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a table or a folder of files that nothing reads any more."""
+    system, at = _file_system(spark, path)
+    system.delete(at, True)
+
+
+def until_exit(spark: SparkSession, path: str) -> None:
+    """Have a written folder removed when the driver ends: results read it until then."""
+    system, at = _file_system(spark, path)
+    system.deleteOnExit(at)
+
+
+def saved_to(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    until_exit(df.sparkSession, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def saved(df: DataFrame, label: str, release: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage, survives lost executors, and lets the
     shuffle files behind it go. release: see to it that these files are gone before more work begins."""
     spark = df.sparkSession
-    path = new_folder(spark, label)
-    df.write.parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
+    back = saved_to(df, new_folder(spark, label))
     for _ in range(2 if release else 1):
         # Spark drops shuffle files once the driver has collected the plan that made them; listeners hold it for a moment
         time.sleep(0.7 if release else 0)
@@ -52,11 +73,6 @@ def saved(df: DataFrame, label: str, release: bool = False) -> DataFrame:
     return back
 
 
-def is_small(df: DataFrame, most: int) -> bool:
-    """Whether a table has at most so many rows; reads no more than it must."""
-    return df.limit(most + 1).count() <= most
-
-
 def parts_for(df: DataFrame, bytes_each: int = 16 << 20, least: int = 8) -> int:
     """A number of partitions in proportion to the input, from the optimizer's size estimate; the session's number of
     shuffle partitions where Spark knows no size."""

@@ -11,7 +11,7 @@ from tests.test_queries import plain
 def test_query(spark, sf_dir, name):
     folder = sf_dir.replace("0.001", "0.01")
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
     got, want = queries.QUERIES[name](spark, folder).toPandas(), con.execute(oracles.ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns) and len(got) == len(want)
