@@ -10,8 +10,9 @@ How many documents hold a pair linked is counted over the whole corpus. A block
 tells how many of its documents hold each; these numbers travel, not the links. Spark adds them up, finds the highest count of
 each A id, and hands the counts back to the block, where one step sums them over the links of each document.
 
-A long text is cut in front of single spaces between printable characters, where neither tokenizer joins anything, and its
-segments are aligned one after the other; memory follows the segment and the distinct pairs of a document.
+Texts are cut in front of single spaces next to printable characters, where neither tokenizer joins anything: each
+distinct piece of a block is encoded once and its ids are laid out for every occurrence. A long text is aligned in segments,
+one after the other; memory follows the segment and the distinct pairs of a document.
 
 Defined results: texts that are null or empty, and those that the tokens of A or B do not spell byte for byte (B folds
 U+2581 and spaces, for one), have no tokens: zeros and an empty digest; they count for no pair. Rows that repeat a doc_id or a
@@ -20,7 +21,6 @@ text are documents of their own. An empty table gives no rows. Other columns are
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 
 import numpy as np
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from . import shared
+from . import shared, tokens
 
 BLOCK_BYTES = 2 << 20
 #: Characters of a long text that are tokenized at a time, roughly.
@@ -53,43 +53,49 @@ def _byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+class PlainEncoder(tokens.PieceEncoder):
+    """Tokenizer A; the strings of its special tokens are plain text."""
+
+    def _load(self, path: str) -> int:
+        size = super()._load(path)
+        self.tokenizer.encode_special_tokens = True
+        return size
+
+    def bytes_of_ids(self) -> list[bytes]:
+        of, out = _byte_of_character(), [b""] * self.vocabulary
+        for token, i in self.tokenizer.get_vocab().items():
+            out[i] = bytes(of[c] for c in token) if all(c in of for c in token) else token.encode()
+        return out
+
+
+class ModelEncoder(tokens.PieceEncoder):
+    """Tokenizer B, which adds the space that each of its pieces begins with."""
+
+    def _load(self, path: str) -> int:
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        if any("▁" in self.model.id_to_piece(i).lstrip("▁") for i in range(self.model.get_piece_size())):
+            raise ValueError("a piece joins a space to what stands before it, so texts can't be cut in front of spaces")
+        return self.model.get_piece_size()
+
+    def _tokenized(self, pieces: list[str]) -> list[list[int]]:
+        return self.model.encode([p[1:] for p in pieces], num_threads=1)
+
+    def bytes_of_ids(self) -> list[bytes]:
+        pieces = enumerate(map(self.model.id_to_piece, range(self.vocabulary)))
+        return [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces]
+
+
 class Vocabularies:
     """Both tokenizers, and for each of them the bytes of every id."""
 
     def __init__(self, a_path: str, b_path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import sentencepiece
-        from tokenizers import Tokenizer
-
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        of = _byte_of_character()
-        self.a_bytes = [b""] * self.a.get_vocab_size()
-        for token, i in self.a.get_vocab().items():
-            self.a_bytes[i] = bytes(of[c] for c in token) if all(c in of for c in token) else token.encode()
-        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a, self.b = PlainEncoder(a_path), ModelEncoder(b_path)
+        self.a_bytes, self.b_bytes = self.a.bytes_of_ids(), self.b.bytes_of_ids()
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         if len(self.b_bytes) > 1 << B_BITS:
             raise ValueError("the piece vocabulary has too many ids for a pair's number")
-        #: Whether no piece joins a space to what stands before it, so that cuts in front of spaces are safe.
-        self.apart = not any("▁" in p.lstrip("▁") for p in pieces)
-
-    def segments(self, text: str) -> list[str]:
-        """The text behind its space, in segments that both tokenizers take apart anyway; each begins with a space."""
-        text = " " + text
-        out, at = [], 0
-        while self.apart and len(text) - at > SEGMENT:
-            cut = _CUT.search(text, at + SEGMENT)
-            if cut is None:
-                break
-            out.append(text[at : cut.start()])
-            at = cut.start()
-        return [*out, text[at:]]
-
-    def encode(self, segments: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        return [e.ids for e in self.a.encode_batch_fast(segments, add_special_tokens=False)], self.b.encode([s[1:] for s in segments], num_threads=1)
 
 
 _LOADED: dict[tuple[str, str], Vocabularies] = {}
@@ -205,66 +211,93 @@ def _spelled(a: np.ndarray, b: np.ndarray, a_upto: np.ndarray, b_upto: np.ndarra
     return shown[np.arange(_DIGITS) <= size[:, None]].tobytes(), upto[ends - 1]
 
 
+def segments(text: str) -> list[bytes]:
+    """The text behind its space, in segments of about SEGMENT characters that each begin with a space."""
+    text = " " + text
+    out, at = [], 0
+    while len(text) - at > SEGMENT:
+        cut = _CUT.search(text, at + SEGMENT)
+        if cut is None:
+            break
+        out.append(text[at : cut.start()].encode())
+        at = cut.start()
+    return [*out, text[at:].encode()]
+
+
+def _batches(texts: list[str | None]):
+    """Segments of the texts in batches of limited size: (index of the text, bytes) each."""
+    batch, size = [], 0
+    for i, text in enumerate(texts):
+        for segment in segments(text) if text else ():
+            if batch and size + len(segment) > BLOCK_BYTES:
+                yield batch
+                batch, size = [], 0
+            batch.append((i, segment))
+            size += len(segment)
+    if batch:
+        yield batch
+
+
+def _spells(raw: bytes, offsets: np.ndarray, side: np.ndarray, counts: np.ndarray, of: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """For each segment, whether its tokens spell its bytes."""
+    parts = [of[i] for i in side.tolist()]
+    upto = np.concatenate(([0], np.cumsum(counts)))
+    lengths = np.diff(np.concatenate(([0], np.cumsum(sizes[side])))[upto])
+    fits = lengths == np.diff(offsets)
+    if fits.all() and b"".join(parts) == raw:
+        return fits
+    for j in np.flatnonzero(fits).tolist():
+        fits[j] = b"".join(parts[upto[j] : upto[j + 1]]) == raw[offsets[j] : offsets[j + 1]]
+    return fits
+
+
 def align_block(texts: list[str | None], voc: Vocabularies) -> tuple[list[tuple], np.ndarray, np.ndarray]:
     """For each text (n_a, n_b, n_groups, n_links, groups_sha256); then the distinct (text, pair) keys with their links."""
-    sizes = [len(t.encode()) + 1 if t else 0 for t in texts]
-    out, keys, times = [(0, 0, 0, 0, "")] * len(texts), [], []
-    whole = [i for i, t in enumerate(texts) if t and len(t) <= SEGMENT]
-    runs = [(whole, [" " + texts[i] for i in whole])] if whole else []
-    long = [(i, voc.segments(t)) for i, t in enumerate(texts) if t and len(t) > SEGMENT]
-    for owners, segments in runs:
-        many_a, many_b = voc.encode(segments)
-        good = [j for j in range(len(owners)) if _spells(segments[j], many_a[j], many_b[j], voc)]
-        if not good:
-            continue
-        a, b, cuts, a_upto, b_upto = _joined([many_a[j] for j in good], [many_b[j] for j in good], voc)
-        last = np.searchsorted(cuts, np.cumsum([sizes[owners[j]] for j in good]) - 1, side="right")  # groups up to each text's end
-        first = np.concatenate(([0], last[:-1]))
+    totals = np.zeros((len(texts), 4), np.int64)
+    spelled_by: dict = {}  # the digest of each text so far, None if its tokens do not spell it
+    keys, times = [], []
+    for batch in _batches(texts):
+        owners, raw = np.array([i for i, _ in batch]), b"".join(x for _, x in batch)
+        offsets = np.concatenate(([0], np.cumsum([len(x) for _, x in batch])))
+        data = np.frombuffer(raw, np.uint8)
+        (a, n_a), (b, n_b) = voc.a.encode(data, offsets), voc.b.encode(data, offsets)
+        a, b = a.astype(np.int64), b.astype(np.int64)
+        good = _spells(raw, offsets, a, n_a, voc.a_bytes, voc.a_size) & _spells(raw, offsets, b, n_b, voc.b_bytes, voc.b_size)
+        if not good.all():
+            a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+        for i in owners[~good].tolist():
+            spelled_by[i] = None
+        ends = np.cumsum(np.diff(offsets)[good]) - 1
+        cuts, a_upto, b_upto = groups(voc.a_size[a], voc.b_size[b])
+        last = np.searchsorted(cuts, ends, side="right")  # groups up to each segment's end
+        first = np.concatenate(([0], last[:-1])).astype(np.int64)
         links = np.concatenate(([0], np.cumsum(np.diff(a_upto, prepend=0) * np.diff(b_upto, prepend=0))))
         spelled, at = _spelled(a, b, a_upto, b_upto, max(len(voc.a_bytes), len(voc.b_bytes)))
         at = np.concatenate(([0], at))
-        for j, f, t in zip(good, first.tolist(), last.tolist()):
-            digest = hashlib.sha256(spelled[at[f] : at[t] - 1]).hexdigest()
-            out[owners[j]] = (len(many_a[j]), len(many_b[j]), t - f, int(links[t] - links[f]), digest)
-        owner = np.repeat(np.array([owners[j] for j in good], np.int64), last - first)
-        k, n = _expanded(a, b, a_upto, b_upto, owner)
+        np.add.at(totals, owners[good], np.stack([n_a[good], n_b[good], last - first, links[last] - links[first]], axis=1))
+        for i, f, t in zip(owners[good].tolist(), at[first].tolist(), at[last].tolist()):
+            digest = spelled_by.get(i, ...)
+            if digest is None:
+                continue
+            if digest is ...:
+                digest = spelled_by[i] = hashlib.sha256()
+            else:
+                digest.update(b";")
+            digest.update(spelled[f : t - 1])
+        k, n = _expanded(a, b, a_upto, b_upto, np.repeat(owners[good], last - first))
         keys.append(k)
         times.append(n)
-    for i, segments in long:
-        total, digest, own_keys, own_times = np.zeros(4, np.int64), hashlib.sha256(), [], []
-        for s, segment in enumerate(segments):
-            (one_a,), (one_b,) = voc.encode([segment])
-            if not _spells(segment, one_a, one_b, voc):
-                break
-            a, b, _, a_upto, b_upto = _joined([one_a], [one_b], voc)
-            spelled, _ = _spelled(a, b, a_upto, b_upto, max(len(voc.a_bytes), len(voc.b_bytes)))
-            digest.update(b";" * (s > 0) + spelled[:-1])
-            total += (len(a), len(b), len(a_upto), (np.diff(a_upto, prepend=0) * np.diff(b_upto, prepend=0)).sum())
-            k, n = _expanded(a, b, a_upto, b_upto, np.full(len(a_upto), i, np.int64))
-            own_keys.append(k)
-            own_times.append(n)
-        else:
-            out[i] = (*total.tolist(), digest.hexdigest())
-            keys += own_keys
-            times += own_times
+    out = [(*row, spelled_by[i].hexdigest()) if spelled_by.get(i) else (0, 0, 0, 0, "") for i, row in enumerate(totals.tolist())]
     if not keys:
         return out, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if len(keys) == 1:
-        return out, keys[0], times[0]
-    k, back = np.unique(np.concatenate(keys), return_inverse=True)
-    n = np.zeros(len(k), np.int64)
-    np.add.at(n, back, np.concatenate(times))
-    return out, k, n
-
-
-def _spells(segment: str, a: list[int], b: list[int], voc: Vocabularies) -> bool:
-    raw = segment.encode()
-    return b"".join([voc.a_bytes[i] for i in a]) == raw and b"".join([voc.b_bytes[i] for i in b]) == raw
-
-
-def _joined(many_a: list[list[int]], many_b: list[list[int]], voc: Vocabularies):
-    a, b = (np.fromiter((i for ids in many for i in ids), np.int64, sum(map(len, many))) for many in (many_a, many_b))
-    return a, b, *groups(voc.a_size[a], voc.b_size[b])
+    k, n = keys[0], times[0]
+    if len(keys) > 1:
+        k, back = np.unique(np.concatenate(keys), return_inverse=True)
+        n = np.zeros(len(k), np.int64)
+        np.add.at(n, back, np.concatenate(times))
+    odd = [i for i, digest in spelled_by.items() if digest is None]
+    whole = ~np.isin(k >> (2 * B_BITS), odd)
+    return out, k[whole], n[whole]
 
 
 # --- Spark -----------------------------------------------------------------------------------------------------------

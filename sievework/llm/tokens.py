@@ -121,14 +121,21 @@ class PieceEncoder:
     more than REMEMBERED, those that came up only once since the last time are forgotten."""
 
     def __init__(self, path: str):
+        self.vocabulary = self._load(path)
+        self.hasher = shared.Hasher(5)
+        self.keys, self.firsts, self.counts, self.again = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
+        self.ids = np.zeros(0, np.uint16 if self.vocabulary <= 1 << 16 else np.uint32)
+
+    def _load(self, path: str) -> int:
+        """Load the tokenizer; the size of its vocabulary."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.vocabulary = self.tokenizer.get_vocab_size()
-        self.hasher = shared.Hasher(5)
-        self.keys, self.firsts, self.counts, self.again = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
-        self.ids = np.zeros(0, np.uint16 if self.vocabulary <= 1 << 16 else np.uint32)
+        return self.tokenizer.get_vocab_size()
+
+    def _tokenized(self, pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def _forget(self) -> None:
         keep = np.flatnonzero(self.again)
@@ -143,7 +150,7 @@ class PieceEncoder:
         raw, all_counts, all_ids = data.tobytes(), [], [self.ids]
         for at in range(0, len(keys), AT_A_TIME):
             pieces = [raw[b:e].decode() for b, e in zip(starts[at : at + AT_A_TIME].tolist(), ends[at : at + AT_A_TIME].tolist())]
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            got = self._tokenized(pieces)
             all_counts.append(np.fromiter(map(len, got), np.int64, len(got)))
             all_ids.append(np.fromiter((i for g in got for i in g), self.ids.dtype, all_counts[-1].sum()))
         counts = np.concatenate(all_counts)
