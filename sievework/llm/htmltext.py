@@ -25,7 +25,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -279,16 +279,17 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars."""
     tree = train()
 
-    def run(batches: Iterator[pd.DataFrame]):
+    def run(batches: Iterator[pa.RecordBatch]):
         for pages in batches:
-            all_blocks = [blocks_of(h) if h else [] for h in pages["html"]]
+            all_blocks = [blocks_of(h) if h else [] for h in pages.column("html").to_pylist()]
             full = [b for b in all_blocks if b]
             keep = tree.predict(np.vstack([features(b) for b in full])) if full else np.zeros(0, bool)
             texts, at = [], 0
             for b in all_blocks:
                 texts.append("\n".join(x[5] for x, k in zip(b, keep[at : at + len(b)]) if k))
                 at += len(b)
-            yield pd.DataFrame({"page_id": pages["page_id"], "url": pages["url"], "text": texts}).astype({"page_id": "Int64"})
+            # ids pass as they are: through pandas, a null among them would make them floats
+            yield pa.RecordBatch.from_arrays([pages.column("page_id"), pages.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
-    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    return pages.mapInPandas(run, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
+    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    return pages.mapInArrow(run, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
