@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import alignment, attention, decontaminate, exactdup, htmltext, langid, minhash, mixing, oracles, quality, substrings, tokens, vectorcodes, warc
-from .shared import new_folder, table
+from .shared import new_folder, table, until_exit
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -35,12 +35,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = warc.write_archives(table(spark, sf_dir, "pages"), new_folder(spark, "warc"))
+    folder = new_folder(spark, "warc")
+    index = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    until_exit(spark, folder)
     return warc.read_archives(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = tokens.write_token_files(table(spark, sf_dir, "documents"), tokenizer_path(), new_folder(spark, "tokens"))
+    folder = new_folder(spark, "tokens")
+    index = tokens.write_token_files(table(spark, sf_dir, "documents"), tokenizer_path(), folder)
+    until_exit(spark, folder)
     return tokens.read_token_files(index)
 
 

@@ -25,7 +25,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
@@ -36,6 +36,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "file string, offset long, length long, page_id long, url string, payload_digest string, record_type string, refers_to long"
 RANGE_BYTES = 4 << 20
 GAP_BYTES = 64 << 10
+#: An archive ends with the record that reaches this size, so archives do not grow with the partitions.
+ROLL_BYTES = 256 << 20
 HOT_SHARE = 500
 
 
@@ -90,34 +92,40 @@ def _roles(pages: DataFrame) -> DataFrame:
     return joined.select("page_id", "url", "html", F.coalesce("hot", "cold").alias("first"))
 
 
-def write_archives(pages: DataFrame, folder: str) -> DataFrame:
-    """Write one archive a task, and return the index, read back from its table."""
+def write_archives(pages: DataFrame, folder: str, roll: int = ROLL_BYTES) -> DataFrame:
+    """Write archives of `roll` bytes or a record more, and return the index, read back from its table. Ids stay whole numbers of
+    64 bits on their way through the tasks."""
+    schema = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()), ("digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
 
-    def write(batches: Iterator[pd.DataFrame]):
-        name = f"{folder}/pages-{TaskContext.get().partitionId():06d}.warc.gz"
-        out, at = None, 0
+    def write(batches: Iterator[pa.RecordBatch]):
+        task, archives = TaskContext.get().partitionId(), 0
+        out, name, at = None, None, 0
         for pages in batches:
             rows = []
-            for page_id, url, html, first in zip(pages["page_id"], pages["url"], pages["html"], pages["first"]):
+            for page in pages.to_pylist():
                 if out is None:
+                    name, at = f"{folder}/pages-{task:06d}-{archives:04d}.warc.gz", 0
                     out = files.Replacing(name)
-                page_id = None if pd.isna(page_id) else int(page_id)
-                refers = None if pd.isna(first) or int(first) == page_id else int(first)
-                payload = html.encode()
+                    archives += 1
+                page_id, first, payload = page["page_id"], page["first"], page["html"].encode()
+                refers = None if first is None or first == page_id else first
                 digest = digest_of(payload)
-                data = make_record(page_id, url, payload, digest, refers)
+                data = make_record(page_id, page["url"], payload, digest, refers)
                 out.stream.write(data)
-                rows.append((name, at, len(data), page_id, url, digest, "response" if refers is None else "revisit", refers))
+                rows.append((name, at, len(data), page_id, page["url"], digest, "response" if refers is None else "revisit", refers))
                 at += len(data)
-            made = pd.DataFrame(rows, columns=[x.split()[0] for x in INDEX.split(", ")])
-            yield made.astype({"page_id": "Int64", "refers_to": "Int64"})
+                if at >= roll:
+                    out.finish()
+                    out = None
+            if rows:
+                yield shared.columns_to_batch(schema, *zip(*rows))
         if out is not None:
             out.finish()
 
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     # the order in an archive is that of its rows, whatever order they arrive in, so a task that runs again writes the same file
     ordered = _roles(pages).sortWithinPartitions("page_id", "url", F.xxhash64("html"))
-    return shared.saved(ordered.mapInPandas(write, INDEX), "warc-index")
+    return shared.saved(ordered.mapInArrow(write, INDEX), "warc-index")
 
 
 def byte_ranges(index: DataFrame) -> DataFrame:
@@ -137,21 +145,24 @@ def byte_ranges(index: DataFrame) -> DataFrame:
 def read_archives(index: DataFrame, with_payload: bool = False) -> DataFrame:
     """The records that the index names, from the archives: page_id, url, payload_bytes, payload_digest, record_type,
     refers_to, and payload if asked for (null for revisits)."""
+    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
     out = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    out += ", payload binary" if with_payload else ""
+    if with_payload:
+        schema, out = schema.append(pa.field("payload", pa.binary())), out + ", payload binary"
 
     def number(text: str):
         digits = text.removeprefix("<urn:page:").removesuffix(">")
         return int(digits) if digits else None
 
-    def read(batches: Iterator[pd.DataFrame]):
+    def read(batches: Iterator[pa.RecordBatch]):
         for ranges in batches:
-            for file, start, size, places in zip(ranges["file"], ranges["start"], ranges["size"], ranges["places"]):
+            for wanted in ranges.to_pylist():
+                file, start = wanted["file"], wanted["start"]
                 with files.opened(file) as stream:
-                    stream.seek(int(start))
-                    data = stream.read(int(size))
+                    stream.seek(start)
+                    data = stream.read(wanted["size"])
                 rows = []
-                for place in places:
+                for place in wanted["places"]:
                     at = place["offset"] - start
                     r = parse_record(data[at : at + place["length"]])
                     f, revisit = r["fields"], r["fields"]["WARC-Type"] == "revisit"
@@ -160,8 +171,7 @@ def read_archives(index: DataFrame, with_payload: bool = False) -> DataFrame:
                         raise ValueError(f"damaged record at {place['offset']} of {file}")
                     row = (number(f["WARC-Record-ID"]), f["WARC-Target-URI"], r["payload_bytes"], digest, f["WARC-Type"], number(f["WARC-Refers-To"]) if revisit else None)
                     rows.append((*row, None if revisit else r["payload"]) if with_payload else row)
-                made = pd.DataFrame(rows, columns=[x.split()[0] for x in out.split(", ")])
-                yield made.astype({"page_id": "Int64", "refers_to": "Int64"})
+                yield shared.columns_to_batch(schema, *zip(*rows))
 
     ranges = byte_ranges(index)
-    return ranges.repartition(shared.parts_for(index, 1 << 20), "file", "start").mapInPandas(read, out)
+    return ranges.repartition(shared.parts_for(index, 1 << 20), "file", "start").mapInArrow(read, out)

@@ -45,6 +45,17 @@ def test_warc(spark, sf_dir, tmp_path):
         assert part and all(bytes(r.payload).decode() == (html[r.page_id] or "") for r in part if r.record_type == "response")
 
 
+def test_warc_of_large_ids(spark):
+    """Ids that doubles do not hold, a missing one among them, equal payloads, archives of a few records."""
+    big = 1 << 62
+    rows = [(big + k, "u", h) for k, h in ((1, "<p>a</p>"), (3, "<p>a</p>"), (5, "<p>b</p>"), (7, "é" * 600_000), (9, "é" * 600_000))] + [(None, "u", "<p>a</p>"), (None, "u", None), (-big - 1, "u", "<p>b</p>")]
+    index = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), shared.new_folder(spark, "test-warc"), roll=400)
+    got = warc.read_archives(index, with_payload=True).collect()
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=str) == brute_warc([(p, h) for p, _, h in rows])
+    held = {bytes(r.payload) for r in got if r.record_type == "response"}
+    assert held == {(h or "").encode() for *_, h in rows} and index.select("file").distinct().count() > 2
+
+
 def test_warc_of_nothing(spark):
     none = spark.createDataFrame([], pages_of(spark).schema)
     assert warc.read_archives(warc.write_archives(none, shared.new_folder(spark, "test-warc"))).count() == 0
@@ -303,6 +314,10 @@ def test_html(spark):
     assert by[1].text == want and by[1].n_chars == len(want) and by[2].text == "" and by[3].text == "" and by[None].text == "x"
     assert [r.page_id for r in got].count(1) == 2
     assert htmltext.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    ids = [(1 << 62) + 1, None, (1 << 62) + 3]
+    long = "<article>" + "<p>word</p>" * 200_000
+    got = htmltext.extract(spark.createDataFrame([(i, "u", long) for i in ids], "page_id long, url string, html string").coalesce(1)).collect()
+    assert [r.page_id for r in got] == ids and all(r.n_chars == 5 * 200_000 - 1 for r in got)
 
 
 LONG = "This is the first long paragraph of the main text of a page."
