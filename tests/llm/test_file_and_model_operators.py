@@ -208,6 +208,43 @@ def test_lm_scores(spark, odd, no_docs, sf_dir):
     assert attention.score(no_docs, queries.tokenizer_path()).count() == 0
 
 
+def test_lm_scores_follow_from_the_table_alone(spark, sf_dir):
+    """Other partitions and orders, rows of one doc_id, several learners: the same scores."""
+    docs = shared.table(spark, sf_dir, "documents").selectExpr("case when doc_id % 3 = 0 then 4 else doc_id end as doc_id", "text")
+    got = []
+    for table in (docs.coalesce(1).orderBy("text"), docs.repartition(9)):
+        rows = attention.score(table, queries.tokenizer_path(), sample_docs=60, share=4, each=300, group_bytes=150_000).collect()
+        got.append(sorted((r.doc_id, r.n_tokens, r.base_score, r.score) for r in rows))
+    a, b = (np.array(x) for x in got)
+    assert (a[:, :2] == b[:, :2]).all() and np.allclose(a[:, 2:], b[:, 2:], rtol=1e-6, atol=1e-6)
+
+
+def test_lm_scores_against_plain_loops(spark, odd):
+    """The score of each text, token by token, from the fitted parameters."""
+    docs = odd.where("length(text) < 1500 or text is null")
+    fitted = attention.fit(docs, queries.tokenizer_path(), sample_docs=20, share=2, each=20)
+    counts = {r.word: r.c for r in fitted.counts.collect()}
+    p, words = {k: v.astype(np.float64) for k, v in fitted.model.p.items()}, attention.Words(fitted.pieces.value)
+    want = []
+    for doc_id, text in [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]:
+        data = np.frombuffer(text.encode(), np.uint8)
+        sums, starts, ends, _, hashes = words.read(data, np.array([0, len(data)]))
+        kinds = [*attention.class_of(words.subwords(sums, starts, ends), fitted.frequent).tolist(), 0]
+        names = [*hashes.view(np.int64).tolist(), int(np.array(attention.END).view(np.int64))]
+        inputs = [attention.START, *kinds[:-1]]
+        score = 0.0
+        for t, kind in enumerate(kinds):
+            front = t // attention.STRIDE * attention.STRIDE - attention.STRIDE  # where the window begins, maybe in front of the text
+            x = {j: p["e"][inputs[j]] + p["pos"][j - front] for j in range(max(front, 0), t + 1)}
+            weights = {j: np.exp(x[t] @ p["q"] @ (v @ p["k"]) / np.sqrt(attention.WIDTH)) for j, v in x.items()}
+            seen = sum(w * (x[j] @ p["v"]) for j, w in weights.items()) / (sum(weights.values()) + 1e-9)
+            z = (x[t] + seen) @ p["w"] + p["b"]
+            score += (z[kind] - np.log(np.exp(z).sum())) / np.log(10) + np.log10((counts.get(names[t], 0) + 1) / (fitted.size[kind] + fitted.kinds[kind] + 1))
+        want.append((doc_id, score))
+    got = sorted((r.doc_id, r.score) for r in attention.score(docs, queries.tokenizer_path(), sample_docs=20, share=2, each=20).collect())
+    assert [(a, b) for a, b in zip(got, sorted(want)) if a[0] != b[0] or not np.isclose(a[1], b[1], rtol=1e-4, atol=1e-3)] == []
+
+
 def test_windows_score_once_and_look_back():
     rng = np.random.default_rng(0)
     tokens_ = rng.integers(0, attention.CLASSES, 100)
