@@ -1,11 +1,14 @@
 """Main text of web pages: flat text blocks, judged by a decision tree.
 
 A page is cut into blocks at block elements. A block's features are its number of words and its link density, the same of
-the blocks before and after it, and where it stands: its zone, whether it is a heading or a list item, and whether the
-page marks any content zone at all. The zone comes from the nearest telling ancestor: content (an article), the rest of a
-page (menus, footers, forms, adverts), or a header within content, which holds titles as well as bylines. A decision tree
-says which blocks are main text. It is grown from the blocks of the small labelled pages below; where a page has no telling
-elements, the sizes and link densities of the neighbours decide. The words of a text are never compared with lists.
+the blocks before and after it, whether it is a heading or a list item, and where it stands: its zone by elements alone, its
+zone by elements and names, how strongly names set it apart, and the size and link density of what is set apart with it. The
+zone comes from the nearest telling ancestor: content (an article), the rest of a page (menus, footers, forms, adverts), or a
+header within content, which holds titles as well as bylines. Names mislead: a container that holds most of the page's prose
+while no content stands elsewhere is not set apart by its name, nor is one that names itself content as well. A decision
+tree says which blocks are main text. It is grown from the blocks of the small labelled pages below, in which some names
+mislead, too; where a page has no telling elements, the sizes and link densities of the neighbours decide. The words of a
+text are never compared with lists.
 
 Everything happens within a page, so pages are neither shuffled nor grouped; a task holds one Arrow batch of whole pages,
 and works on one page at a time, in steps that are linear in its length.
@@ -22,6 +25,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html import unescape
 
 import numpy as np
@@ -36,7 +40,7 @@ BLOCKS = frozenset(
 RAW = "script|style|title|textarea"
 SILENT = frozenset("noscript template svg iframe object canvas select button audio video".split())
 FLAT = frozenset("button select iframe".split())  # never inside one of the same name: a second start leaves the first unclosed
-BOILERPLATE = frozenset("nav footer aside menu dialog fieldset".split())
+BOILERPLATE = frozenset("nav footer aside menu dialog".split())
 CONTENT = frozenset("article main".split())
 CONTAINERS = BLOCKS - frozenset("p hr h1 h2 h3 h4 h5 h6 dt dd li option td th tr tbody thead tfoot body html head".split())
 
@@ -46,6 +50,8 @@ ASIDE_PARTS = re.compile(
     r"ads?|adv|advert\w*|adsense|banners?|promo\w*|sponsor\w*|cookies?|consent|gdpr|notices?|alert|menus?|nav\w*|breadcrumbs?|sidebars?|footer|masthead|topbar|comments?|reply|replies|respond|disqus|share|sharing|social|related|recommended|subscribe|newsletter|signup|popup|modal|overlay|login|search|widgets?|toolbar|pagination|pager|copyright|legal|skip|complementary|contentinfo"
 )
 ADVERT_PARTS = re.compile(r"ads?|adv|advert\w*|adsense|promo\w*|sponsor\w*|cookies?|comments?|share|sharing|newsletter|subscribe")
+DISCUSSION_PARTS = re.compile(r"comments?|reply|replies|respond|disqus")
+LAYOUT_PARTS = frozenset("area bar block box button buttons col column container form group head icons inner item items left links list main outer page panel posts right row section site slot title top unit wrap wrapper".split())
 HEADER_PARTS = frozenset("header banner heading".split())
 CONTENT_PARTS = frozenset("article content post entry story main".split())
 BESIDE = frozenset("has with no without".split())
@@ -59,7 +65,8 @@ TOKEN = re.compile(
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
-FEATURES = ("zone", "marked", "heading", "item", "words", "links", "words_before", "links_before", "words_after", "links_after")
+FEATURES = ("zone", "marked", "heading", "item", "words", "links", "words_before", "links_before", "words_after", "links_after", "by_elements", "apart", "group_words", "group_links", "group_mean")
+MOST = 0.6  # share of a page's prose from which on the name of its container tells nothing
 
 # Labelled pages. +n stands for n words of main text, -n for n words of other text; both sit in the markup
 # that they would have. Pages with telling elements first, then pages of plain div and p elements, where the size and the
@@ -92,6 +99,23 @@ LABELLED = """
 <div>-2</div><div><a>-2</a></div><div>-3</div><div><a>-1</a></div><p>+28<p>+4<p>+31<div><a>-2</a></div><div>-3</div><div><a>-2</a></div>
 <p>+7
 <p>+50<p>+8
+<nav><a>-2</a></nav><article class="post category-legal tag-search"><h1>+6</h1><p>+40<p>+35</article><footer>-9</footer>
+<header><p>-3</header><div class="story social"><h1>+5</h1><p>+30<p>+60<a>+2</a></div><div class=sidebar><p>-20</div>
+<nav><a>-2</a></nav><article><h1>+7</h1><p>+50<section class=related-work><h2>+2</h2><p>+45<p>+38</section><p>+30</article><footer>-8</footer>
+<main><h1>+4</h1><p>+60<div class=legal-basis><p>+55<p>+40</div><div class=search-methods><h2>+3</h2><p>+33</div><p>+25</main>
+<main><p>+80<section class=social-history><h3>+2</h3><p>+28<ul><li>+9<li>+14</ul><p>+41</section></main><footer>-30</footer>
+<article><h1>+5</h1><p>+70<div class=related-posts><h3>-2</h3><ul><li><a>-6</a><li><a>-7</a></ul></div><div class=share-buttons><p>-2</div><p>+20</article>
+<article><p>+44<div class=promo-teaser><a>-9</a><p>-3</div><p>+51<div class=newsletter><p>-28</div></article>
+<article><p>+30<div class=social-proof><a>-4</a> <a>-3</a></div><p>+62<div class=login-hint><p>-6</div><p>+35</article>
+<div class="page-wrapper sidebar-right"><nav><a>-2</a></nav><article><h1>+6</h1><p>+48<p>+31</article><div class=widget><p>-15</div></div>
+<div id=search><h1>+4</h1><p>+52<p>+47</div><footer>-10</footer>
+<article><h1>+3</h1><fieldset><p>+26<p>+33</fieldset><p>+12</article>
+<nav><a>-3</a> <a>-2</a></nav><h1>+5</h1><p>+40<p>+35<footer><p>-9</footer>
+<header><p>-4</header><h1>+6</h1><p>+60<p>+44<p>+8<footer>-12 <a>-2</a></footer>
+<div id=search-page><nav><p>-8</nav><h1>+4</h1><p>+38<p>+52</div><footer>-31</footer>
+<div class=menu-wrapper><p>-6<a>-3</a></div><h1>+5</h1><p>+70<p>+33<aside><p>-20</aside><footer>-10</footer>
+<article><h1>+5</h1><p>+12</article><section id=comments><p>-80<p>-120<p>-60</section>
+<article><p>+20</article><div class=comment-list><p>-90<p>-45<a>-3</a><p>-130</div><footer>-4</footer>
 """
 LONG = 30  # words from which on a block's length tells nothing more
 NUMBER = re.compile(r"([+-])(\d+)")
@@ -142,14 +166,15 @@ class Tree:
 
 
 def features(blocks: list[tuple]) -> np.ndarray:
-    """One row for each block of a page; blocks: zone, heading, item, words, linked words."""
+    """One row for each block of a page, in the order of FEATURES; blocks: what blocks_of gives."""
     b = np.array([x[:5] for x in blocks], float).reshape(-1, 5)
     words, density = np.minimum(b[:, 3], LONG), b[:, 4] / np.maximum(b[:, 3], 1)
     around = np.zeros((len(b), 4))
     around[1:, 0], around[1:, 1] = words[:-1], density[:-1]
     around[:-1, 2], around[:-1, 3] = words[1:], density[1:]
     marked = np.full(len(b), float((b[:, 0] > OPEN).any()))
-    return np.column_stack((b[:, 0], marked, b[:, 1], b[:, 2], words, density, around))
+    where = np.array([x[6:] for x in blocks], float).reshape(-1, 5)
+    return np.column_stack((b[:, 0], marked, b[:, 1], b[:, 2], words, density, around, where))
 
 
 def train(table: str = LABELLED) -> Tree:
@@ -168,24 +193,104 @@ def names_in(attrs: str) -> list[list[str]]:
     return [[p for p in re.split(r"[_-]+", n) if p] for n in names]
 
 
-def zone_of(tag: str, attrs: str, zone: float) -> float:
-    """The zone inside a container that stands in `zone`."""
-    names = [n for n in names_in(attrs) if n and n[0] not in BESIDE]
-    content = any(p in CONTENT_PARTS for n in names for p in n)
-    header = tag == "header" or any(p in HEADER_PARTS for n in names for p in n)
-    if tag in BOILERPLATE or (attrs and HIDDEN.search(attrs)):
+def apart_by_names(names: list[list[str]]) -> int:
+    """How strongly names set a container apart: 0 not at all, 1 by a part of a name among others or next to a name of
+    content, 2 by a whole name, 3 as a discussion."""
+    level = 0
+    for n in names:
+        aside = [bool(ASIDE_PARTS.fullmatch(p)) for p in n]
+        if DISCUSSION_PARTS.fullmatch(n[0]):
+            return 3
+        if any(aside):
+            level = max(level, 2 if all(a or p in LAYOUT_PARTS or p.isdigit() for a, p in zip(aside, n)) else 1)
+    return min(level, 1) if any(p in CONTENT_PARTS for n in names for p in n) else level
+
+
+@dataclass(slots=True)
+class Container:
+    """An open element: its parent, and what its tag and its names say of it."""
+
+    tag: str
+    parent: int
+    boilerplate: bool  # by its tag, or hidden
+    header: bool
+    content: bool
+    level: int
+    prose: int = 0  # words outside links of all blocks within that no tag makes boilerplate
+
+    @staticmethod
+    def of(tag: str, attrs: str, parent: int) -> Container:
+        names = [n for n in names_in(attrs) if n and n[0] not in BESIDE]
+        content = any(p in CONTENT_PARTS for n in names for p in n)
+        header = tag == "header" or any(p in HEADER_PARTS for n in names for p in n)
+        return Container(tag, parent, tag in BOILERPLATE or bool(attrs and HIDDEN.search(attrs)), header, content, apart_by_names(names))
+
+
+def zone_in(c: Container, zone: float, level: int, named: bool = True) -> float:
+    """The zone inside a container that stands in `zone`, where its names set it apart by `level`."""
+    content = c.content and named
+    header = c.header if named else c.tag == "header"
+    if c.boilerplate:
         return OTHER
     if header and (zone > OPEN or content) and zone >= OPEN:
         return TITLES
-    if header or any(ASIDE_PARTS.fullmatch(p) for n in names for p in n):
+    if header or level:
         return OTHER
-    if tag == "form":
+    if c.tag == "form":
         return FORM if zone in (OPEN, FORM) else OTHER
-    if tag == "main" or (zone in (OPEN, FORM) and (tag in CONTENT or content)):
+    if c.tag == "main" or (zone in (OPEN, FORM) and (c.tag in CONTENT or content)):
         return MAIN  # an article inside the rest of a page, such as a comment, stays there
     return zone
 
 
+def placed(containers: list[Container], blocks: list[tuple]) -> list[tuple]:
+    """The blocks with what their places say: zone, heading, item, words, linked words, text, zone by elements, level of being
+    apart, and words, link density and mean words of all blocks that the same container sets apart."""
+    n = len(containers)
+    by_elements, inside = [OPEN] * n, [False] * n
+    for i, c in enumerate(containers):
+        if c.parent >= 0:
+            by_elements[i], inside[i] = by_elements[c.parent], inside[c.parent]
+        by_elements[i] = zone_in(c, by_elements[i], 0, named=False)
+        inside[i] |= c.tag in CONTENT or c.content
+    total, held = 0, [0] * n  # prose of the page, and of each container what of it lies within content
+    for at, _, _, words, linked, _, alone in blocks:
+        if alone or (at >= 0 and by_elements[at] in (OTHER, FORM)):
+            continue
+        total += words - linked
+        if at >= 0:
+            containers[at].prose += words - linked
+            held[at] += (words - linked) * inside[at]
+    marked = sum(held)
+    for i in range(n - 1, -1, -1):  # a parent stands before its children
+        if (up := containers[i].parent) >= 0:
+            containers[up].prose += containers[i].prose
+            held[up] += held[i]
+    level, zones, group = [0] * n, [OPEN] * n, [-1] * n
+    for i, c in enumerate(containers):
+        own = c.level
+        most = c.prose >= (MOST if own < 3 else 0.95) * max(total, 1) and marked == held[i]
+        if own and (most or (own == 1 and (c.content or c.tag in CONTENT))):
+            own = 0
+        up = c.parent
+        zones[i] = zone_in(c, zones[up] if up >= 0 else OPEN, own)
+        level[i] = max(own, level[up]) if up >= 0 else own
+        group[i] = group[up] if up >= 0 and group[up] >= 0 else i if own else -1
+    sums: dict[int, list[int]] = {}
+    for at, _, _, words, linked, _, alone in blocks:
+        g = group[at] if at >= 0 else -1
+        if g >= 0 and not alone:
+            got = sums.setdefault(g, [0, 0, 0])
+            got[0], got[1], got[2] = got[0] + words, got[1] + linked, got[2] + 1
+    out = []
+    for at, heading, item, words, linked, text, alone in blocks:
+        zone, plain, lev, g = (zones[at], by_elements[at], level[at], group[at]) if at >= 0 else (OPEN, OPEN, 0, -1)
+        own = [words, linked, 1] if alone else sums.get(g, [0, 0, 1])
+        zone = OTHER if alone or zone == FORM else zone
+        out.append((zone, heading, item, words, linked, text, OTHER if plain == FORM else plain, 2 if alone else lev, min(own[0], 300), own[1] / max(own[0], 1), min(own[0] / own[2], LONG)))
+    return out
+
+
 def apart(attrs: str) -> bool:
     """Whether a single block's own attributes set it apart from its surroundings."""
     return bool(attrs) and bool(HIDDEN.search(attrs) or any(n and n[0] not in BESIDE and any(ADVERT_PARTS.fullmatch(p) for p in n) for n in names_in(attrs)))
@@ -211,19 +316,20 @@ def silent_ends(tokens: list[re.Match]) -> dict[int, int]:
 
 
 def blocks_of(html: str) -> list[tuple]:
-    """The text blocks in page order: zone, heading, item, words, linked words, text."""
+    """The text blocks in page order, as placed() gives them."""
     out: list[tuple] = []
-    stack: list[tuple[str, float]] = []  # open containers, and the zone in each
+    containers: list[Container] = []
+    stack: list[int] = []  # open containers
     open_tags: Counter = Counter()
     parts: list[str] = []
     linked: list[str] = []
-    zone, link, heading, item, at, alone = OPEN, 0, 0, 0, 0, False
+    link, heading, item, at, alone = 0, 0, 0, 0, False
 
     def flush() -> None:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                out.append((OTHER if alone or zone == FORM else zone, heading, item, text.count(" ") + 1, len(unescape("".join(linked)).split()), text))
+                out.append((stack[-1] if stack else -1, heading, item, text.count(" ") + 1, len(unescape("".join(linked)).split()), text, alone))
             parts.clear()
             linked.clear()
 
@@ -253,15 +359,14 @@ def blocks_of(html: str) -> list[tuple]:
             if m["end"]:
                 if tag in CONTAINERS and open_tags[tag]:
                     while True:
-                        inner = stack.pop()[0]
+                        inner = containers[stack.pop()].tag
                         open_tags[inner] -= 1
                         if inner == tag:
                             break
-                    zone = stack[-1][1] if stack else OPEN
                     link = 0
             elif tag in CONTAINERS and not m["attrs"].endswith("/"):
-                zone = zone_of(tag, m["attrs"], zone)
-                stack.append((tag, zone))
+                containers.append(Container.of(tag, m["attrs"], stack[-1] if stack else -1))
+                stack.append(len(containers) - 1)
                 open_tags[tag] += 1
             alone = not m["end"] and tag not in CONTAINERS and apart(m["attrs"])
             heading = int(not m["end"] and len(tag) == 2 and tag[0] == "h" and tag[1].isdigit())
@@ -272,7 +377,7 @@ def blocks_of(html: str) -> list[tuple]:
             put(" " if tag == "br" else "")
     put(html[at:])
     flush()
-    return out
+    return placed(containers, out)
 
 
 def extract(pages: DataFrame) -> DataFrame:
