@@ -1,51 +1,70 @@
 """Verdict queries: routes, exclusions, chains, juries, states, scopes, accessions and paths.
 
-Stand-ins on the test tables: every order is a record, whose axes take values by a fixed mix of its key, so that all
-combinations occur; pages are paths and candidates of a crawl."""
+Stand-ins on the test tables: every order is a record. What is measured of it and its lines (quantities, discounts, taxes, days,
+flags, price, priority) gives each axis its value: the sum of two measures, a pair of its own for each axis, picks from the
+axis's values. Pages are paths and candidates of a crawl."""
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from ..operators import verdicts as vd
 from ..registry import query
 from ..sources.tables import table
 
-# Axes of the stand-in records: a prime that mixes the key, and the values.
+# Axes of the stand-in records and their values.
 AXES = {
-    "cell": (101, ["direct", "implied", "contradictory", "absent", "unclear"]),
-    "ms": (211, ["direct", "implied", "absent", "unclear"]),
-    "triage": (307, ["likely_true_scp", "possible_true_scp", "unlikely"]),
-    "priority": (401, ["A_specific", "B_method", "C_broad", "D_adjacent"]),
-    "final": (503, ["yes", "no", "uncertain"]),
-    "model": (601, ["yes", "no", "uncertain"]),
-    "route": (701, ["include_candidate", "review_high", "review_medium", "review_low"]),
-    "review_flag": (809, ["", "repository_qwen_overcall", "contradictory_cell_evidence", "other"]),
-    "evidence_flag": (907, ["individual_cell_language", "ms_proteomics_language", "benchmark_language", "explicit_pooling_language", "none"]),
-    "mode": (103, ["enriched_existing_sdrf", "validated_existing_sdrf", "generated"]),
-    "completeness": (223, ["locally_valid", "incomplete_required_metadata", "incomplete_template_isolation_method_gap", "incomplete_sample_to_file_or_channel_mapping", "incomplete_repository_archive_contents_mapping", "other"]),
-    "linkage": (311, ["partial", "none", "complete"]),
-    "blocker": (409, ["Template gap", "single_cell_required missing", "bigbio_required_value_unresolved:x", "data_file unknown", "isolation open", "branch 2", "semantic clash", "something"]),
-    "label": (509, ["Single-cell data", "low input run", "5 fractions", "clinical MSA", "yeast KO", "KO strain", "species mix", "DDA versus DIA", "window 4", "", "other"]),
-    "accession": (607, ["PXD012345", " pxd000001 ", "PXD12345", "MSV000083508", "msv1", "PXD01234x", "MSV", ""]),
+    "cell": ["direct", "implied", "contradictory", "absent", "unclear"],
+    "ms": ["direct", "implied", "absent", "unclear"],
+    "triage": ["likely_true_scp", "possible_true_scp", "unlikely"],
+    "priority": ["A_specific", "B_method", "C_broad", "D_adjacent"],
+    "final": ["yes", "no", "uncertain"],
+    "model": ["yes", "no", "uncertain"],
+    "route": ["include_candidate", "review_high", "review_medium", "review_low"],
+    "review_flag": ["", "repository_qwen_overcall", "contradictory_cell_evidence", "other"],
+    "evidence_flag": ["individual_cell_language", "ms_proteomics_language", "benchmark_language", "explicit_pooling_language", "none"],
+    "mode": ["enriched_existing_sdrf", "validated_existing_sdrf", "generated"],
+    "completeness": ["locally_valid", "incomplete_required_metadata", "incomplete_template_isolation_method_gap", "incomplete_sample_to_file_or_channel_mapping", "incomplete_repository_archive_contents_mapping", "other"],
+    "linkage": ["partial", "none", "complete"],
+    "blocker": ["Template gap", "single_cell_required missing", "bigbio_required_value_unresolved:x", "data_file unknown", "isolation open", "branch 2", "semantic clash", "something"],
+    "label": ["Single-cell data", "low input run", "5 fractions", "clinical MSA", "yeast KO", "KO strain", "species mix", "DDA versus DIA", "window 4", "", "other"],
+    "accession": ["PXD012345", " pxd000001 ", "PXD12345", "MSV000083508", "msv1", "PXD01234x", "MSV", ""],
 }
 REVIEW_AXES = {"composition": ["one", "multiple", "mixed_design"], "pooling": ["absent", "present", "absent"], "population_only": ["no", "no", "yes"], "target": ["yes", "yes", "no"], "cells": ["yes", "yes", "no"], "identity": ["yes", "yes", "no"], "benchmark": ["no", "yes"]}
-for _n, (_axis, _values) in enumerate(REVIEW_AXES.items()):
-    AXES |= {f"c_{_axis}": (113 + 14 * _n, _values), f"j_{_axis}": (127 + 18 * _n, _values)}
-BOOLS = {"single": (131, 3), "population": (149, 7), "control": (163, 4), "asked": (173, 2), "raw_samples": (181, 2), "valid": (191, 3), "audited": (193, 2)}  # prime, one in n is true
-COUNTS = {"n_primary": (197, 8), "conflicts": (199, 4), "contradictory": (229, 3), "clean": (233, 2), "errors": (239, 3)}
+AXES |= {f"{reviewer}_{axis}": values for reviewer in "cj" for axis, values in REVIEW_AXES.items()}
+BOOLS = {"single": 3, "population": 7, "control": 4, "asked": 2, "raw_samples": 2, "valid": 3, "audited": 2}  # one in n is true
+COUNTS = {"n_primary": 8, "conflicts": 4, "contradictory": 3, "clean": 2, "errors": 3}
+
+_SUMS = {
+    "quantity": "cast(l_quantity AS bigint)", "discount": "cast(round(l_discount * 100) AS bigint)", "tax": "cast(round(l_tax * 100) AS bigint)", "shipped": "day(l_shipdate)",
+    "returned": "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END", "lines": "1",
+}
+_OWN = {"price": "cast(floor(o_totalprice) AS bigint)", "ordered": "day(o_orderdate)", "urgency": "cast(substr(o_orderpriority, 1, 1) AS bigint)", "state": "instr('FOP', o_orderstatus)"}
+_PAIRS = combinations([*_SUMS, *_OWN], 2)
+PAIR = {axis: next(_PAIRS) for axis in [*AXES, *BOOLS, *COUNTS]}
+
+
+def _mix(axis: str) -> str:
+    return " + ".join(PAIR[axis])
+
 
-_MIX = "(o_orderkey * {p}) % 1009"
-_COLUMNS = [f"{list(v)}[1 + ({_MIX.format(p=p)}) % {len(v)}] AS {n}" for n, (p, v) in AXES.items()]
-_COLUMNS += [f"({_MIX.format(p=p)}) % {n} = 0 AS {name}" for name, (p, n) in BOOLS.items()] + [f"({_MIX.format(p=p)}) % {n} AS {name}" for name, (p, n) in COUNTS.items()]
-RECORDS = f"r AS (SELECT o_orderkey, {', '.join(_COLUMNS)} FROM orders)"
+_COLUMNS = [f"{v}[1 + ({_mix(n)}) % {len(v)}] AS {n}" for n, v in AXES.items()]
+_COLUMNS += [f"({_mix(n)}) % {k} = 0 AS {n}" for n, k in BOOLS.items()] + [f"({_mix(n)}) % {k} AS {n}" for n, k in COUNTS.items()]
+_MEASURED = f"""m AS (SELECT l_orderkey, {", ".join(f"sum({x})::BIGINT AS {n}" for n, x in _SUMS.items())} FROM lineitem GROUP BY l_orderkey),
+    o AS (SELECT o_orderkey, {", ".join(f"coalesce({n}, 0) AS {n}" for n in _SUMS)}, {", ".join(f"{x} AS {n}" for n, x in _OWN.items())} FROM orders LEFT JOIN m ON o_orderkey = l_orderkey)"""
+RECORDS = f"{_MEASURED}, r AS (SELECT o_orderkey, {', '.join(_COLUMNS)} FROM o)"
 
 
 def records(spark, sf_dir, *names: str):
-    key = F.col("o_orderkey")
-    made = {n: F.element_at(F.array(*[F.lit(x) for x in v]), (1 + key * p % 1009 % len(v)).cast("int")) for n, (p, v) in AXES.items()}
-    made |= {n: key * p % 1009 % k == 0 for n, (p, k) in BOOLS.items()} | {n: key * p % 1009 % k for n, (p, k) in COUNTS.items()}
-    return table(spark, sf_dir, "orders").select("o_orderkey", *[made[n].alias(n) for n in names])
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(*[F.expr(f"sum({x})").alias(n) for n, x in _SUMS.items()])
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", *[F.expr(x).alias(n) for n, x in _OWN.items()])
+    measured = orders.join(lines, "o_orderkey", "left").fillna(0, list(_SUMS))
+    mix = {n: sum((F.col(c) for c in pair[1:]), F.col(pair[0])) for n, pair in PAIR.items()}
+    made = {n: F.element_at(F.array(*[F.lit(x) for x in v]), (1 + mix[n] % len(v)).cast("int")) for n, v in AXES.items()}
+    made |= {n: mix[n] % k == 0 for n, k in BOOLS.items()} | {n: mix[n] % k for n, k in COUNTS.items()}
+    return measured.select("o_orderkey", *[made[n].alias(n) for n in names])
 
 
 @query(f"""WITH {RECORDS} SELECT o_orderkey, CASE cell || '/' || ms WHEN 'direct/direct' THEN 'direct_cell_and_ms' WHEN 'implied/direct' THEN 'plausible_cell_and_direct_ms' WHEN 'direct/implied' THEN 'plausible_but_both_not_direct'
