@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .spans import once
 from ..functions.columns import ascii_lower, excerpt, keep_rows, ladder
 
 
@@ -63,6 +64,54 @@ def score(docs: DataFrame, key: str, lanes: list[Lane], lexicon: list[Term], neg
     )
 
 
+@dataclass(frozen=True)
+class Signal:
+    """A pattern that counts for a label, with a proximity of its own inside."""
+
+    label: str
+    pattern: str
+    weight: int
+
+
+def signal_hits(lanes: list[Lane], signals: list[Signal], prefix: str = "raw_") -> Column:
+    """array<struct<lane, label, term, weight>> in order of lane and signal. A label counts once a lane, by the first of its
+    patterns that matches; term is that pattern's first match as it stands in the text."""
+    found = []
+    for lane in lanes:
+        text = F.col(f"{prefix}{lane.name}")
+        by_label: dict[str, list[Signal]] = {}
+        for s in signals:
+            by_label.setdefault(s.label, []).append(s)
+        for own in by_label.values():
+            steps = [(text.rlike(s.pattern), F.struct(F.lit(lane.name).alias("lane"), F.lit(s.label).alias("label"), F.regexp_extract(text, s.pattern, 0).alias("term"), F.lit(s.weight * lane.multiplier).alias("weight"))) for s in own]
+            found.append(ladder(*steps))
+    return F.array_compact(F.array(*found))
+
+
+def signal_score(docs: DataFrame, key: str, lanes: list[Lane], signals: list[Signal], strong: int = 36, possible: int = 14) -> DataFrame:
+    """key, score, tier, hits of the signals in all lanes."""
+    raw = docs.select(key, *[F.coalesce(F.col(x.column), F.lit("")).alias(f"raw_{x.name}") for x in lanes])
+    found = once(raw, hits=signal_hits(lanes, signals))
+    total = F.aggregate("hits", F.lit(0).cast("long"), lambda a, h: a + h["weight"])
+    return found.select(key, total.alias("score"), tier(total, strong, possible).alias("tier"), "hits")
+
+
+# The signals of a screen for single cells in mass spectrometry.
+_MS = r"(?:proteom\w*|mass\s+spectrom\w*|LC[- ]?MS|MS/MS)"
+_ONE = r"(?:single|individual)\s+(?:cells?|oocytes?|blastomeres?|neurons?|bacteri(?:um|a)|hepatocytes?|zygotes?|sperm(?:\s+cells?)?|egg\s+cells?)"
+_FIBRE = r"(?:single|individual)\s+(?:(?:skeletal|cardiac)\s+)?(?:(?:muscle|myo)\s*)?(?:fibers?|fibres?|myofibers?|myofibres?)"
+_IMAGING, _RESOLVED = r"(?:MALDI(?:[- ]?MSI)?|mass\s+spectrom(?:etry|etric)\s+imaging)", r"single[- ]cell(?:ular)?(?:\s+resolution)?"
+SINGLE_CELL_SIGNALS = [
+    Signal("individual_biological_cell_proteomics", rf"(?i)\b{_ONE}\b.{{0,100}}\b{_MS}\b", 12),
+    Signal("proteomics_individual_biological_cell", rf"(?i)\b{_MS}\b.{{0,100}}\b{_ONE}\b", 12),
+    Signal("one_cell_sample", r"(?i)\b(?:1|one)[- ]cell\s+(?:sample|well|proteom\w*)s?\b", 9),
+    Signal("single_muscle_fibre_proteomics", rf"(?i)\b{_FIBRE}\b.{{0,120}}\b{_MS}\b", 12),
+    Signal("single_muscle_fibre_proteomics", rf"(?i)\b{_MS}\b.{{0,120}}\b{_FIBRE}\b", 12),
+    Signal("single_cell_maldi_msi", rf"(?is)\b{_IMAGING}\b.{{0,300}}\b{_RESOLVED}\b", 10),
+    Signal("single_cell_maldi_msi", rf"(?is)\b{_RESOLVED}\b.{{0,300}}\b{_IMAGING}\b", 10),
+]
+
+
 def tier(total: Column, strong: int = 36, possible: int = 14) -> Column:
     return ladder((total >= strong, "strong"), (total >= possible, "possible"), (total > 0, "weak"), otherwise="none")
 

@@ -170,3 +170,33 @@ def html_to_text(spark, sf_dir):
     for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
         h = F.replace(h, F.lit(a), F.lit(b))
     return table(spark, sf_dir, "pages").select("page_id", norm(h).alias("text"))
+
+
+# seven patterns for five labels, as in lexicon.SINGLE_CELL_SIGNALS; the tables' words take the place of its vocabulary
+SIGNALS = [
+    lx.Signal("word_then_mail", r"[a-z]+tion[ ,.][^\n]{0,100}[a-z0-9._]+@[a-z0-9]+\.", 12),
+    lx.Signal("mail_then_word", r"[a-z0-9._]+@[a-z0-9.]+ [^\n]{0,100}[a-z]+ing[ ,.]", 12),
+    lx.Signal("licensed", "[Ll]icensed? under the [A-Z]|MIT License", 9),
+    lx.Signal("ung_and_keit", "[a-z]+ung [^\n]{0,120}[a-z]+keit[ .,]", 12),
+    lx.Signal("ung_and_keit", "[a-z]+keit [^\n]{0,120}[a-z]+ung[ .,]", 12),
+    lx.Signal("the_far_from_and", " the (?:.|\n){0,300} and the ", 10),
+    lx.Signal("the_far_from_and", " and the (?:.|\n){0,300} of the ", 10),
+]
+_TEXTS = {"title": "split_part(text, chr(10), 1)", "text": "text"}
+_SIGNAL_LANES = [lx.Lane("title", "title", 4), lx.Lane("text", "text", 1)]
+_SIGNAL_HITS = ", ".join(
+    "CASE " + " ".join(f"WHEN regexp_matches({_TEXTS[lane.name]}, '{s.pattern}') THEN {{'lane': '{lane.name}', 'label': '{s.label}', 'term': regexp_extract({_TEXTS[lane.name]}, '{s.pattern}'), 'weight': {s.weight * lane.multiplier}}}" for s in SIGNALS if s.label == label) + " END"
+    for lane in _SIGNAL_LANES
+    for label in dict.fromkeys(s.label for s in SIGNALS)
+)
+
+
+@query(f"""WITH h AS (SELECT doc_id, list_filter([{_SIGNAL_HITS}], lambda x: x IS NOT NULL) AS hits FROM documents), s AS (SELECT doc_id, hits, coalesce(list_sum(list_transform(hits, lambda x: x.weight)), 0)::BIGINT AS score FROM h)
+    SELECT doc_id, score, CASE WHEN score >= 36 THEN 'strong' WHEN score >= 14 THEN 'possible' WHEN score > 0 THEN 'weak' ELSE 'none' END AS tier,
+           array_to_string(list_transform(hits, lambda x: x.lane || ':' || x.label || '=' || x.weight), ';') AS labels, md5(array_to_string(list_transform(hits, lambda x: x.term), '|')) AS terms_md5 FROM s""")
+def scored_signals(spark, sf_dir):
+    """Signals of all lanes with their weights, and the tier of their sum."""
+    docs = table(spark, sf_dir, "documents").withColumn("title", F.substring_index("text", "\n", 1))
+    found = lx.signal_score(docs, "doc_id", _SIGNAL_LANES, SIGNALS)
+    labels = F.array_join(F.transform("hits", lambda h: F.concat(h["lane"], F.lit(":"), h["label"], F.lit("="), h["weight"].cast("string"))), ";")
+    return found.select("doc_id", "score", "tier", labels.alias("labels"), F.md5(F.array_join(F.transform("hits", lambda h: h["term"]), "|")).alias("terms_md5"))

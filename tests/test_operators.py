@@ -137,3 +137,23 @@ def test_components_and_covers(spark):
     assert [(r.i, r["rank"]) for r in sorted(cover, key=lambda r: r["rank"])] == [(2, 1), (3, 2), (4, 3)]
     fit = identity.first_fit(spark.createDataFrame([r[:3] for r in rows], "g string, i long, f array<string>"), "g", "i", "f").collect()
     assert {r.i: r.cluster for r in fit} == {1: 0, 2: 0, 3: 1, 4: 0}
+
+
+def test_signals_of_their_field(spark):
+    """A label counts once a lane, by the first of its patterns; proximity ends at a line break unless the pattern says not."""
+    from sievework.operators import lexicon as lx
+
+    rows = [
+        (1, "Individual neurons by LC-MS", "proteomics of single cells; one-cell samples"), (2, "", "MS/MS of individual skeletal muscle fibres"), (3, None, "MALDI imaging\nat single-cell resolution"),
+        (4, "", "individual oocytes\nproteome"), (5, "single myofibers, proteome; proteome of single fibers", None),
+    ]
+    docs = spark.createDataFrame(rows, "id int, title string, body string")
+    lanes = [lx.Lane("title", "title", 2), lx.Lane("body", "body", 1)]
+    got = {r.id: (r.score, [(h.lane, h.label, h.term, h.weight) for h in r.hits]) for r in lx.signal_score(docs, "id", lanes, lx.SINGLE_CELL_SIGNALS).collect()}
+    assert got == {
+        1: (24 + 12 + 9, [("title", "individual_biological_cell_proteomics", "Individual neurons by LC-MS", 24), ("body", "proteomics_individual_biological_cell", "proteomics of single cells", 12), ("body", "one_cell_sample", "one-cell samples", 9)]),
+        2: (12, [("body", "single_muscle_fibre_proteomics", "MS/MS of individual skeletal muscle fibres", 12)]),
+        3: (10, [("body", "single_cell_maldi_msi", "MALDI imaging\nat single-cell resolution", 10)]),
+        4: (0, []),
+        5: (24, [("title", "single_muscle_fibre_proteomics", "single myofibers, proteome; proteome", 24)]),
+    }
