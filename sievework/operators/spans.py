@@ -34,8 +34,10 @@ def plain(text) -> Column:
 
 
 def pieces(text, pattern: str) -> Column:
-    """The text in front of the first match, then each match with a closing mark and what follows it."""
-    return F.split(F.regexp_replace(col(text), f"(?:{pattern})", f"{OPEN}$0{CLOSE}"), OPEN)
+    """The text in front of the first match, then each match with a closing mark and what follows it. Most texts have none of
+    most patterns; these are searched, and neither copied nor split."""
+    cut = F.split(F.regexp_replace(col(text), f"(?:{pattern})", f"{OPEN}$0{CLOSE}"), OPEN)
+    return F.when(col(text).rlike(pattern), cut).otherwise(F.array(col(text)))
 
 
 def matched(piece: Column) -> Column:
@@ -75,7 +77,9 @@ def masked(df: DataFrame, text: str, masks: Sequence[tuple[str, str]], log: str
         hits = F.slice("_cut", F.lit(2), F.size("_cut"))
         blank = F.transform(hits, lambda p: F.concat(F.repeat(F.lit(" "), F.length(matched(p))), F.substring_index(p, CLOSE, -1)))
         found = F.transform(hits, lambda p: F.struct(F.lit(kind).alias("kind"), norm(matched(p)).alias("match")))  # noqa: B023
-        df = df.withColumns({text: F.concat(F.element_at("_cut", 1), F.array_join(blank, "")), log: F.concat(log, found)}).drop("_cut")
+        cut = F.size("_cut") > 1
+        whole = F.element_at("_cut", 1)
+        df = df.withColumns({text: F.when(cut, F.concat(whole, F.array_join(blank, ""))).otherwise(whole), log: F.when(cut, F.concat(log, found)).otherwise(F.col(log))}).drop("_cut")
     return once(df, **{text: F.col(text), log: F.col(log)})
 
 
