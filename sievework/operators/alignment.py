@@ -109,7 +109,9 @@ def profile_alignments(contexts: DataFrame, branches: DataFrame) -> DataFrame:
     some = F.size(F.concat(*_SETS)) > 0
     c = _profiles(contexts.where(some), "c")
     b = _profiles(branches.withColumn("state", text_of("state")), "b", F.min("cluster").alias("least"), F.max("cluster").alias("greatest"))
-    pairs = _compared(c.join(b, "scope"), "scope", "c_profile", "c_dirty", "c_n", "b_profile", "b_dirty", "b_state", "b_n", "b_least", "b_greatest")
+    # the sides are small and their pairs are not: their number of partitions must not follow the sides' bytes
+    tasks = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = _compared(c.repartition(tasks, "scope", "c_profile", "c_dirty").join(b, "scope"), "scope", "c_profile", "c_dirty", "c_n", "b_profile", "b_dirty", "b_state", "b_n", "b_least", "b_greatest")
     eligible = (F.col("score") >= CLEAN) & (F.col("conflict_score") < CONTRADICTORY) & ~F.col("c_dirty") & ~F.col("b_dirty") & (F.col("b_state") == "canonical_branch_candidate")
     of_context = Window.partitionBy("scope", "c_profile", "c_dirty")
     told = pairs.withColumn("eligible", eligible)
