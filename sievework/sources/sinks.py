@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,3 +48,13 @@ def manifest(df: DataFrame, key: str) -> DataFrame:
     """key, sha256 of the row's canonical JSON: a release is the same if its manifest is."""
     names = sorted(c for c in df.columns if c != key)
     return df.select(key, F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256).alias("sha256"))
+
+
+def work_folder(spark: SparkSession, label: str) -> str:
+    """A new folder that all executors share, removed when the driver ends: in spark.checkpoint.dir as the session names it.
+    Only where that is unset it is under the warehouse folder."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path

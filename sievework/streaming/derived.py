@@ -33,7 +33,7 @@ class DerivedState:
     key: Sequence[str]
     id: Sequence[str]
     resolve: Callable[[DataFrame], DataFrame]
-    buckets: int = 256
+    buckets: int = 64
 
     def _read(self, spark: SparkSession, name: str, columns: str) -> DataFrame:
         return spark.read.schema(f"{columns}, epoch long, bucket int").parquet(f"{self.folder}/{name}")
@@ -44,7 +44,8 @@ class DerivedState:
 
     def _write(self, rows: DataFrame, name: str, epoch: int) -> None:
         bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
-        rows.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/{name}/epoch={epoch}")
+        # one file a bucket where it is small; a large bucket is split over tasks
+        rows.withColumn("bucket", bucket).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/{name}/epoch={epoch}")
 
     def _names(self, columns: str) -> list[str]:
         return [c.split()[0] for c in columns.split(",")]
