@@ -7,11 +7,12 @@ promotes nothing. Scores are whole hundredths until the end, so that thresholds
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import ladder, text_of
-from .technology import acquisition_key, channel_key, inside, modality_family, span, technology_key
+from ..functions.columns import keep_rows, ladder, text_of
+from .spans import once
+from .technology import acquisition_key, channel_key, family, inside, modality_key, more_general, span, technology_key
 
 # Statuses whose facts count, statuses of facts in conflict, and predicates of channels.
 USABLE = ("accepted_existing", "accepted_resolved", "source_asserted", "hypothesis_only")
@@ -40,10 +41,18 @@ def described(facts: DataFrame) -> DataFrame:
     usable, p, value = F.col("status").isin(*USABLE), F.col("predicate"), F.col("value")
     refused = ~F.coalesce(usable, F.lit(False)) & (text_of("method") != "")
     clash = F.coalesce(F.col("status").isin(*IN_CONFLICT), F.lit(False)) & (text_of("conflict") != "")
-    keys = {"modalities": (p == MODALITY, modality_family(value)), "chemistries": (p == CHEMISTRY, technology_key(value)), "acquisitions": (p == ACQUISITION, acquisition_key(value)), "channels": (p.isin(*ROLES), channel_key(value))}
-    shown = [F.when(usable & is_kind & (key != ""), F.concat(p, F.lit(":"), key) if name == "channels" else key).alias(name) for name, (is_kind, key) in keys.items()]
-    rows = facts.where("scope is not null and node is not null").select("scope", "node", *shown, (refused | clash).alias("dirty"))
-    nodes = rows.groupBy("scope", "node").agg(*[F.array_sort(F.collect_set(s)).alias(s) for s in _SETS], F.max("dirty").alias("dirty"))
+    key = {"modalities": (p == MODALITY, modality_key(value)), "chemistries": (p == CHEMISTRY, technology_key(value)), "acquisitions": (p == ACQUISITION, acquisition_key(value)), "channels": (p.isin(*ROLES), F.concat(p, F.lit(":"), F.nullif(channel_key(value), F.lit(""))))}
+    # keys are made once a fact, one kind a step: all in one expression are a method too long to be compiled. One set of
+    # marked keys is gathered a node; its mark is the number of its kind
+    rows = once(facts.where("scope is not null and node is not null"), usable=usable, dirty=refused | clash).select("scope", "node", "predicate", "value", "usable", "dirty")
+    for name, (is_kind, made) in key.items():
+        rows = once(rows, **{name: F.when(F.col("usable") & is_kind, made)})
+    rows = once(rows, key=F.coalesce(*key))
+    kind = ladder(*[(is_kind, str(i)) for i, (is_kind, _) in enumerate(key.values())], otherwise=F.lit(None).cast("string"))
+    word = F.nullif(F.when(p == MODALITY, family(F.col("key"))).otherwise(F.col("key")), F.lit(""))
+    sets = rows.groupBy("scope", "node").agg(F.collect_set(F.concat(kind, word)).alias("told"), F.max("dirty").alias("dirty"))
+    of = lambda i: F.transform(F.filter("told", lambda x: F.startswith(x, F.lit(str(i)))), lambda x: F.substr(x, F.lit(2)))
+    nodes = once(sets, **{s: F.sort_array(of(i)) for i, s in enumerate(key)}).select("scope", "node", *_SETS, "dirty")
     marked = lambda s: F.transform(s, lambda x: F.regexp_replace(x, r"([,|\\])", r"\\$1"))
     return nodes.withColumn("profile", F.concat_ws("|", *[F.array_join(marked(s), ",") for s in _SETS]))
 
@@ -54,48 +63,68 @@ def _compatible(cc, bc) -> Column:
     return F.array_sort(F.array_union(F.filter(cc, lambda x: met(x, bc))["key"], F.filter(bc, lambda x: met(x, cc))["key"]))
 
 
-def _some(*arrays) -> Column:
-    out = F.size(arrays[0]) > 0
-    for a in arrays[1:]:
-        out = out & (F.size(a) > 0)
-    return out
+def _clash(kind: str) -> Column:
+    two = {"modality": _both("known"), "chemistry": F.col("c_reporter") & F.col("b_reporter"), "acquisition": _both("acquisitions")}[kind]
+    opposed = (F.col("c_free") | F.col("b_free")) & (F.col("c_labelled") | F.col("b_labelled"))
+    return ~F.col(kind) & two & (opposed if kind == "modality" else F.lit(True))
 
 
-def _compared(pairs: DataFrame, *kept: str) -> DataFrame:
-    """kept, score, conflict_score, matched, conflicts of pairs with the sets of the context (c_) and of the branch (b_).
-    What both share is a projection of its own, so that each array is made once."""
-    c, b = ({s: F.col(f"{side}_{s}") for s in (*_SETS, "spans", "reporter")} for side in "cb")
-    known = lambda m: F.filter(m, lambda x: x != "unresolved")
-    of = lambda x: F.array_distinct(F.transform(x, lambda r: F.substring_index(r, ":", -1)))
+def _both(s: str) -> Column:
+    return (F.size(f"c_{s}") > 0) & (F.size(f"b_{s}") > 0)
+
+
+def _scored(pairs: DataFrame) -> DataFrame:
+    """Pairs of profiles with what both share (modality, chemistry, acquisition: booleans; roles, taken: arrays), score and
+    conflict_score. There are far more pairs than profiles: whatever one side alone tells is a column of its profile, and
+    channels are only gone through where both sides name one. No lambda is among the steps, so they are generated code."""
+    met = lambda x, y: F.arrays_overlap(f"c_{x}", f"b_{y}")
+    near = met("tags", "tags")
+    chemistry = met("chemistries", "above") | met("above", "chemistries")
+    seen = pairs.withColumns({"modality": met("known", "known"), "chemistry": chemistry, "acquisition": met("acquisitions", "acquisitions"), "near": near})
+    of = lambda side: F.when(F.col("near"), F.array_intersect(f"c_{side}", f"b_{side}")).otherwise(F.slice(f"c_{side}", 1, 0))
+    seen = seen.withColumns({"held": of("held"), "both": of("tags")})
+    seen = seen.withColumns({"roles": F.col("held")["role"], "taken": F.when(F.col("near"), F.array_except(F.col("both"), F.col("held")["tag"])).otherwise(F.col("both"))}).drop("near", "held", "both")
+    score = sum((F.when(F.col(k), v).otherwise(0) for k, v in SHARED.items()), F.least(F.lit(SHARED_ROLES), SHARED_ROLE * F.size("roles")))
+    conflict = sum((F.when(_clash(k), v).otherwise(0) for k, v in AGAINST.items()), F.least(F.lit(ROLES_AGAINST), ROLE_AGAINST * F.size("taken")))
+    return once(seen, score=score, conflict_score=conflict)
+
+
+def _said() -> tuple[Column, Column]:
+    """What the sides of a scored pair share, and what of them contradicts, as texts."""
+    joined = lambda c: F.array_join(c, ",")
     shared = {
-        "modality": F.array_sort(F.array_intersect(known(c["modalities"]), known(b["modalities"]))),
-        "chemistry": _compatible(c["spans"], b["spans"]),
-        "acquisition": F.array_sort(F.array_intersect(c["acquisitions"], b["acquisitions"])),
-        "roles": F.array_sort(F.array_intersect(c["channels"], b["channels"])),
-        "both": F.array_intersect(of(c["channels"]), of(b["channels"])),
-        "modes": F.array_union(c["modalities"], b["modalities"]),
+        "modality": F.sort_array(F.array_intersect("c_known", "b_known")),
+        "chemistry": _compatible(F.col("c_spans"), F.col("b_spans")),
+        "acquisition": F.sort_array(F.array_intersect("c_acquisitions", "b_acquisitions")),
     }
-    told = {"modality": (known(c["modalities"]), known(b["modalities"])), "acquisition": (c["acquisitions"], b["acquisitions"])}
-    asked = {f"two_{k}": _some(*v) for k, v in told.items()} | {"two_chemistry": c["reporter"] & b["reporter"]}
-    seen = pairs.select(*kept, *[x.alias(k) for k, x in (shared | asked).items()])
-    seen = seen.withColumn("taken", F.array_sort(F.array_except("both", of(F.col("roles")))))
+    said = lambda c: F.when(F.size(c) > 0, F.array_join(F.sort_array(c), ";"))
+    matched = F.concat_ws(";", *[F.when(F.col(k), F.concat(F.lit(f"{k}:"), joined(x))) for k, x in shared.items()], said("roles"))
+    against = {"modality": "label_free_vs_reporter_modality", "chemistry": "incompatible_reporter_chemistry", "acquisition": "different_acquisition"}
+    taken = F.concat(F.lit("reporter_role:"), F.array_join(F.sort_array("taken"), ";reporter_role:"))
+    conflicts = F.concat_ws(";", *[F.when(_clash(k), F.lit(x)) for k, x in against.items()], F.when(F.size("taken") > 0, taken))
+    return matched, conflicts
+
 
-    opposed = F.array_contains("modes", "label_free") & F.array_contains("modes", "reporter")
-    against = {"modality": (opposed, "label_free_vs_reporter_modality"), "chemistry": (F.lit(True), "incompatible_reporter_chemistry"), "acquisition": (F.lit(True), "different_acquisition")}
-    clash = {k: ~_some(k) & F.col(f"two_{k}") & test for k, (test, _) in against.items()}
-    score = sum((F.when(_some(k), v).otherwise(0) for k, v in SHARED.items()), F.least(F.lit(SHARED_ROLES), SHARED_ROLE * F.size("roles")))
-    conflict = sum((F.when(clash[k], v).otherwise(0) for k, v in AGAINST.items()), F.least(F.lit(ROLES_AGAINST), ROLE_AGAINST * F.size("taken")))
-    matched = F.concat(F.array_compact(F.array(*[F.when(_some(k), F.concat(F.lit(f"{k}:"), F.array_join(k, ","))) for k in SHARED])), F.col("roles"))
-    conflicts = F.concat(F.array_compact(F.array(*[F.when(clash[k], F.lit(against[k][1])) for k in AGAINST])), F.transform("taken", lambda x: F.concat(F.lit("reporter_role:"), x)))
-    return seen.select(*kept, score.alias("score"), conflict.alias("conflict_score"), F.array_join(matched, ";").alias("matched"), F.array_join(conflicts, ";").alias("conflicts"))
+def _above(chemistries) -> Column:
+    """Chemistries and all that they belong to."""
+    return F.array_distinct(F.flatten(F.transform(chemistries, lambda k: F.concat(F.array(k), more_general(k)))))
 
 
 def _profiles(nodes: DataFrame, prefix: str, *more: Column) -> DataFrame:
     """One row for each way in which nodes of a scope are described; further expressions are summed up for it."""
     keys = ["profile", "dirty", *(["state"] if prefix == "b" else [])]
     groups = nodes.groupBy("scope", *keys, *_SETS).agg(F.count("*").alias("n"), *more)
-    keyed = F.transform("chemistries", lambda k: F.struct(k.alias("key"), span(k)["lo"].alias("lo"), span(k)["hi"].alias("hi")))
-    groups = groups.withColumn("spans", keyed).withColumn("reporter", F.exists("chemistries", lambda k: F.startswith(k, F.lit("tmt"))))
+    told = {
+        "spans": F.transform("chemistries", lambda k: F.struct(k.alias("key"), span(k)["lo"].alias("lo"), span(k)["hi"].alias("hi"))),
+        "reporter": F.exists("chemistries", lambda k: F.startswith(k, F.lit("tmt"))),
+        "above": _above("chemistries"),
+        "known": F.filter("modalities", lambda x: x != "unresolved"),
+        "free": F.array_contains("modalities", "label_free"),
+        "labelled": F.array_contains("modalities", "reporter"),
+        "held": F.transform("channels", lambda r: F.struct(r.alias("role"), F.substring_index(r, ":", -1).alias("tag"))),
+        "tags": F.array_distinct(F.transform("channels", lambda r: F.substring_index(r, ":", -1))),
+    }
+    groups = once(groups, **told)
     return groups.select("scope", *[F.col(x).alias(f"{prefix}_{x}") for x in groups.columns if x != "scope"])
 
 
@@ -111,11 +140,14 @@ def profile_alignments(contexts: DataFrame, branches: DataFrame) -> DataFrame:
     b = _profiles(branches.withColumn("state", text_of("state")), "b", F.min("cluster").alias("least"), F.max("cluster").alias("greatest"))
     # the sides are small and their pairs are not: their number of partitions must not follow the sides' bytes
     tasks = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = _compared(c.repartition(tasks, "scope", "c_profile", "c_dirty").join(b, "scope"), "scope", "c_profile", "c_dirty", "c_n", "b_profile", "b_dirty", "b_state", "b_n", "b_least", "b_greatest")
-    eligible = (F.col("score") >= CLEAN) & (F.col("conflict_score") < CONTRADICTORY) & ~F.col("c_dirty") & ~F.col("b_dirty") & (F.col("b_state") == "canonical_branch_candidate")
-    of_context = Window.partitionBy("scope", "c_profile", "c_dirty")
-    told = pairs.withColumn("eligible", eligible)
-    told = told.withColumn("least", F.min(F.when(F.col("eligible"), F.col("b_least"))).over(of_context)).withColumn("greatest", F.max(F.when(F.col("eligible"), F.col("b_greatest"))).over(of_context))
+    c = c.repartition(tasks, "scope", "c_profile", "c_dirty")
+    context = ["scope", "c_profile", "c_dirty"]
+    # pairs are scored twice, since numbers alone tell which are eligible: a window over whole pairs would shuffle and sort them
+    may = c.where("not c_dirty").join(b.where("not b_dirty and b_state = 'canonical_branch_candidate'"), "scope")
+    fit = keep_rows(_scored(may).select(*context, "b_least", "b_greatest", "score", "conflict_score"), (F.col("score") >= CLEAN) & (F.col("conflict_score") < CONTRADICTORY))
+    found = fit.groupBy(*context).agg(F.min("b_least").alias("least"), F.max("b_greatest").alias("greatest"))
+    told = _scored(c.join(found, context, "left").join(b, "scope"))
+    told = once(told, eligible=(F.col("score") >= CLEAN) & (F.col("conflict_score") < CONTRADICTORY) & ~F.col("c_dirty") & ~F.col("b_dirty") & (F.col("b_state") == "canonical_branch_candidate"))
     one = F.col("least") == F.col("greatest")
     status = ladder(
         (F.col("b_dirty") | (F.col("b_state") == "contradictory_hypothesis"), "branch_contradictory"),
@@ -129,7 +161,9 @@ def profile_alignments(contexts: DataFrame, branches: DataFrame) -> DataFrame:
     )
     hundredths = [(F.col(x) / 100).alias(x) for x in ("score", "conflict_score")]
     kept = ("scope", "c_profile", "c_dirty", "c_n", "b_profile", "b_dirty", "b_state", "b_n")
-    return told.withColumn("status", status).select(*kept, *hundredths, "matched", "conflicts", "status", F.when(F.col("eligible") & one, F.col("least")).alias("cluster"))
+    told = once(told, status=status)
+    matched, conflicts = _said()
+    return told.select(*kept, *hundredths, matched.alias("matched"), conflicts.alias("conflicts"), "status", F.when(F.col("eligible") & one, F.col("least")).alias("cluster"))
 
 
 def choices(contexts: DataFrame, alignments: DataFrame) -> DataFrame:
@@ -138,13 +172,16 @@ def choices(contexts: DataFrame, alignments: DataFrame) -> DataFrame:
     branches that are compatible, weak and contradictory."""
     rank = F.array_position(F.array(*[F.lit(s) for s in STATUSES]), F.col("status"))
     counted = lambda *s: F.coalesce(F.sum(F.when(F.col("status").isin(*s), F.col("b_n"))), F.lit(0))
-    of = alignments.groupBy("scope", F.col("c_profile").alias("profile"), F.col("c_dirty").alias("dirty")).agg(
-        F.min(F.struct(rank.alias("rank"), (-F.col("score")).alias("neg"), "status")).alias("top"),
-        F.max("cluster").alias("cluster"),
-        counted(*STATUSES[:2]).alias("n_compatible"),
-        counted(*STATUSES[2:5]).alias("n_weak"),
-        counted(*STATUSES[5:7]).alias("n_contradictory"),
+    # rank and score in one number, and clusters as keys: with texts among what is summed up, pairs would be sorted
+    alignments = once(alignments.select("scope", "c_profile", "c_dirty", "b_n", "score", "cluster", "status"), top=rank * 1000 - F.round(F.col("score") * 100).cast("long"))
+    top = F.min("top")
+    sums = alignments.groupBy("scope", F.col("c_profile").alias("profile"), F.col("c_dirty").alias("dirty"), "cluster").agg(
+        top.alias("top"), counted(*STATUSES[:2]).alias("n_compatible"), counted(*STATUSES[2:5]).alias("n_weak"), counted(*STATUSES[5:7]).alias("n_contradictory")
     )
+    n = [F.sum(x).alias(x) for x in ("n_compatible", "n_weak", "n_contradictory")]
+    of = sums.groupBy("scope", "profile", "dirty").agg(F.min("top").alias("top"), F.max("cluster").alias("cluster"), *n)
+    best = F.ceil(F.col("top") / 1000).cast("int")
+    of = of.withColumns({"status": F.element_at(F.array(*[F.lit(s) for s in STATUSES]), best), "score": (best * 1000 - F.col("top")) / 100})
     got = contexts.where(F.size(F.concat(*_SETS)) > 0).select("scope", "node", "profile", "dirty").join(of, ["scope", "profile", "dirty"], "left")
     n = [F.coalesce(x, F.lit(0)).alias(x) for x in ("n_compatible", "n_weak", "n_contradictory")]
-    return got.select("scope", "node", F.coalesce("top.status", F.lit("no_branch")).alias("status"), (-F.col("top.neg")).alias("score"), "cluster", *n)
+    return got.select("scope", "node", F.coalesce("status", F.lit("no_branch")).alias("status"), "score", "cluster", *n)

@@ -56,6 +56,18 @@ def span(key) -> Column:
     return F.struct(*[_looked_up(col(key), {n: s[i] for n, s in _SPANS.items()}, "int").alias(name) for i, name in enumerate(("lo", "hi"))])
 
 
+def more_general(key) -> Column:
+    """All technologies that one belongs to, empty outside the tree."""
+    above = {}
+    for n in BELONGS_TO:
+        above[n], up = [], n
+        while up in BELONGS_TO:
+            up = BELONGS_TO[up]
+            above[n].append(up)
+    pairs = [x for n, ups in above.items() for x in (F.lit(n), F.array(*[F.lit(u) for u in ups]))]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), col(key)), F.array().cast("array<string>"))
+
+
 def inside(a: Column, b: Column) -> Column:
     """Interval a is b or lies inside it; false where one is missing."""
     return F.coalesce((a["lo"] >= b["lo"]) & (a["hi"] <= b["hi"]), F.lit(False))
@@ -88,7 +100,11 @@ def modality_key(c) -> Column:
     return F.when(words == "labelfree", "label_free").otherwise(words)
 
 
-def modality_family(c) -> Column:
+def family(key) -> Column:
     """label_free, reporter, unresolved, or the modality's own key."""
-    key = modality_key(c)
+    key = col(key)
     return ladder((key.isin(*LABEL_FREE), "label_free"), (F.contains(key, F.lit("reporter")), "reporter"), (key.isin(*UNRESOLVED), "unresolved"), otherwise=key)
+
+
+def modality_family(c) -> Column:
+    return family(modality_key(c))

@@ -113,3 +113,15 @@ def test_keys(spark):
     assert {r.v: r.k for r in rows.select("v", tech.technology_key("v").alias("k")).collect()} == names
     one = spark.range(1).select(tech.channel_key(F.lit(" tmt 127 n")).alias("c"), tech.acquisition_key(F.lit("D I A")).alias("a"), tech.acquisition_key(F.lit("Wide  Window")).alias("w"), tech.modality_family(F.lit("LabelFree")).alias("m")).first()
     assert tuple(one) == ("127N", "dia", "wide window", "label_free")
+
+
+def test_pairs_are_neither_sorted_nor_held_back_by_lambdas(spark):
+    """Pairs outnumber profiles by far: no window orders them, and their scoring is generated code."""
+    ctx = [("P", "c", "HAS_MODALITY", "Reporter multiplexed single cell"), ("P", "c", "USES_CHEMISTRY", "tmtpro"), ("P", "c", C, "126")]
+    c, b = al.described(facts(spark, *ctx)), branches(spark, LFQ + TMT, [("b1", CLEAN, "k1"), ("b2", CLEAN, "k2")])
+    pairs = al.profile_alignments(c, b)
+    assert "Window" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    scored = [x for x in pairs.drop("matched", "conflicts")._jdf.queryExecution().optimizedPlan().toString().split("\n") if "c_known" in x and "b_known" in x]
+    assert scored and not any("lambda" in x for x in scored)
+    rows = {r.b_profile.split("|")[0]: r for r in pairs.collect()}
+    assert rows["reporter"].matched == "modality:reporter;chemistry:tmtpro,tmtpro18;HAS_CARRIER_CHANNEL:126"
