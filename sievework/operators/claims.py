@@ -50,24 +50,41 @@ def best_matches(left: DataFrame, right: DataFrame, on: list[str], row: str, sco
     return pairs.join(top, row).where(F.col("score") == F.col("top")).drop("top")
 
 
+BLOCK = 1024  # owners of an item that one row holds
+
+
+def _pairs(sized: DataFrame) -> DataFrame:
+    """sized: o, i, n -> u < v, n_u, n_v, shared of all owners that share an item. Owners meet the sorted lists of their items' owners,
+    and these lists move to the tasks of the owners: what is shuffled is lists, and pairs arise and are counted where they
+    are. An item of many owners has several lists."""
+    sized = sized.where("o is not null and i is not null")
+    place = F.row_number().over(Window.partitionBy("i").orderBy("o"))
+    rows = sized.withColumn("block", F.floor((place - 1) / BLOCK))
+    lists = rows.groupBy("i", "block").agg(F.sort_array(F.collect_list(F.struct(F.col("o").alias("v"), F.col("n").alias("n_v")))).alias("owners"))
+    met = sized.select(F.col("o").alias("u"), F.col("n").alias("n_u"), "i").join(lists, "i").where(F.element_at("owners", -1)["v"] > F.col("u"))
+    behind = F.slice("owners", (F.array_position(F.col("owners")["v"], F.col("u")) + 1).cast("int"), F.size("owners"))
+    tasks = int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return met.select("u", "n_u", behind.alias("owners")).repartition(tasks, "u").select("u", "n_u", F.inline("owners")).groupBy("u", "v", "n_u", "n_v").agg(F.count("*").alias("shared"))
+
+
 def set_relations(members: DataFrame, owner: str, item: str, least_shared: int, least_percent: int = 0) -> DataFrame:
     """a < b, shared, n_a, n_b for owners that share at least so many items, and that percentage of the smaller set.
 
-    Prefix filter: with t the least overlap that the smaller set asks for, its n - t + 1 rarest items hold a shared one, so
-    only these meet the items of sets that are not smaller, and the candidates are counted exactly. A common item is the
-    last in this order and mostly not in a prefix. With t = 1 nothing can be left out: every pair that meets is a row of
-    the result, and the join counts it at once."""
+    All pairs that meet are counted, or with a prefix filter those that may be in the result: with t the least overlap that the
+    smaller set asks for, its n - t + 1 rarest items hold a shared one, so only these meet the items of sets that are not smaller,
+    and the candidates are counted exactly. The filter pays where common items make most of the meetings; where sets are
+    alike and their items are not, each candidate costs a set and counting costs one row a meeting. What either
+    would move is counted first."""
     own = members.select(F.col(owner).alias("o"), F.col(item).alias("i")).distinct()
     size = own.groupBy("o").agg(F.count("*").alias("n"))
-    of = lambda x: size.select(F.col("o").alias(x), F.col("n").alias(f"n_{x}"))
-    if least_shared <= 1 and not least_percent:
-        pairs = own.select(F.col("o").alias("a"), "i").join(own.select(F.col("o").alias("b"), "i"), "i").where("a < b")
-        return pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).join(of("a"), "a").join(of("b"), "b")
-    least = lambda n: F.greatest(F.lit(least_shared).cast("long"), F.ceil(n * F.lit(least_percent) / 100))
     sized = own.join(size, "o")
+    least = lambda n: F.greatest(F.lit(least_shared).cast("long"), F.ceil(n * F.lit(least_percent) / 100))
     rarity = own.groupBy("i").agg(F.count("*").alias("held"))
     rank = F.row_number().over(Window.partitionBy("o").orderBy("held", "i"))
     prefix = sized.join(rarity, "i").withColumn("rank", rank).where(F.col("rank") <= F.col("n") - least(F.col("n")) + 1)
+    if least_shared <= 1 and not least_percent or not _filter_pays(rarity, prefix):
+        found = _pairs(sized).where(F.col("shared") >= least(F.least("n_u", "n_v")))
+        return found.select(F.col("u").alias("a"), F.col("v").alias("b"), "shared", F.col("n_u").alias("n_a"), F.col("n_v").alias("n_b"))
     small, large = prefix.select(F.col("o").alias("u"), F.col("n").alias("n_u"), "i"), sized.select(F.col("o").alias("v"), F.col("n").alias("n_v"), "i")
     met = small.join(large, "i").where("n_u < n_v or (n_u = n_v and u < v)").select("u", "v", "n_u", "n_v").distinct()
     common = met.join(own.select(F.col("o").alias("u"), "i"), "u").join(own.select(F.col("o").alias("v"), "i"), ["v", "i"])
@@ -77,6 +94,12 @@ def set_relations(members: DataFrame, owner: str, item: str, least_shared: int,
     return found.select(side("u", "v", "a"), side("v", "u", "b"), "shared", side("n_u", "n_v", "n_a"), side("n_v", "n_u", "n_b"))
 
 
+def _filter_pays(rarity: DataFrame, prefix: DataFrame) -> bool:
+    """Whether candidates of the prefix filter, each with the items of its smaller set, are fewer rows than all meetings."""
+    meetings = rarity.agg(F.sum(F.col("held").cast("double") * (F.col("held") - 1) / 2)).first()[0] or 0.0
+    return (prefix.agg(F.sum(F.col("held").cast("double") * F.col("n"))).first()[0] or 0.0) < meetings
+
+
 def lineage_roots(parents: DataFrame) -> DataFrame:
     """child, parent -> node, root, depth, cyclic: ancestry by pointer jumping, so a chain of n takes log n rounds.
     Each round's table is written to the checkpoint folder where one is set. Rounds go on until no pointer moves, or until

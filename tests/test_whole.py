@@ -79,3 +79,17 @@ def test_components_of_all_lines(spark, sf_dir):
         up[y] = x
     got = {r.node: r.component for r in registry.queries()["connected_components"](spark, sf_dir).collect()}
     assert got == {x: root(x) for x in list(up)}
+
+
+@pytest.mark.parametrize("block", [2, 1024])
+def test_alike_sets_are_counted_where_they_meet(spark, monkeypatch, block):
+    """Alike sets meet list by list; sets that mostly share common items still go through the prefix filter."""
+    monkeypatch.setattr(claims, "BLOCK", block)
+    rng = random.Random(2)
+    alike = {o: set(rng.sample(range(40), 20)) for o in range(30)}
+    common = {o: {0, 1, 100 + o // 2, 500 + o // 2, 900 + o} for o in range(120)}
+    for sets, least, lists in ((alike, 2, True), (common, 3, False)):
+        df = claims.set_relations(spark.createDataFrame([(o, i) for o, s in sets.items() for i in s], "o long, i long"), "o", "i", least, 25)
+        assert ("owners" in df._jdf.queryExecution().optimizedPlan().toString()) is lists
+        want = [(a, b, n, len(s), len(t)) for a, s in sets.items() for b, t in sets.items() if a < b and (n := len(s & t)) >= least and 100 * n >= 25 * min(len(s), len(t))]
+        assert sorted(tuple(r) for r in df.select("a", "b", "shared", "n_a", "n_b").collect()) == sorted(want)
