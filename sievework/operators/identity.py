@@ -16,20 +16,34 @@ def _settled(df: DataFrame) -> DataFrame:
     return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
 
 
-def connected(links: DataFrame, a: str, b: str) -> DataFrame:
-    """node, component (its least node). Each round takes the least label of the neighbours and then the label of that
-    label, so long chains shorten by half; labels only sink, and the rounds end when none does."""
-    pairs = links.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null")
-    both = _settled(pairs.unionAll(pairs.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
-    labels = _settled(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.col("node")).alias("component")))
+def _jumped(up: DataFrame) -> DataFrame:
+    """node, component of pointers to smaller nodes -> of each node where its pointers end; each round halves the ways that are left."""
     while True:
-        near = both.join(labels, both.y == labels.node).groupBy("x").agg(F.min("component").alias("near"))
-        step = labels.join(near, labels.node == near.x).select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
-        above = labels.select(F.col("node").alias("via"), F.col("component").alias("further"))
-        moved = _settled(step.join(above, step.component == above.via, "left").select("node", "old", F.least("component", F.coalesce("further", "component")).alias("component")))
-        labels = moved.select("node", "component")
+        above = up.select(F.col("node").alias("via"), F.col("component").alias("further"))
+        moved = _settled(up.join(above, up.component == above.via, "left").select("node", F.col("component").alias("old"), F.coalesce("further", "component").alias("component")))
+        up = moved.select("node", "component")
         if moved.where("old != component").isEmpty():
-            return labels
+            return up
+
+
+def connected(links: DataFrame, a: str, b: str) -> DataFrame:
+    """node, component (its least node). In each round every node points to its least neighbour if that is smaller, and goes where
+    these pointers end; the links of the next round are those between ends, which are far fewer. Chains are jumped along by
+    doubling, and a component's least node is always an end. From the last round back, a node takes the component of its end."""
+    pairs = _settled(links.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null").distinct())
+    steps = []
+    while not steps or not pairs.isEmpty():
+        both = pairs.select(F.inline(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))))
+        steps.append(_jumped(_settled(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.col("x")).alias("component")))))
+        to = lambda x: steps[-1].select(F.col("node").alias(x), F.col("component").alias(f"to_{x}"))  # noqa: B023, E731
+        moved = pairs.join(to("x"), "x").join(to("y"), "y").where("to_x != to_y")
+        pairs = _settled(moved.select(F.least("to_x", "to_y").alias("x"), F.greatest("to_x", "to_y").alias("y")).distinct())
+    labels = steps.pop()
+    while steps:
+        further = labels.select(F.col("node").alias("via"), F.col("component").alias("further"))
+        step = steps.pop()
+        labels = step.join(further, step.component == further.via, "left").select("node", F.coalesce("further", "component").alias("component"))
+    return labels
 
 
 def component_key(labels: DataFrame, prefix: str = "component", buckets: int = 4096) -> DataFrame:

@@ -93,3 +93,27 @@ def test_alike_sets_are_counted_where_they_meet(spark, monkeypatch, block):
         assert ("owners" in df._jdf.queryExecution().optimizedPlan().toString()) is lists
         want = [(a, b, n, len(s), len(t)) for a, s in sets.items() for b, t in sets.items() if a < b and (n := len(s & t)) >= least and 100 * n >= 25 * min(len(s), len(t))]
         assert sorted(tuple(r) for r in df.select("a", "b", "shared", "n_a", "n_b").collect()) == sorted(want)
+
+
+def test_links_shrink_by_rounds(spark, monkeypatch):
+    """Chains in either order, a hub with the greatest number, a loop and nulls; rounds write far less than the links each."""
+    seen = []
+    settled = identity._settled
+    monkeypatch.setattr(identity, "_settled", lambda df: seen.append(settled(df)) or seen[-1])
+    rng = random.Random(3)
+    dense = [(2 * o, 2 * rng.randrange(50) + 1) for o in range(400) for _ in range(8)]
+    links = [(i, i + 1) for i in range(10_000, 10_100)] + [(20_999, i) for i in range(20_000, 20_100)] + [(5_000, 5_000), (None, 1), (1, None)]
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for x, y in dense + links[:-2]:
+        x, y = sorted((root(x), root(y)))
+        up[y] = x
+    got = identity.connected(spark.createDataFrame(dense + links, "a long, b long"), "a", "b").collect()
+    assert len(got) == len(up) and {r.node: r.component for r in got} == {x: root(x) for x in list(up)}
+    of_links = [df.count() for df in seen if "x" in df.columns]
+    assert of_links[0] > 3000 and sum(of_links[1:]) < of_links[0] / 4
