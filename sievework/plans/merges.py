@@ -266,29 +266,51 @@ _BRANCHES = """b AS (SELECT s_suppkey, s_nationkey, s_suppkey % 3 AS modality, s
     + 0.20 * len(list_intersect(x.files, y.files)) / len(list_distinct(x.files || y.files)) AS score FROM b x JOIN b y ON x.s_nationkey = y.s_nationkey AND x.s_suppkey < y.s_suppkey)"""
 
 
-def _branch_pairs(spark, sf_dir):
+_CHUNK = 256  # branches of a profile that one row holds
+
+
+def _branch_profiles(spark, sf_dir):
+    """nation, m, c, files, acq (what a score depends on), the branches of which it is true in chunks, and the least of them all."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("p_partkey"))
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.substring("p_type", 1, 4).alias("kind"))
-    b = lines.join(parts, "p_partkey").groupBy("s_suppkey").agg(F.collect_set("p_brand").alias("files"), F.collect_set("kind").alias("acq")).join(s, "s_suppkey")
-    side = lambda x: b.select("s_nationkey", *[F.col(c).alias(f"{c}_{x}") for c in ("s_suppkey", "files", "acq")])
-    pairs = side("a").join(side("b"), "s_nationkey").where("s_suppkey_a < s_suppkey_b")
-    equal = lambda n, yes, no: F.when(F.col("s_suppkey_a") % n == F.col("s_suppkey_b") % n, yes).otherwise(no)
-    score = equal(3, 0.35, 0.15) + equal(5, 0.30, 0.10) + 0.15 * jaccard("acq_a", "acq_b") + 0.20 * jaccard("files_a", "files_b")
-    return pairs.select(F.col("s_suppkey_a").alias("a"), F.col("s_suppkey_b").alias("b"), F.round(score, 6).alias("score"))
+    told = lines.join(parts, "p_partkey").groupBy("s_suppkey").agg(F.sort_array(F.collect_set("p_brand")).alias("files"), F.sort_array(F.collect_set("kind")).alias("acq")).join(s, "s_suppkey")
+    told = told.where("s_nationkey is not null").withColumns({"m": F.col("s_suppkey") % 3, "c": F.col("s_suppkey") % 5})
+    keys = ["s_nationkey", "m", "c", "files", "acq"]
+    chunk = F.floor((F.row_number().over(Window.partitionBy(*keys).orderBy("s_suppkey")) - 1) / _CHUNK)
+    return told.withColumn("chunk", chunk).groupBy(*keys, "chunk").agg(F.collect_list("s_suppkey").alias("s"), F.min("s_suppkey").alias("first"))
+
+
+def _profile_pairs(profiles, *kept):
+    """Each pair of chunks of a nation once, and each chunk with itself, with the score of their profiles."""
+    side = lambda x: profiles.select("s_nationkey", *[F.col(c).alias(f"{c}_{x}") for c in ("m", "c", "files", "acq", "first", *kept)])
+    pairs = side("a").join(side("b"), "s_nationkey").where("first_a <= first_b")
+    equal = lambda n, yes, no: F.when(F.col(f"{n}_a") == F.col(f"{n}_b"), yes).otherwise(no)
+    score = equal("m", 0.35, 0.15) + equal("c", 0.30, 0.10) + 0.15 * jaccard("acq_a", "acq_b") + 0.20 * jaccard("files_a", "files_b")
+    return pairs.select("first_a", "first_b", *[f"{c}_{x}" for c in kept for x in "ab"], F.round(score, 6).alias("score"))
 
 
 @query(f"WITH {_BRANCHES} SELECT a, b, round(score, 6) AS score, round(score, 6) >= 0.72 AS linked FROM p")
 def branch_scores(spark, sf_dir):
     """Pairs of branches of one study (suppliers of a nation) with their weighted similarity."""
-    return _branch_pairs(spark, sf_dir).withColumn("linked", F.col("score") >= 0.72)
+    pairs = _profile_pairs(_branch_profiles(spark, sf_dir), "s")
+    # chunks are few and their pairs are many: rows of chunks are dealt before they become pairs
+    dealt = pairs.repartition(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), "first_a", "first_b")
+    each = dealt.select("first_a", "first_b", F.explode("s_a").alias("p"), "s_b", "score").select("first_a", "first_b", "p", F.explode("s_b").alias("q"), "score")
+    each = each.where("first_a < first_b or p < q")
+    return each.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), "score", (F.col("score") >= 0.72).alias("linked"))
 
 
 @query(f"""WITH RECURSIVE {_BRANCHES}, e AS (SELECT a AS x, b AS y FROM p WHERE round(score, 6) >= 0.72 UNION SELECT b, a FROM p WHERE round(score, 6) >= 0.72),
     r AS (SELECT x AS node, x AS label FROM e UNION SELECT e.y, r.label FROM r JOIN e ON e.x = r.node) SELECT node, min(label) AS component FROM r GROUP BY node""")
 def branch_clusters(spark, sf_dir):
     """Branches that a chain of similar ones connects."""
-    return idn.connected(_branch_pairs(spark, sf_dir).where("score >= 0.72"), "a", "b")
+    profiles = _branch_profiles(spark, sf_dir)
+    near = _profile_pairs(profiles).where("score >= 0.72").select("first_a", "first_b")
+    # chunks that are linked with themselves hold one component each; a branch alone is in none
+    own = near.where("first_a = first_b").select(F.col("first_a").alias("first"))
+    members = profiles.join(own, "first").select("first", F.explode("s").alias("node"))
+    return idn.connected(near.where("first_a < first_b").unionAll(members.where("node != first").select("first", "node")), "first_a", "first_b")
 
 
 @query("""WITH t AS (SELECT conv_id, turn, list_distinct(list_filter(regexp_split_to_array(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '[^A-Z0-9]+'), lambda x: x <> '')) AS w FROM conversations)

@@ -86,3 +86,45 @@ def test_quota_counts_only_what_is_taken(spark):
     df = spark.sql("select array(named_struct('id', 1, 'text', repeat('x', 50)), named_struct('id', 2, 'text', 'a'), named_struct('id', 3, 'text', 'b')) as p, array(named_struct('id', 9, 'text', 'c')) as s")
     got = df.select(merges.quota(F.col("p"), F.col("s"), (1, 1), 20, 1).alias("o")).first().o
     assert [x["id"] for x in got] == [2, 9, 3]
+
+
+def test_branches_are_scored_by_profile(spark, tmp_path, monkeypatch):
+    """Alike branches are linked by one link each, over the edges of chunks too; those without a brand are not alike."""
+    from sievework import registry
+    from sievework.operators import identity
+    from sievework.plans import merges as plans
+
+    monkeypatch.setattr(plans, "_CHUNK", 2)
+    linked = []
+    connected = identity.connected
+    monkeypatch.setattr(identity, "connected", lambda links, a, b: linked.append(links.count()) or connected(links, a, b))
+    brands = {s: {"A", "B"} if s < 100 else {"C"} if s < 110 else {None} for s in range(1, 131)}
+    nation = {s: s % 2 if s < 120 else None for s in brands}
+    part = {"A": 1, "B": 2, "C": 3, None: 4}
+    at = str(tmp_path)
+    spark.createDataFrame([(s, n) for s, n in nation.items()], "s_suppkey long, s_nationkey int").write.parquet(f"{at}/supplier.parquet")
+    spark.createDataFrame([(s, part[b]) for s, bs in brands.items() for b in bs], "l_suppkey long, l_partkey long").write.parquet(f"{at}/lineitem.parquet")
+    spark.createDataFrame([(p, b, None if b is None else f"{b}KIND") for b, p in part.items()], "p_partkey long, p_brand string, p_type string").write.parquet(f"{at}/part.parquet")
+
+    def score(x, y):
+        share = len((brands[x] - {None}) & (brands[y] - {None})) / max(1, len((brands[x] | brands[y]) - {None}))
+        return round((0.35 if x % 3 == y % 3 else 0.15) + (0.30 if x % 5 == y % 5 else 0.10) + 0.15 * share + 0.20 * share, 6)
+
+    want = {(x, y): score(x, y) for x in brands for y in brands if x < y and nation[x] is not None and nation[x] == nation[y]}
+    got = registry.queries()["branch_scores"](spark, at).collect()
+    assert len(got) == len(want) and all(abs(want[r.a, r.b] - r.score) < 2e-6 and r.linked == (r.score >= 0.72) for r in got)
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    near = [(r.a, r.b) for r in got if r.linked]
+    for x, y in near:
+        x, y = sorted((root(x), root(y)))
+        up[y] = x
+    monkeypatch.setattr(plans, "_CHUNK", 256)
+    clusters = registry.queries()["branch_clusters"](spark, at).collect()
+    assert {r.node: r.component for r in clusters} == {x: root(x) for x in list(up)}
+    assert linked[-1] < len(near) / 2
