@@ -9,11 +9,12 @@ classes by hash. Given its class, a word has the probability that the counts of
 
 so the model needs no cut of the vocabulary, and unseen words have their share in every class.
 
-Training: a first model comes from a bounded sample of documents. One in SHARE of the windows of all training documents, by a
-hash of document and place, is dealt to learners by another hash, EACH to a learner on average. Learners go on from the first
-model, and their parameters are averaged by their numbers of windows; so what the model learns from grows with the corpus,
-while a learner holds its windows and one set of parameters. The scores follow from the table alone: rows may come in any order,
-files and partitions (up to the rounding of floats in batches of other sizes).
+Training: every window of every training document is learned from once. Documents are cut into chunks of windows, one byte a
+token; chunks are dealt to learners by a hash of document and place, EACH windows to a learner on average. Learners set out from
+the same values, which a few steps over some documents give, go over all their windows in a random order, and their parameters
+are averaged by their numbers of windows; so what the model learns from is the corpus, while a learner holds its chunks and one
+set of parameters. The scores follow from the table alone: rows may come in any order, files and partitions (up to the rounding
+of floats in batches of other sizes).
 
 Scoring goes over overlapping windows: each window of 2 * STRIDE positions scores its last STRIDE, so every token is
 scored once with at least STRIDE positions of context where the text has them. Windows of many texts make one masked
@@ -42,9 +43,9 @@ from . import shared
 CLASSES, OWN = 128, 96
 WIDTH, STRIDE = 16, 16
 WINDOW = 2 * STRIDE
-SHARE = 64  # one in so many windows of the corpus is learned from
+CHUNK = 64  # windows of a text that go to a learner together
 BATCH = 96
-EACH = 1 << 13  # windows that a learner goes over
+EACH = 1 << 16  # windows that a learner goes over
 END = np.uint64(0x5E5E5E5E00000001)
 END_PIECE = -2  # stands for the end token among subword ids; -1 for a word without one
 #: Class 0 is the end token; class numbers from OWN up are shared by hash.
@@ -129,6 +130,10 @@ def _window_index(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.
     return first[text] + k * STRIDE, text
 
 
+def _rows(x: np.ndarray, by: np.ndarray) -> np.ndarray:
+    return (x.reshape(-1, x.shape[-1]) @ by).reshape(*x.shape[:-1], by.shape[1])
+
+
 @dataclass
 class Model:
     """One layer of causal self-attention. Parameters: token and place embeddings, query, key, value, output."""
@@ -145,12 +150,14 @@ class Model:
         """inputs, valid: windows x WINDOW. Logits of the last positions, and what the gradient needs."""
         p = self.p
         x = p["e"][inputs] + p["pos"]
-        xq = x[:, -last:]
-        q, k, v = xq @ p["q"], x @ p["k"], x @ p["v"]
+        xq = np.ascontiguousarray(x[:, -last:])
+        # one product for all windows, where their rows do not mix
+        q, k, v = (_rows(l, p[n]) for l, n in ((xq, "q"), (x, "k"), (x, "v")))
         s = q @ k.transpose(0, 2, 1) / np.float32(np.sqrt(WIDTH))
         rows = np.arange(WINDOW - last, WINDOW)[:, None]
         mask = (np.arange(WINDOW)[None, :] <= rows)[None] & valid[:, None, :]
-        a = np.where(mask, np.exp(s), np.float32(0))
+        a = np.exp(s, out=s)
+        a *= mask
         a /= a.sum(2, keepdims=True) + np.float32(1e-9)
         h = xq + a @ v
         return h.reshape(-1, WIDTH) @ p["w"] + p["b"], (x, xq, q, k, v, a, h)
@@ -159,8 +166,8 @@ class Model:
         """Loss and gradients for scored positions (a mask like targets)."""
         p = self.p
         z, (x, xq, q, k, v, a, h) = self.forward(inputs, valid, last)
-        z = z - z.max(1, keepdims=True)
-        prob = np.exp(z)
+        z -= z.max(1, keepdims=True)
+        prob = np.exp(z, out=z)
         prob /= prob.sum(1, keepdims=True)
         t, m = targets.ravel(), scored.ravel()
         n = max(1, m.sum())
@@ -169,18 +176,19 @@ class Model:
         dz[np.arange(len(t)), t] -= 1
         dz *= (m / n)[:, None].astype(np.float32)
         flat = h.reshape(-1, WIDTH)
-        g = {"w": flat.T @ dz, "b": dz.sum(0)}
+        g = {"w": flat.T @ dz, "b": np.ones(len(dz), np.float32) @ dz}
         dh = (dz @ p["w"].T).reshape(h.shape)
         da, dv = dh @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dh
         ds = a * (da - (a * da).sum(2, keepdims=True)) / np.float32(np.sqrt(WIDTH))
         dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        sum2 = lambda l, r: np.tensordot(l, r, ([0, 1], [0, 1]))
+        sum2 = lambda l, r: l.reshape(-1, WIDTH).T @ r.reshape(-1, WIDTH)
         g |= {"q": sum2(xq, dq), "k": sum2(x, dk), "v": sum2(x, dv)}
-        dx = dk @ p["k"].T + dv @ p["v"].T
-        dx[:, -last:] += dh + dq @ p["q"].T
+        dx = _rows(dk, p["k"].T)
+        dx += _rows(dv, p["v"].T)
+        dx[:, -last:] += dh + _rows(dq, p["q"].T)
         g["pos"] = dx.sum(0)
-        g["e"] = np.zeros_like(p["e"])
-        np.add.at(g["e"], inputs, dx)
+        at = inputs.reshape(-1, 1) * WIDTH + np.arange(WIDTH)
+        g["e"] = np.bincount(at.ravel(), dx.ravel(), p["e"].size).reshape(p["e"].shape).astype(np.float32)
         return loss, g
 
     def log_probabilities(self, tokens: np.ndarray, first: np.ndarray, count: np.ndarray, batch: int = 512) -> np.ndarray:
@@ -221,17 +229,16 @@ def windows_of(tokens: np.ndarray, first: np.ndarray, count: np.ndarray, begin:
     place = begin[:, None] + np.arange(-STRIDE, STRIDE)
     valid = (place >= first[text][:, None]) & (place < (first + count)[text][:, None])
     held = np.clip(place, 0, max(len(tokens) - 1, 0))
-    return np.where(valid, before[held], -1).astype(np.int16), np.where(valid, tokens[held], -1)[:, STRIDE:].astype(np.int16)
+    return np.where(valid, before[held], -1), np.where(valid, tokens[held], -1)[:, STRIDE:]
 
 
-def train(windows: tuple[np.ndarray, np.ndarray], picks: list[np.ndarray], seed: int = 0, start: Model | None = None, speed: float = 0.02) -> Model:
-    """Adam, one step for each pick of windows, from a fresh model or from `start`."""
+def train(take, picks: list[np.ndarray], seed: int = 0, start: Model | None = None, speed: float = 0.02) -> Model:
+    """Adam, one step for each pick of windows, from a fresh model or from `start`. take: of a pick, inputs and targets."""
     model = Model(dict(start.p)) if start else Model.fresh(seed)
-    inputs, targets = windows
     m = {k: np.zeros_like(v) for k, v in model.p.items()}
     s = {k: np.zeros_like(v) for k, v in model.p.items()}
     for i, pick in enumerate(picks, 1):
-        x, y = inputs[pick].astype(np.int64), targets[pick].astype(np.int64)
+        x, y = take(pick)
         _, g = model.step(np.maximum(x, 0), x >= 0, np.maximum(y, 0), y >= 0, STRIDE)
         rate = speed * min(1.0, i / 20) * (1 - i / (len(picks) + 1)) ** 0.5
         for k, grad in g.items():
@@ -258,7 +265,8 @@ def _classes(pieces, frequent):
 
 
 def _first_model(docs: DataFrame, read, sample_docs: int, steps: int = 400) -> Model:
-    """From random windows of a bounded sample of training documents by a hash of doc_id, in the order of their keys."""
+    """The learners' start values: some steps over random windows of a few training documents, by a hash of doc_id, in the order
+    of their keys. Every learner goes on from them over the whole corpus."""
     n = docs.where("not held_out").count()
     point = F.pmod(F.xxhash64(F.lit("attention"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = docs.where(~F.col("held_out") & (point * F.lit(n) < sample_docs)).select("name", "text")
@@ -276,51 +284,75 @@ def _first_model(docs: DataFrame, read, sample_docs: int, steps: int = 400) -> M
     if not len(begin):
         return Model.fresh()
     rng = np.random.default_rng(0)
-    return train(windows_of(tokens, first, count, begin, text), [rng.integers(0, len(begin), BATCH) for _ in range(steps)])
+    return train(lambda pick: windows_of(tokens, first, count, begin[pick], text[pick]), [rng.integers(0, len(begin), BATCH) for _ in range(steps)])
 
 
-def _learned_windows(docs: DataFrame, read, share: int) -> DataFrame:
-    """key, inputs, targets: one in `share` windows of all training documents, by a hash of the document's name and the window's
-    place in it."""
-    schema = pa.schema([("key", pa.int64()), ("inputs", pa.binary()), ("targets", pa.binary())])
+def _learned_chunks(docs: DataFrame, read) -> DataFrame:
+    """key, lead, ids: all training documents in chunks of CHUNK windows. ids, a byte each: START or the token in front, then the
+    tokens; lead: how many of the places are there to be seen only. The key is a hash of the document's name and the place."""
+    schema = pa.schema([("key", pa.int64()), ("lead", pa.int32()), ("ids", pa.binary())])
+    step = CHUNK * STRIDE
 
-    def pick(batches):
+    def cut(batches):
         own = read()
         for rows, data, offsets in shared.text_blocks(batches, "text"):
             tokens, first, count = own(data, offsets)
-            begin, text = _window_index(first, count)
             names = np.asarray(rows.column("name")).view(np.uint64)
-            key = shared.mixed(names[text] + (begin - first[text]).astype(np.uint64) * shared.U64(0x9E3779B97F4A7C15))
-            some = np.flatnonzero(key % shared.U64(share) == 0)
-            inputs, targets = windows_of(tokens, first, count, begin[some], text[some])
-            yield shared.columns_to_batch(schema, key[some].view(np.int64), [x.tobytes() for x in inputs], [x.tobytes() for x in targets])
-
-    return docs.where("not held_out").select("name", "text").mapInArrow(pick, "key long, inputs binary, targets binary")
-
-
-def _fit(docs: DataFrame, read, sample_docs: int, share: int, each: int) -> Model:
-    """The first model, then the average of what learners make of it, by their numbers of windows. A window's learner follows
-    from its key, and so does its turn; the number of learners follows from the number of windows. So the model is a function
-    of the table, whatever its files and partitions."""
+            n = -(-count // step)
+            text = np.repeat(np.arange(len(first)), n)
+            k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            key = shared.mixed(names[text] + k.astype(np.uint64) * shared.U64(0x9E3779B97F4A7C15))
+            lead = np.where(k > 0, STRIDE, 0)
+            # a text with START in front of it begins at first + its number
+            held = np.insert(tokens, first, START).astype(np.uint8)
+            begin = first[text] + text + k * step
+            end = np.minimum(begin + step, first[text] + text + count[text]) + 1
+            yield shared.columns_to_batch(schema, key.view(np.int64), lead.astype(np.int32), [held[x:y].tobytes() for x, y in zip(begin - lead, end)])
+
+    return docs.where("not held_out").select("name", "text").mapInArrow(cut, "key long, lead int, ids binary")
+
+
+class ChunkWindows:
+    """Windows of chunks, made when they are picked: the ids in front of each place, -1 outside, and the ids to score."""
+
+    def __init__(self, lead: np.ndarray, ids: list[bytes]):
+        self.ids = np.frombuffer(b"".join(ids), np.uint8)
+        size = np.array([len(x) for x in ids], np.int64)
+        self.offsets = np.concatenate(([0], np.cumsum(size)))
+        self.begin, self.chunk = _window_index(self.offsets[:-1] + lead, size - 1 - lead)
+
+    def __len__(self) -> int:
+        return len(self.begin)
+
+    def take(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = self.begin[pick][:, None] + np.arange(-STRIDE, STRIDE)
+        chunk = self.chunk[pick][:, None]
+        valid = (place >= self.offsets[chunk]) & (place < self.offsets[chunk + 1] - 1)
+        place = np.where(valid, place, 0)
+        return np.where(valid, self.ids[place].astype(np.int64), -1), np.where(valid, self.ids[place + 1].astype(np.int64), -1)[:, STRIDE:]
+
+
+def _fit(docs: DataFrame, read, sample_docs: int, share: int, each: int, n_tokens: int) -> Model:
+    """Start values, then the average of what learners make of them, by their numbers of windows. A chunk's learner follows from
+    its key, and so does its turn; the number of learners follows from the number of training tokens. So the model is a function
+    of the table, whatever its files and partitions. share: for trials, to go over one window in so many."""
     start = _first_model(docs, read, sample_docs)
-    chosen = shared.saved(_learned_windows(docs, read, share), "attention-windows")
-    n = chosen.count()
-    if not n:
+    if not n_tokens:
         return start
-    learners = -(-n // each)
+    learners = -(-n_tokens // (STRIDE * share * each))
     names = list(start.p)
     schema = pa.schema([("windows", pa.int64()), ("p", pa.list_(pa.float32()))])
 
     def improve(own: pa.Table) -> pa.Table:
-        own = own.sort_by([("key", "ascending"), ("inputs", "ascending"), ("targets", "ascending")])
-        inputs, targets = (np.frombuffer(b"".join(own.column(c).to_pylist()), np.int16).reshape(own.num_rows, -1) for c in ("inputs", "targets"))
-        picks = [np.arange(at, min(at + BATCH, own.num_rows)) for at in range(0, own.num_rows, BATCH)]
-        model = train((inputs, targets), picks, start=start, speed=0.004)
+        own = own.sort_by([("key", "ascending"), ("ids", "ascending")])
+        windows = ChunkWindows(own.column("lead").to_numpy().astype(np.int64), own.column("ids").to_pylist())
+        order = np.random.default_rng(len(windows)).permutation(len(windows))[: -(-len(windows) // share)]
+        picks = [order[at : at + BATCH] for at in range(0, len(order), BATCH)]
+        model = train(windows.take, picks, start=start, speed=0.004)
         flat = np.concatenate([model.p[k].ravel() for k in names]).astype(np.float32)
-        return pa.Table.from_batches([shared.columns_to_batch(schema, [own.num_rows], shared.lists(flat, np.array([0, len(flat)]), pa.float32()))])
+        return pa.Table.from_batches([shared.columns_to_batch(schema, [len(order)], shared.lists(flat, np.array([0, len(flat)]), pa.float32()))])
 
-    # other bits of the key than those that chose the window
-    dealt = chosen.withColumn("learner", F.pmod(F.xxhash64("key"), F.lit(learners)))
+    dealt = _learned_chunks(docs, read).withColumn("learner", F.pmod(F.xxhash64("key"), F.lit(learners)))
     made = dealt.groupBy("learner").applyInArrow(improve, "windows long, p array<float>")
     parameters = made.select("windows", F.posexplode("p").alias("at", "v"))
     # whole numbers add up to the same sum in any order
@@ -382,7 +414,7 @@ class Fitted:
     model: Model
 
 
-def fit(docs: DataFrame, tokenizer: str, sample_docs: int = 600, share: int = SHARE, each: int = EACH) -> Fitted:
+def fit(docs: DataFrame, tokenizer: str, sample_docs: int = 600, share: int = 1, each: int = EACH) -> Fitted:
     """Count, name the classes and train. Rows go by a hash of doc_id and text, so rows of one doc_id are spread."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), is_held_out(F.col("doc_id")).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("name", F.xxhash64("doc_id", "text"))
@@ -395,11 +427,11 @@ def fit(docs: DataFrame, tokenizer: str, sample_docs: int = 600, share: int = SH
     frequent = np.sort(subwords[inner][order])
     classes = np.where(inner, class_of(subwords, frequent), 0)
     size, kinds = (np.bincount(classes, found[:, i], CLASSES).astype(np.int64) for i in (0, 1))
-    model = _fit(docs, lambda: _classes(pieces, frequent), sample_docs, share, each)
+    model = _fit(docs, lambda: _classes(pieces, frequent), sample_docs, share, each, int(size.sum()))
     return Fitted(docs, pieces, counts, frequent, size, kinds, model)
 
 
-def score(docs: DataFrame, tokenizer: str, sample_docs: int = 600, group_bytes: int = 12 << 20, share: int = SHARE, each: int = EACH) -> DataFrame:
+def score(docs: DataFrame, tokenizer: str, sample_docs: int = 600, group_bytes: int = 12 << 20, share: int = 1, each: int = EACH) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     fitted = fit(docs, tokenizer, sample_docs, share, each)
     docs, pieces, counts = fitted.docs, fitted.pieces, fitted.counts

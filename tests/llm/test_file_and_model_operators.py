@@ -1,6 +1,7 @@
 """WARC, token files, language ID, LM scoring, repeated substrings, HTML and the pipeline against plain Python versions."""
 
 import hashlib
+import inspect
 import io
 import re
 import zlib
@@ -245,6 +246,22 @@ def test_lm_scores_against_plain_loops(spark, odd):
     assert [(a, b) for a, b in zip(got, sorted(want)) if a[0] != b[0] or not np.isclose(a[1], b[1], rtol=1e-4, atol=1e-3)] == []
 
 
+def test_every_window_is_learned_from(spark, odd):
+    """The learners' windows are those of all training documents, each once, whatever is cut where."""
+    rows = [(i, " ".join(f"w{(7 * i + j) % 90}" for j in range(n))) for i, n in enumerate([0, 1, 15, 16, 17, 1023, 1024, 1025, 3000, 40])]
+    docs = odd.select("doc_id", "text").union(spark.createDataFrame(rows, odd.select("doc_id", "text").schema)).selectExpr("doc_id", "coalesce(text, '') as text", "false as held_out", "xxhash64(doc_id, text) as name")
+    pieces = spark.sparkContext.broadcast([])
+    read = lambda: attention._classes(pieces, np.zeros(0, np.int64))
+    chunks = attention._learned_chunks(docs.repartition(3), read).collect()
+    made = attention.ChunkWindows(np.array([r.lead for r in chunks]), [bytes(r.ids) for r in chunks])
+    got = [np.concatenate(x, axis=1) for x in [made.take(np.arange(len(made)))]][0]
+    texts = [r.text.encode() for r in docs.collect()]
+    tokens_, first, count = read()(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+    want = np.concatenate(attention.windows_of(tokens_, first, count, *attention._window_index(first, count)), axis=1)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and (got[:, attention.WINDOW :] >= 0).sum() == count.sum()
+    assert inspect.signature(attention.score).parameters["share"].default == 1
+
+
 def test_windows_score_once_and_look_back():
     rng = np.random.default_rng(0)
     tokens_ = rng.integers(0, attention.CLASSES, 100)
