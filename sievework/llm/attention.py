@@ -130,6 +130,12 @@ def _window_index(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.
     return first[text] + k * STRIDE, text
 
 
+def _keep_freed() -> None:
+    """Once a block of this size was freed, the C library keeps freed memory for smaller ones, so that the arrays of each step do
+    not get their pages from the system again. The block itself is never touched."""
+    np.empty(31 << 20, np.uint8)
+
+
 def _rows(x: np.ndarray, by: np.ndarray) -> np.ndarray:
     return (x.reshape(-1, x.shape[-1]) @ by).reshape(*x.shape[:-1], by.shape[1])
 
@@ -191,8 +197,9 @@ class Model:
         g["e"] = np.bincount(at.ravel(), dx.ravel(), p["e"].size).reshape(p["e"].shape).astype(np.float32)
         return loss, g
 
-    def log_probabilities(self, tokens: np.ndarray, first: np.ndarray, count: np.ndarray, batch: int = 512) -> np.ndarray:
+    def log_probabilities(self, tokens: np.ndarray, first: np.ndarray, count: np.ndarray, batch: int = 128) -> np.ndarray:
         """The natural log probability of every token of the texts, each from one window."""
+        _keep_freed()
         out = np.zeros(len(tokens), np.float32)
         before = np.empty(len(tokens), np.int64)
         before[1:] = tokens[:-1]
@@ -234,6 +241,7 @@ def windows_of(tokens: np.ndarray, first: np.ndarray, count: np.ndarray, begin:
 
 def train(take, picks: list[np.ndarray], seed: int = 0, start: Model | None = None, speed: float = 0.02) -> Model:
     """Adam, one step for each pick of windows, from a fresh model or from `start`. take: of a pick, inputs and targets."""
+    _keep_freed()
     model = Model(dict(start.p)) if start else Model.fresh(seed)
     m = {k: np.zeros_like(v) for k, v in model.p.items()}
     s = {k: np.zeros_like(v) for k, v in model.p.items()}
