@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import ascii_lower, col, norm_key, text_of
+from .spans import once
 
 GRAM = 4
 
@@ -28,6 +29,15 @@ def grams(texts: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(texts, of)))
 
 
+GRAMS = 36**GRAM
+
+
+def gram_numbers(texts: Column) -> Column:
+    """Numbers of the distinct runs of GRAM characters a-z and 0-9 of all texts; other runs stand in no long token."""
+    real = F.filter(grams(texts), lambda g: g.rlike(f"^[a-z0-9]{{{GRAM}}}$"))
+    return F.transform(real, lambda g: F.conv(g, 36, 10).cast("int"))
+
+
 def settled(values: DataFrame, names: DataFrame, value: str, name: str, by: Sequence[str] = ()) -> DataFrame:
     """For each distinct value (within `by`): method (exact, normalized, composite, ambiguous, none), name, n_candidates of the
     step that settled it. by: columns of both tables whose values have to be equal, such as an accession.
@@ -42,14 +52,20 @@ def settled(values: DataFrame, names: DataFrame, value: str, name: str, by: Sequ
     first = exact.withColumn("normal", norm_key("value")).join(normal.where("normal <> ''"), [*by, "normal"], "left")
     first = first.select(*by, "value", "name", F.when(F.col("n_normal") == 1, F.col("one")).alias("one"))
 
-    # in an inventory's index every gram has a row for each name that holds it
-    index = names.select(*by, "name", F.explode(grams(F.array(ascii_lower("name")))).alias("gram"))
+    # in an inventory's index every gram has a row for each name that holds it; grams of values are four characters of 36, so
+    # there are no more than 36^4 of them within `by`, and a number stands for each
+    names = names.withColumn("low", ascii_lower("name"))
+    index = names.select(*by, "name", "low", F.explode(gram_numbers(F.array("low"))).alias("gram"))
     held = index.groupBy(*by, "gram").agg(F.count("*").alias("held"))
     open_ = first.where("name is null and one is null").select(*by, "value", long_tokens("value").alias("tokens")).where(F.size("tokens") > 0)
-    asked = open_.select(*by, "value", F.explode(grams(F.col("tokens"))).alias("gram")).join(held, [*by, "gram"], "left")
-    rarest = asked.groupBy(*by, "value").agg(F.min(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "gram")).alias("r"))
-    probes = rarest.where("r.held > 0").select(*by, "value", "r.gram")
-    met = probes.join(index, [*by, "gram"]).where(F.forall(long_tokens("value"), lambda t: F.contains(ascii_lower(F.col("name")), t)))
+    # a value's rarest gram is found without the value: its rows are two hashes and a number each, and meet in fixed-width sums
+    seen = once(open_, **{"_a": F.xxhash64("value"), "_b": F.xxhash64(F.lit("held"), F.reverse("value"))})
+    asked = seen.select(*by, "_a", "_b", F.explode(gram_numbers(F.col("tokens"))).alias("gram"))
+    counts = F.broadcast(held) if not by else held
+    asked = asked.join(counts, [*by, "gram"], "left")
+    rarest = asked.groupBy(*by, "_a", "_b").agg(F.min(F.coalesce("held", F.lit(0)) * GRAMS + F.col("gram")).alias("r")).where(F.col("r") >= GRAMS)
+    probes = seen.join(rarest, [*by, "_a", "_b"]).select(*by, "value", "tokens", F.pmod("r", F.lit(GRAMS)).cast("int").alias("gram"))
+    met = probes.join(index, [*by, "gram"]).where(F.forall("tokens", lambda t: F.contains(F.col("low"), t)))
     composite = met.groupBy(*by, "value").agg(F.count("*").alias("n_held"), F.min("name").alias("held_by"))
 
     out = first.join(composite, [*by, "value"], "left")

@@ -37,3 +37,11 @@ def test_settled_by_the_first_step(spark):
     both = containment.settled(v.withColumn("acc", F.lit(1)), n.withColumn("acc", F.expr("if(n < 'R', 1, 2)")), "v", "n", ["acc"]).collect()
     assert sorted(((r.value, r.method, r.name, r.n_candidates) for r in both), key=str) == plain_settled(values, [x for x in names if x < "R"])
     assert containment.settled(v.limit(0), n, "v", "n").count() == 0 and {r.method for r in containment.settled(v, n.limit(0), "v", "n").collect()} == {"none"}
+
+
+def test_rarest_grams_are_found_in_fixed_width(spark):
+    """The rows of a value's grams carry two hashes and a number, never the value, and are summed up without sorting them."""
+    v, n = (spark.createDataFrame([(x,) for x in xs], "v string") for xs in (["cell hela", "x" * 5000], ["hela_cell.raw"]))
+    plan = containment.settled(v, n, "v", "v")._jdf.queryExecution().sparkPlan().toString()
+    partial = [line for line in plan.split("\n") if "partial_min" in line and "held" in line and "gram" in line]
+    assert partial and all("HashAggregate(keys=[_a" in line for line in partial)
