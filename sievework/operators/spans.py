@@ -28,41 +28,57 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, F.explode(F.array(made)).alias("_made")).select(*kept, "_made.*")
 
 
+def let(value: Column, of) -> Column:
+    """What `of` makes of a value that is computed once, however often it is mentioned: within lambdas nothing else sees to that."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def plain(text) -> Column:
     """The text without the marks."""
     return F.translate(text_of(text), OPEN + CLOSE, "  ")
 
 
+def _split(text, pattern: str) -> Column:
+    return F.split(F.regexp_replace(col(text), f"(?:{pattern})", f"{OPEN}$0{CLOSE}"), OPEN)
+
+
 def pieces(text, pattern: str) -> Column:
     """The text in front of the first match, then each match with a closing mark and what follows it. Most texts have none of
     most patterns; these are searched, and neither copied nor split."""
-    cut = F.split(F.regexp_replace(col(text), f"(?:{pattern})", f"{OPEN}$0{CLOSE}"), OPEN)
-    return F.when(col(text).rlike(pattern), cut).otherwise(F.array(col(text)))
+    return F.when(col(text).rlike(pattern), _split(text, pattern)).otherwise(F.array(col(text)))
 
 
 def matched(piece: Column) -> Column:
     return F.substring_index(piece, CLOSE, 1)
 
 
-def running_totals(lengths: Column, block: int = 128) -> Column:
+def running_totals(lengths: Column, block: int = 64) -> Column:
     """For each element the sum of those before it. Blocks bound what is copied when a total is appended."""
     nothing = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("out"))
 
     def totals(xs: Column) -> Column:
         return F.aggregate(xs, nothing, lambda s, x: F.struct((s["sum"] + x).alias("sum"), F.concat(s["out"], F.array(s["sum"])).alias("out")))
 
-    starts = F.sequence(F.lit(0), F.greatest(F.size(lengths) - 1, F.lit(0)), F.lit(block))
-    inner = F.transform(starts, lambda at: totals(F.slice(lengths, at + 1, F.lit(block))))
-    before = totals(F.transform(inner, lambda b: b["sum"]))["out"]
-    return F.flatten(F.zip_with(inner, before, lambda b, base: F.transform(b["out"], lambda x: x + base)))
+    def blocks(xs: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(xs) - 1, F.lit(0)), F.lit(block))
+        return F.transform(starts, lambda at: totals(F.slice(xs, at + 1, F.lit(block))))
+
+    def joined(inner: Column) -> Column:
+        before = totals(F.transform(inner, lambda b: b["sum"]))["out"]
+        return F.flatten(F.zip_with(inner, before, lambda b, base: F.transform(b["out"], lambda x: x + base)))
+
+    return let(lengths, lambda xs: F.when(F.size(xs) > block, let(blocks(xs), joined)).otherwise(totals(xs)["out"]))
 
 
 def with_spans(df: DataFrame, text, **patterns: str) -> DataFrame:
-    """For each name an array of (at, to, match) of all matches of its pattern, in order."""
-    cut = once(df, **{f"_p_{n}": pieces(text, p) for n, p in patterns.items()})
-    # a piece is one character shorter without its closing mark; the first has none
-    cut = once(cut, **{f"_t_{n}": running_totals(F.transform(f"_p_{n}", lambda p, i: F.length(p) - F.when(i > 0, 1).otherwise(0))) for n in patterns})
-    span = lambda p, t: F.struct(t.alias("at"), (t + F.length(matched(p))).alias("to"), matched(p).alias("match"))
+    """For each name an array of (at, to, match) of all matches of its pattern, in order. A piece leaves its length and its match
+    behind, so a text is carried on once and not with every pattern; a text without a match leaves nothing."""
+    none = F.array().cast("array<struct<n:int,match:string>>")
+    # a piece is one character shorter without its closing mark; the first has none, and no match
+    piece = lambda p, i: F.struct((F.length(p) - F.when(i > 0, 1).otherwise(0)).alias("n"), F.when(i > 0, matched(p)).otherwise("").alias("match"))
+    cut = once(df, **{f"_p_{n}": F.when(col(text).rlike(p), F.transform(_split(text, p), piece)).otherwise(none) for n, p in patterns.items()})
+    cut = once(cut, **{f"_t_{n}": running_totals(F.transform(f"_p_{n}", lambda p: p["n"])) for n in patterns})
+    span = lambda p, t: F.struct(t.alias("at"), (t + F.length(p["match"])).alias("to"), p["match"].alias("match"))
     found = {n: F.slice(F.zip_with(f"_p_{n}", f"_t_{n}", span), F.lit(2), F.size(f"_p_{n}")) for n in patterns}
     return once(cut, **found).drop(*[f"_{x}_{n}" for x in "pt" for n in patterns])
 

@@ -63,6 +63,16 @@ def test_places(texts):
     assert got == {i: [(*m.span(), m[0]) for m in re.finditer("[ce]+", (t or "").translate({1: " ", 2: " "}))] for i, t in enumerate(TEXTS)}
 
 
+def test_lengths_of_pieces_are_taken_once(texts):
+    """Not again for every block of totals; and pieces do not carry the text on with every pattern."""
+    texts.sparkSession.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    plan = spans.with_spans(texts, "t", m="[ce]+")._jdf.queryExecution().optimizedPlan().toString()
+    texts.sparkSession.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("length(") == 2  # of a piece, and of a match
+    many = texts.sparkSession.createDataFrame([(1, "é c" * 5000)], "id int, t string")
+    assert [(x.at, x.to) for x in spans.with_spans(many, "t", m="[ce]+").first().m] == [(3 * i + 2, 3 * i + 3) for i in range(5000)]
+
+
 def test_running_totals(spark):
     sizes = [0, 1, 127, 128, 129, 1000]
     df = spark.createDataFrame([(n, [(7 * i) % 13 for i in range(n)]) for n in sizes], "n int, x array<int>").select("x", spans.running_totals(F.col("x")).alias("y"))
