@@ -105,6 +105,16 @@ def window_text(text, at: Column, to: Column, radius: int) -> Column:
     return norm(F.substring(col(text), start + 1, to + radius - start))
 
 
+BLOCK_BYTES = 4 << 20  # of the optimizer's size of a table, whose places are sorted in a task
+
+
+def parts_of(df: DataFrame) -> int:
+    """A number of tasks in proportion to a table, at least the session's number of shuffle partitions."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(least, min(size // BLOCK_BYTES + 1, 1 << 14)) if size < 1 << 60 else least
+
+
 # --- sections --------------------------------------------------------------------------------------------------------
 
 # Lines that begin a list of references, and those that begin what follows it.
@@ -172,9 +182,9 @@ class Screen:
     told_by: int = 220
 
 
-def hits(df: DataFrame, key: Sequence[str], text: str, screen: Screen, carry: Sequence[str] = ()) -> DataFrame:
+def hits(df: DataFrame, key: Sequence[str], text: str, screen: Screen, carry: Sequence[str] = (), parts: int | None = None) -> DataFrame:
     """One row for each distinct hit of the masked text, with the columns to carry: kind, score, strong, match, n (places).
-    A text without any has one row of nulls.
+    A text without any has one row of nulls. parts: how many tasks texts are dealt to.
 
     Hits of a kind with the same match and the same beginning of their surroundings count once. A rule with `near` needs a
     match of the context wholly within so many characters of its own. The hits of a text, each at the front of that range,
@@ -192,6 +202,7 @@ def hits(df: DataFrame, key: Sequence[str], text: str, screen: Screen, carry: Se
     contexts = F.transform("_context", lambda s: F.struct(F.lit(-1), s["at"], s["at"], s["to"], F.lit(""), F.lit(0))).cast(kind)
     nothing = F.array(F.struct(F.lit(-2), F.lit(0), F.lit(0), F.lit(0), F.lit(""), F.lit(0))).cast(kind)
     found = df.select(*key, *carry, F.inline(F.concat(nothing, contexts, *[rows(i) for i in range(len(rules))])))
+    found = found.repartition(parts, *key) if parts else found
     behind = Window.partitionBy(*key).orderBy(F.col("front").desc(), F.col("rule")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = found.withColumn("context_to", F.last(F.when(F.col("rule") == -1, F.col("to")), ignorenulls=True).over(behind))
     at = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("rule") + 1)
@@ -211,10 +222,11 @@ def screened(df: DataFrame, key: Sequence[str], text: str, title: Column, screen
 
     A title or a procedural hit settles a text; two direct mentions, or one and a contextual hit, speak for it; any other hit
     is weak."""
+    parts = parts_of(df)
     df = df.select(*key, F.col(text).alias("_text"), plain(title).alias("_title"))
     df = masked(masked(df, "_text", screen.masks, "_text_log"), "_title", screen.masks, "_title_log")
     df = df.withColumns({"n_masked": (F.size("_text_log") + F.size("_title_log")).cast("long"), "title_hit": F.col("_title").rlike(screen.title)})
-    found = hits(df, key, "_text", screen, ("n_masked", "title_hit"))
+    found = hits(df, key, "_text", screen, ("n_masked", "title_hit"), parts)
     count = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
     strong, direct, procedural = F.col("strong"), F.col("kind").isin(*screen.direct), F.col("kind").isin(*screen.procedural)
     sums = found.groupBy(*key, "n_masked", "title_hit").agg(
@@ -262,8 +274,10 @@ def nearest_roles(df: DataFrame, key: Sequence[str], text: str, members: str, ro
 
     The nearest role behind a member counts if it ends within the radius and in front of the next member; only without one
     the nearest in front of it, behind the member before. Ties go to the role that comes first in the list. Members and roles
-    of a text are sorted together once for each side; of every role the last match seen is the nearest one."""
+    of a text are sorted together once for each side; of every role the last match seen is the nearest one. Places of roles go
+    along as one number each, and texts are dealt to as many tasks as their table has blocks, so what a task sorts does not grow."""
     names = [n for n, _ in roles]
+    parts = parts_of(df)
     df = with_spans(df.select(*key, plain(text).alias(text)), text, _m=members, **{f"_r{i}": p for i, (_, p) in enumerate(roles)})
     kind = "array<struct<role:int,no:bigint,at:int,to:int,match:string,before:int,behind:int>>"
     member = F.transform(
@@ -271,17 +285,19 @@ def nearest_roles(df: DataFrame, key: Sequence[str], text: str, members: str, ro
         lambda s, i: F.struct(F.lit(-1), i + 1, s["at"], s["to"], s["match"], F.when(i > 0, F.get("_m", i - 1)["to"]).otherwise(0), F.coalesce(F.get("_m", i + 1)["at"], F.length(text))),
     ).cast(kind)
     matches = [F.transform(f"_r{i}", lambda s: F.struct(F.lit(i), F.lit(0), s["at"], s["to"], F.lit(""), F.lit(0), F.lit(0))).cast(kind) for i in range(len(roles))]  # noqa: B023
-    events = df.select(*key, F.inline(F.concat(member, *matches)))
+    events = df.select(*key, F.inline(F.concat(member, *matches))).repartition(parts, *key)
     of, is_member = F.col("role"), F.col("role") == -1
     along = lambda *order: Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     behind = along(F.when(is_member, F.col("to")).otherwise(F.col("at")).desc(), is_member)
     ahead = along(F.when(is_member, F.col("at")).otherwise(F.col("to")), is_member)
-    last = lambda i, w: F.last(F.when(of == i, F.struct("at", "to")), ignorenulls=True).over(w)
+    packed = F.shiftleft(F.col("at").cast("long"), 32) + F.col("to")
+    last = lambda i, w: F.last(F.when(of == i, packed), ignorenulls=True).over(w)
+    at_of, to_of = (lambda c: F.shiftright(c, 32)), (lambda c: F.pmod(c, F.lit(1 << 32)))
     events = events.withColumns({f"after_{i}": last(i, behind) for i in range(len(roles))})
     events = events.withColumns({f"before_{i}": last(i, ahead) for i in range(len(roles))}).where(is_member)
     place = lambda d, i: F.struct(d.cast("long").alias("distance"), F.lit(i).alias("role"))
-    after = [F.when(F.col(f"after_{i}")["to"] <= F.least(F.col("to") + radius, F.col("behind")), place(F.col(f"after_{i}")["at"] - F.col("to"), i)) for i in range(len(roles))]
-    before = [F.when(F.col(f"before_{i}")["at"] >= F.greatest(F.col("at") - radius, F.col("before")), place(F.col("at") - F.col(f"before_{i}")["to"], i)) for i in range(len(roles))]
+    after = [F.when(to_of(F.col(f"after_{i}")) <= F.least(F.col("to") + radius, F.col("behind")), place(at_of(F.col(f"after_{i}")) - F.col("to"), i)) for i in range(len(roles))]
+    before = [F.when(at_of(F.col(f"before_{i}")) >= F.greatest(F.col("at") - radius, F.col("before")), place(F.col("at") - to_of(F.col(f"before_{i}")), i)) for i in range(len(roles))]
     nearest = lambda found: F.array_min(F.array_compact(F.array(*found)))
     picked = events.select(*key, "no", F.col("match").alias("member"), nearest(after).alias("a"), nearest(before).alias("b"))
     found = F.coalesce("a", "b")

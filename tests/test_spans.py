@@ -172,3 +172,13 @@ def test_nearest_roles(texts, spark):
         got = spans.nearest_roles(df, ["id"], "t", members, roles, radius).collect()
         want = [(i, *r) for i, t in rows for r in plain_roles(t, members, roles, radius)]
         assert sorted((r.id, r.no, r.member, r.role, r.distance, r.side) for r in got) == sorted(want)
+
+
+def test_what_a_task_sorts_does_not_grow(spark, sf_dir, monkeypatch):
+    """Twice the table goes to twice the tasks; a role's place is a number."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id as id", "text as t")
+    monkeypatch.setattr(spans, "BLOCK_BYTES", 1 << 14)
+    n = spans.parts_of(docs)
+    assert n > 4 and 2 * n - 2 <= spans.parts_of(docs.union(docs)) <= 2 * n
+    plan = spans.nearest_roles(docs, ["id"], "t", "that", [("a", "[0-9]+")])._jdf.queryExecution().sparkPlan().toString()
+    assert f", {n}), REPARTITION_BY_NUM" in plan and "struct(at" not in "".join(line for line in plan.split("\n") if "Window" in line)
