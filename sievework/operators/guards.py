@@ -16,7 +16,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import ladder, norm
+from ..functions.columns import ladder, norm, text_of
 from .spans import once
 
 # Cells that say nothing, and the headers of a sheet that the constraints read.
@@ -29,9 +29,18 @@ INSTRUMENT, DISSOCIATION, LCM, CHIP, FLUIDICS = (f"comment[{x}]" for x in ("inst
 CLEAVAGE, MODIFICATION = "comment[cleavage agent details]", "comment[modification parameters]"
 ALIASES = (PART, LINE, TYPE, STAGE)
 
+LISTED = "\x01listed"  # no header of a sheet: the alias that concatenated_values() gives a row
+
 Value = Callable[[str], Column]
 
 
+def tidy(c) -> Column:
+    """norm(), whose pattern is tried only on texts with white space that it changes."""
+    t = text_of(c)
+    odd = either(*[t.contains(x) for x in ("  ", "\t", "\n", "\r", "\f", "\x0b")])
+    return F.when(odd, norm(c)).otherwise(F.trim(t))
+
+
 def concrete(value: Column) -> Column:
     return ~F.lower(value).isin(*RESERVED)
 
@@ -140,10 +149,13 @@ HEADERS = (SOURCE, DATA_FILE, ACQUISITION, PART, INDIVIDUAL, LINE, TYPE, STAGE,
 def gathered(cells: DataFrame, headers: Sequence[str] = HEADERS) -> tuple[DataFrame, Value, Value]:
     """One row for each row of a sheet, and access to the first and to all values of a header."""
     place = {h: i for i, h in enumerate(headers)}
-    cell = F.struct("col", F.lower(norm("header")).alias("header"), norm("value").alias("value"))
-    rows = cells.groupBy("sheet", "row").agg(F.sort_array(F.collect_list(cell)).alias("_cells"))
-    of = lambda h: F.transform(F.filter("_cells", lambda c: c["header"] == h), lambda c: c["value"])
-    rows = once(rows, **{f"every_{i}": of(h) for h, i in place.items()}).drop("_cells")
+    # a header's number goes to its row, not its name; cells under other headers leave only the row
+    number = F.array_position(F.array(*[F.lit(h) for h in headers]), F.lower(tidy("header"))).cast("int") - 1
+    named = cells.select("sheet", "row", "col", number.alias("place"), tidy("value").alias("value"))
+    cell = F.when(F.col("place") >= 0, F.struct("place", "col", "value"))
+    rows = named.groupBy("sheet", "row").agg(F.sort_array(F.collect_list(cell)).alias("_cells"))
+    of = lambda i: F.transform(F.filter("_cells", lambda c: c["place"] == i), lambda c: c["value"])
+    rows = once(rows, **{f"every_{i}": of(i) for i in place.values()}).drop("_cells")
     first = {f"first_{i}": F.coalesce(F.get(F.filter(f"every_{i}", concrete), F.lit(0)), F.get(f"every_{i}", F.lit(0)), F.lit("")) for i in place.values()}
     return once(rows, **first), lambda h: F.col(f"first_{place[h]}"), lambda h: F.col(f"every_{place[h]}")
 
@@ -162,7 +174,7 @@ def violations(cells: DataFrame, constraints: Sequence[Constraint] = CONSTRAINTS
 def concatenated_values(cells: DataFrame, header: str = INDIVIDUAL, aliases: Sequence[str] = ALIASES) -> DataFrame:
     """sheet, row, alias, value: rows whose value lists (`A | B`) exactly all values that the sheet has under another header. The
     first such alias counts. Sets are compared by their sizes and what they share."""
-    named = cells.select("sheet", "row", "col", F.lower(norm("header")).alias("header"), norm("value").alias("value"))
+    named = cells.select("sheet", "row", "col", F.lower(tidy("header")).alias("header"), tidy("value").alias("value"))
     sheet_values = named.where(F.col("header").isin(*aliases) & concrete(F.col("value"))).select("sheet", F.col("header").alias("alias"), low(F.col("value")).alias("token")).distinct()
     sizes = sheet_values.groupBy("sheet", "alias").agg(F.count("*").alias("n_values")).where("n_values >= 2")
     real = F.when(concrete(F.col("value")), F.struct("col", "value"))
@@ -179,18 +191,21 @@ def concatenated_values(cells: DataFrame, header: str = INDIVIDUAL, aliases: Seq
 def collapsed(cells: DataFrame, project: DataFrame, header: str, kind: str) -> DataFrame:
     """sheet, value: sheets with one value under a header, while their project (sheet, kind, value) has several."""
     several = project.where((F.col("kind") == kind) & concrete(norm("value"))).groupBy("sheet").agg(F.countDistinct(norm("value")).alias("n")).where("n > 1")
-    ours = cells.where((F.lower(norm("header")) == header) & concrete(norm("value"))).groupBy("sheet").agg(F.min(norm("value")).alias("value"), F.max(norm("value")).alias("last"))
+    ours = cells.where(F.lower(tidy("header")) == header).select("sheet", tidy("value").alias("value")).distinct().where(concrete(F.col("value")))
+    ours = ours.groupBy("sheet").agg(F.min("value").alias("value"), F.max("value").alias("last"))
     return ours.where("value = last").join(several, "sheet", "left_semi").select("sheet", "value")
 
 
 def guarded(cells: DataFrame, project: DataFrame) -> DataFrame:
     """sheet, row (null for a sheet as a whole), family, severity, code, value of all eight families. A row has one reason why its
     individual is none: a value of its own row, then a list of the sheet's values, then a name made from the cell line."""
-    lists = concatenated_values(cells).select("sheet", "row", F.col("alias").alias("listed"))
-    listed = Constraint(_LEAK + ":dataset_values_concatenated", "individual", "warning", lambda v, a: F.col("listed").isNotNull() & ~_duplicates_row(v), lambda v, a: v(INDIVIDUAL))
+    # the alias comes as one more cell: gathered rows are wide, and would have to be sorted to be joined
+    lists = concatenated_values(cells).select("sheet", "row", F.lit(-1).cast(cells.schema["col"].dataType).alias("col"), F.lit(LISTED).alias("header"), F.col("alias").alias("value"))
+    all_cells = cells.select("sheet", "row", "col", "header", "value").unionByName(lists)
+    listed = Constraint(_LEAK + ":dataset_values_concatenated", "individual", "warning", lambda v, a: (v(LISTED) != "") & ~_duplicates_row(v), lambda v, a: v(INDIVIDUAL))
     made = _LEAK + ":synthesized_from_cell_line"
-    unlisted = [replace(c, test=lambda v, a, t=c.test: t(v, a) & F.col("listed").isNull()) if c.code == made else c for c in CONSTRAINTS]
-    found = violations(cells, [listed, *unlisted], HEADERS, lists)
+    unlisted = [replace(c, test=lambda v, a, t=c.test: t(v, a) & (v(LISTED) == "")) if c.code == made else c for c in CONSTRAINTS]
+    found = violations(all_cells, [listed, *unlisted], (*HEADERS, LISTED))
     say = lambda df, family, severity, code: df.select("sheet", "row", F.lit(family).alias("family"), F.lit(severity).alias("severity"), F.lit(code).alias("code"), "value")
     whole = lambda df: df.withColumn("row", F.lit(None).cast(cells.schema["row"].dataType))
     return (

@@ -76,3 +76,13 @@ def test_leakage_has_one_reason(spark, nothing):
 def test_empty_sheets(spark, nothing):
     cells = sheet(spark, [(g.SOURCE, "x")])
     assert codes(cells, nothing) == codes(cells.limit(0), nothing) == []
+
+
+def test_wide_rows_are_not_joined(spark, nothing):
+    """What a sheet's lists say of a row comes as one of its cells; rows are gathered under their headers' numbers."""
+    cells = sheet(spark, [(" Characteristics[Individual]\t", "a  |\tb"), (g.PART, "a")], [(g.PART, "b"), ("other", "x")])
+    found = g.guarded(cells, nothing)
+    assert "LeftOuter" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.row, r.code.rpartition(":")[2], r.value) for r in found.collect()] == [(2, "dataset_values_concatenated", "a | b")]
+    rows, first, _ = g.gathered(sheet(spark, [("other", "x")]))
+    assert rows.select(first(g.PART)).collect()[0][0] == ""
