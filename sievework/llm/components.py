@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from . import shared
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, files: int | None) -> DataFrame:
     both = links.select("u", "v").unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = shared.saved(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "components-least")
+    least = shared.saved(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "components-least", files=files)
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
 
 
-def _small_star(links: DataFrame) -> DataFrame:
-    least = shared.saved(links.groupBy("u").agg(F.min("v").alias("m")), "components-least")
+def _small_star(links: DataFrame, files: int | None) -> DataFrame:
+    least = shared.saved(links.groupBy("u").agg(F.min("v").alias("m")), "components-least", files=files)
     moved = links.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionAll(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
 
@@ -30,14 +30,15 @@ def _settled(links: DataFrame) -> bool:
     return ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down > 1 or (down > 0 and up > 0)").isEmpty()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """links: u long, v long. Returns node, component (the least node reachable) for every node with a link.
+def components(links: DataFrame, files: int | None = None) -> DataFrame:
+    """links: u long, v long. Returns node, component (the least node reachable) for every node with a link. files: of each table
+    on the way, at most.
     Links of a node with itself and null ends are ignored; repeated links count once."""
     links = links.select("u", "v").where("u is not null and v is not null and u != v")
-    links = shared.saved(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components-links")
+    links = shared.saved(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components-links", files=files)
     while not _settled(links):
         # every link leads from the greater node to the smaller one, before and after
-        links = shared.saved(_small_star(shared.saved(_large_star(links), "components-large")), "components-links")
+        links = shared.saved(_small_star(shared.saved(_large_star(links, files), "components-large", files=files), files), "components-links", files=files)
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
         links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

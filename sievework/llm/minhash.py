@@ -174,7 +174,7 @@ def _near(percent: int) -> F.Column:
     return sizes & parity & (_differing("su", "sv") <= sketch_bound(percent / 100))
 
 
-def _meeting(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _meeting(near: DataFrame, sets: DataFrame, percent: int, files: int) -> DataFrame:
     """near: leader, c (its component), outer (still to be compared). Pairs (u, v) of different components, u outer, that
     share a shingle of both prefixes. With all shingles in one order, the rarest first, two sets of the asked similarity
     share one of their first n - ceil(n * percent / 100) + 1; a shingle of one holder meets nothing. Sizes, and the places
@@ -185,7 +185,7 @@ def _meeting(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     words = sets.join(own, "doc_id").select("doc_id", "c", "outer", "n", "set", F.explode("shingles").alias("t"))
     rank = F.dense_rank().over(Window.partitionBy("doc_id", "set").orderBy("held", "t"))
     first = words.join(held, "t").withColumn("rank", rank).where(F.expr(f"rank <= n - (n * {percent} + 99) div 100 + 1 and held > 1"))
-    first = shared.saved(first.select("doc_id", "c", "outer", "n", "t", "rank"), "minhash-prefixes")
+    first = shared.saved(first.select("doc_id", "c", "outer", "n", "t", "rank"), "minhash-prefixes", files=files)
     of = lambda x: first.select(F.col("t").alias(f"t{x}"), F.col("doc_id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("c", "outer", "n", "rank")])
     able = (
         "tu = tv and c_u != c_v and (not outer_v or u < v)"
@@ -199,24 +199,25 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     """One row for each document row: doc_id, n_shingles, component_id, kept."""
     docs = shared.columns(docs, "doc_id", "text")
     sig = shared.saved(signatures(docs, size), "minhash-signatures")
+    files = shared.files_for(sig)
     classes = shared.saved(
         sig.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles")
         .agg(F.min("doc_id").alias("leader"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("parity").alias("parity")),
-        "minhash-classes",
+        "minhash-classes", files=files,
     )
     leaders = classes.where("leader is not null").select("leader", F.col("n_shingles").alias("n"), "sketch", "parity", "bands")
     entries = leaders.select(F.explode("bands").alias("key"), "leader")
-    pivots = shared.saved(entries.groupBy("key").agg(F.min("leader").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("key", "pivot"), "minhash-pivots")
-    members = shared.saved(entries.join(pivots, "key"), "minhash-members")
+    pivots = shared.saved(entries.groupBy("key").agg(F.min("leader").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("key", "pivot"), "minhash-pivots", files=files)
+    members = shared.saved(entries.join(pivots, "key"), "minhash-members", files=files)
     light = leaders.select("leader", "n", "sketch", "parity")
-    ids = shared.saved(members.select(F.explode(F.array("leader", "pivot")).alias("doc_id")).distinct(), "minhash-ids")
+    ids = shared.saved(members.select(F.explode(F.array("leader", "pivot")).alias("doc_id")).distinct(), "minhash-ids", files=files)
     sets = shingle_sets(docs.join(ids, "doc_id", "left_semi"), size)
     sets = sets.withColumns({"n": F.size("shingles").cast("long"), "set": F.xxhash64("shingles")})  # once a set, not once a shingle
-    sets = shared.saved(sets, "minhash-sets", release=True)
-    stars = shared.saved(members.where("leader != pivot").select(F.col("pivot").alias("u"), F.col("leader").alias("v")).distinct(), "minhash-stars")
-    able = shared.saved(_sifted(stars, light, percent), "minhash-able")
-    links = shared.saved(_verified(able, sets, percent), "minhash-links")
-    found = shared.saved(components(links), "minhash-components")
+    sets = shared.saved(sets, "minhash-sets", release=True, files=files)
+    stars = shared.saved(members.where("leader != pivot").select(F.col("pivot").alias("u"), F.col("leader").alias("v")).distinct(), "minhash-stars", files=files)
+    able = shared.saved(_sifted(stars, light, percent), "minhash-able", files=files)
+    links = shared.saved(_verified(able, sets, percent), "minhash-links", files=files)
+    found = shared.saved(components(links, files), "minhash-components", files=files)
 
     # members outside their pivot's component, against the other components of their bucket
     comp = lambda x: F.coalesce(F.col(f"c_{x}"), F.col(x))
@@ -225,18 +226,18 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     placed = members.join(named, "leader", "left").join(pivot, "pivot", "left").select("key", "leader", comp("leader").alias("c"), comp("pivot").alias("p"))
     open_keys = placed.where("c != p").select("key").distinct()
     near = placed.join(open_keys, "key").groupBy("leader").agg(F.first("c").alias("c"), F.max(F.col("c") != F.col("p")).alias("outer"))
-    rest = _meeting(shared.saved(near, "minhash-near"), sets, percent)
+    rest = _meeting(shared.saved(near, "minhash-near", files=files), sets, percent, files)
     rest = _sifted(rest, light, percent)
-    rest = shared.saved(rest.join(stars.select("u", "v").unionAll(stars.select("v", "u")), ["u", "v"], "left_anti"), "minhash-rest")
+    rest = shared.saved(rest.join(stars.select("u", "v").unionAll(stars.select("v", "u")), ["u", "v"], "left_anti"), "minhash-rest", files=files)
     if not rest.isEmpty():
         more = _verified(rest, sets, percent)
         stars = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
-        found = shared.saved(components(stars.unionAll(more)), "minhash-components")
+        found = shared.saved(components(stars.unionAll(more), files), "minhash-components", files=files)
 
     named = classes.select("set_a", "set_b", "n_shingles", "leader").join(
         found.select(F.col("node").alias("leader"), "component"), "leader", "left"
     )
-    named = shared.saved(named.select("set_a", "set_b", "n_shingles", F.coalesce("component", "leader").alias("component")), "minhash-named")
+    named = shared.saved(named.select("set_a", "set_b", "n_shingles", F.coalesce("component", "leader").alias("component")), "minhash-named", files=files)
     out = sig.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b", "n_shingles"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
@@ -244,7 +245,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     )
 
 
-def _row_names(docs: DataFrame) -> DataFrame:
+def _row_names(docs: DataFrame, files: int) -> DataFrame:
     """Numbers of their own for the rows that doc_id does not name: those without one, those whose doc_id has several texts,
     and ids from 2^62 on, where these numbers lie. id, a, b (two hashes of the text), name, copies (rows that repeat all)."""
     keys = docs.groupBy("id", "a", "b").agg(F.count("*").alias("copies"))
@@ -252,7 +253,7 @@ def _row_names(docs: DataFrame) -> DataFrame:
     odd = keys.join(several, "id", "left").where(f"id is null or several or copies > 1 or id >= {1 << 62}")
     number = F.monotonically_increasing_id() + F.lit(1 << 62)
     name = F.when(F.col("id").isNull() | F.col("several") | (F.col("id") >= 1 << 62), number).otherwise(F.col("id"))
-    return shared.saved(odd.select("id", "a", "b", name.alias("name"), "copies"), "minhash-names")
+    return shared.saved(odd.select("id", "a", "b", name.alias("name"), "copies"), "minhash-names", files=files)
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -263,18 +264,19 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> D
     that share a doc_id but are no near-duplicates all stay, and so do unlike rows without doc_id. Of a group, the row with
     the least doc_id stays, one without doc_id last. Other columns decide nothing, except that of rows that repeat doc_id and
     text any one may be the one that stays."""
+    files = shared.files_for(docs)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     packed = docs.select(whole)
     text = F.col("doc.text")
     # the second hash reads the text behind a prefix, so it starts from another state
     packed = packed.select(F.col("doc.doc_id").cast("long").alias("id"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit("b"), text).alias("b"), "doc")
-    names = _row_names(packed.select("id", "a", "b")).select(F.col("id").alias("odd_id"), F.col("a").alias("odd_a"), F.col("b").alias("odd_b"), "name", "copies")
+    names = _row_names(packed.select("id", "a", "b"), files).select(F.col("id").alias("odd_id"), F.col("a").alias("odd_a"), F.col("b").alias("odd_b"), "name", "copies")
     same = F.col("id").eqNullSafe(F.col("odd_id")) & (F.col("a") == F.col("odd_a")) & (F.col("b") == F.col("odd_b"))
     named = packed.join(names, same, "left").select(F.coalesce("name", "id").alias("row"), "id", F.coalesce("copies", F.lit(1)).alias("copies"), "doc")
     groups = near_duplicates(named.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), size, percent)
     groups = groups.select(F.col("doc_id").alias("row"), "component_id").distinct()
     ids = named.select("row", F.coalesce("id", F.lit((1 << 63) - 1)).alias("first")).distinct()
     best = groups.join(ids, "row").groupBy("component_id").agg(F.min(F.struct("first", "row"))["row"].alias("row"))
-    kept = named.join(shared.saved(best.select("row"), "minhash-kept"), "row", "left_semi")
+    kept = named.join(shared.saved(best.select("row"), "minhash-kept", files=files), "row", "left_semi")
     once = kept.where("copies > 1").groupBy("row").agg(F.first("doc").alias("doc"))
-    return kept.where("copies = 1").select("doc.*").union(once.select("doc.*"))
+    return kept.where("copies = 1").select("doc.*").union(once.select("doc.*")).coalesce(files)

@@ -61,11 +61,12 @@ def saved_to(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def saved(df: DataFrame, label: str, release: bool = False) -> DataFrame:
+def saved(df: DataFrame, label: str, release: bool = False, files: int | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage, survives lost executors, and lets the
-    shuffle files behind it go. release: see to it that these files are gone before more work begins."""
+    shuffle files behind it go. release: see to it that these files are gone before more work begins. files: how many it
+    has at most, as files_for() says; partitions are taken together, none is sent on."""
     spark = df.sparkSession
-    back = saved_to(df, new_folder(spark, label))
+    back = saved_to(df.coalesce(files) if files else df, new_folder(spark, label))
     for _ in range(2 if release else 1):
         # Spark drops shuffle files once the driver has collected the plan that made them; listeners hold it for a moment
         time.sleep(0.7 if release else 0)
@@ -82,6 +83,13 @@ def parts_for(df: DataFrame, bytes_each: int = 16 << 20, least: int = 8) -> int:
     return int(max(least, min(size // bytes_each + 1, 1 << 17)))
 
 
+def files_for(df: DataFrame, bytes_each: int = 1 << 20) -> int:
+    """How many files a table should have that is made from df: some for every core, and more in proportion to df. On a local
+    disk Hadoop starts two processes for each file (chmod of it and of its checksum), and a process that an executor
+    starts has all the executor's memory until it runs its program; hundreds of almost empty files are hundreds of those."""
+    return parts_for(df, bytes_each, least=4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 # --- blocks of text -------------------------------------------------------------------------------------------------
 
 

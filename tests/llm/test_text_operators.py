@@ -257,3 +257,28 @@ def test_mixing_meets_the_weights(spark):
     docs = spark.range(20000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("source"))
     got = dict(mixing.mix(docs, {"hot": 0.6, "s1": 0.1}).groupBy("source").count().collect())
     assert abs(got["hot"] - 12000) < 450 and abs(got["s1"] - 2000) < 200 and abs(sum(got.values()) - 20000) < 600
+
+
+def test_small_tables_have_few_files(spark, monkeypatch):
+    """Tables on the way of near-duplicates have files by what they hold, however many partitions a shuffle has."""
+    many = 4 * spark.sparkContext.defaultParallelism + 40
+    rows = [(n, " ".join([f"w{n // 3}-{i}" for i in range(40)] + [f"end{n}"])) for n in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    held, saved = {}, shared.saved
+
+    def counted(df, label, **how):
+        back = saved(df, label, **how)
+        held[label] = max(held.get(label, 0), len(back.inputFiles()))
+        return back
+
+    monkeypatch.setattr(shared, "saved", counted)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", many)
+        got = sorted(tuple(r) for r in minhash.near_duplicates(docs).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r[2] for r in got} == set(range(0, 900, 3)) and len(got) == 900
+    assert held["minhash-links"] > 1 and max(held.values()) <= many - 40, held
