@@ -65,7 +65,13 @@ class Words:
     def __init__(self, tables: list[tuple[int, np.ndarray, np.ndarray]] | None = None):
         """tables: what piece_tables() makes; without them there are no subword ids."""
         self.hasher = shared.Hasher(3)
-        self.tables = tables or []
+        self.tables = []
+        for n, keys, ids in tables or []:
+            # the front bits that keys have, 16 places or more a key: most words that are no key end here
+            shift = shared.U64(64 - (16 * len(keys)).bit_length())
+            some = np.zeros(1 << (64 - int(shift)), bool)
+            some[keys >> shift] = True
+            self.tables.append((n, keys, ids, shift, some))
 
     def read(self, data: np.ndarray, offsets: np.ndarray):
         data = shared.LOWER[data]
@@ -76,9 +82,12 @@ class Words:
     def subwords(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The longest piece at the front of each word; -1 where there is none."""
         out = np.full(len(starts), -1, np.int64)
-        for n, keys, ids in self.tables:
-            open_ = np.flatnonzero((out < 0) & (ends - starts >= n))
+        size = ends - starts
+        for n, keys, ids, shift, some in self.tables:
+            open_ = np.flatnonzero((out < 0) & (size >= n))
             h = self.hasher.spans(sums, starts[open_], starts[open_] + n)
+            maybe = some[h >> shift]
+            open_, h = open_[maybe], h[maybe]
             at = np.searchsorted(keys, h)
             at[at == len(keys)] = 0
             hit = keys[at] == h
@@ -136,6 +145,18 @@ def _keep_freed() -> None:
     np.empty(31 << 20, np.uint8)
 
 
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Of the last axis: a product with ones takes less time than sum() here."""
+    return x @ np.ones(x.shape[-1], x.dtype)
+
+
+def _within(z: np.ndarray) -> np.ndarray:
+    """Logits whose exponentials float32 can hold: as they are, or with each row moved by its greatest, in place."""
+    if len(z) and (z.max() > 60 or z.min() < -60):
+        z -= z.max(1, keepdims=True)
+    return z
+
+
 def _rows(x: np.ndarray, by: np.ndarray) -> np.ndarray:
     return (x.reshape(-1, x.shape[-1]) @ by).reshape(*x.shape[:-1], by.shape[1])
 
@@ -164,28 +185,31 @@ class Model:
         mask = (np.arange(WINDOW)[None, :] <= rows)[None] & valid[:, None, :]
         a = np.exp(s, out=s)
         a *= mask
-        a /= a.sum(2, keepdims=True) + np.float32(1e-9)
+        a /= (_sums(a) + np.float32(1e-9))[..., None]
         h = xq + a @ v
-        return h.reshape(-1, WIDTH) @ p["w"] + p["b"], (x, xq, q, k, v, a, h)
+        z = h.reshape(-1, WIDTH) @ p["w"]
+        z += p["b"]
+        return z, (x, xq, q, k, v, a, h)
 
     def step(self, inputs, valid, targets, scored, last):
         """Loss and gradients for scored positions (a mask like targets)."""
         p = self.p
         z, (x, xq, q, k, v, a, h) = self.forward(inputs, valid, last)
-        z -= z.max(1, keepdims=True)
-        prob = np.exp(z, out=z)
-        prob /= prob.sum(1, keepdims=True)
         t, m = targets.ravel(), scored.ravel()
-        n = max(1, m.sum())
-        loss = -np.log(prob[np.arange(len(t)), t] + 1e-12)[m].sum() / n
-        dz = prob
-        dz[np.arange(len(t)), t] -= 1
-        dz *= (m / n)[:, None].astype(np.float32)
+        n, at = max(1, m.sum()), np.arange(len(t))
+        own = _within(z)[at, t]
+        dz = np.exp(z, out=z)
+        total = _sums(dz)
+        loss = (np.log(total) - own)[m].sum() / n
+        dz *= (m / (n * total)).astype(np.float32)[:, None]
+        dz[at, t] -= (m / n).astype(np.float32)
         flat = h.reshape(-1, WIDTH)
         g = {"w": flat.T @ dz, "b": np.ones(len(dz), np.float32) @ dz}
         dh = (dz @ p["w"].T).reshape(h.shape)
         da, dv = dh @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dh
-        ds = a * (da - (a * da).sum(2, keepdims=True)) / np.float32(np.sqrt(WIDTH))
+        da -= _sums(a * da)[..., None]
+        ds = np.multiply(a, da, out=da)
+        ds *= np.float32(1 / np.sqrt(WIDTH))
         dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
         sum2 = lambda l, r: l.reshape(-1, WIDTH).T @ r.reshape(-1, WIDTH)
         g |= {"q": sum2(xq, dq), "k": sum2(x, dk), "v": sum2(x, dv)}
@@ -193,8 +217,11 @@ class Model:
         dx += _rows(dv, p["v"].T)
         dx[:, -last:] += dh + _rows(dq, p["q"].T)
         g["pos"] = dx.sum(0)
-        at = inputs.reshape(-1, 1) * WIDTH + np.arange(WIDTH)
-        g["e"] = np.bincount(at.ravel(), dx.ravel(), p["e"].size).reshape(p["e"].shape).astype(np.float32)
+        ids = inputs.ravel().astype(np.uint8)  # which sort in linear time
+        order = np.argsort(ids, kind="stable")
+        seen, begin = np.unique(ids[order], return_index=True)
+        g["e"] = np.zeros_like(p["e"])
+        g["e"][seen] = np.add.reduceat(dx.reshape(-1, WIDTH)[order], begin, axis=0)
         return loss, g
 
     def log_probabilities(self, tokens: np.ndarray, first: np.ndarray, count: np.ndarray, batch: int = 128) -> np.ndarray:
@@ -216,14 +243,17 @@ class Model:
             valid = (place >= first[t][:, None]) & (place < (first + count)[t][:, None])
             ids = before[np.clip(place, 0, len(tokens) - 1)]
             s = (eq[ids[:, STRIDE:]] + pq[STRIDE:]) @ (ek[ids] + pk).transpose(0, 2, 1)
-            a = np.exp(s) * (causal[None] & valid[:, None, :])
-            a /= a.sum(2, keepdims=True) + np.float32(1e-9)
+            a = np.exp(s, out=s)
+            a *= causal[None] & valid[:, None, :]
+            a /= (_sums(a) + np.float32(1e-9))[..., None]
             h = p["e"][ids[:, STRIDE:]] + p["pos"][STRIDE:] + a @ (ev[ids] + pv)
-            z = h.reshape(-1, WIDTH) @ p["w"] + p["b"]
+            z = h.reshape(-1, WIDTH) @ p["w"]
+            z += p["b"]
             where, ok = place[:, STRIDE:].ravel(), valid[:, STRIDE:].ravel()
             rows = np.flatnonzero(ok)
             target = tokens[where[rows]]
-            out[where[rows]] = z[rows, target] - np.log(np.exp(z).sum(1))[rows]
+            own = _within(z)[rows, target]
+            out[where[rows]] = own - np.log(_sums(np.exp(z, out=z)))[rows]
         return out
 
 

@@ -297,6 +297,42 @@ def test_gradients():
         assert abs((losses[0] - losses[1]) / (2 * step) - g[name].reshape(-1)[i]) < 0.05 * abs(g[name].reshape(-1)[i]) + 2e-4, name
 
 
+def test_model_holds_large_logits():
+    """Logits beyond what exp of float32 holds still give finite log probabilities and gradients, the ones of exact sums; the
+    gradient of the embeddings follows the loss."""
+    model, rng = attention.Model.fresh(4), np.random.default_rng(4)
+    model.p["b"] = (np.arange(attention.CLASSES) * 2.0 - 150).astype(np.float32)
+    tokens_, first, count = rng.integers(0, attention.CLASSES, 64), np.array([0, 40]), np.array([40, 24])
+    got = model.log_probabilities(tokens_, first, count)
+    begin, text = attention._window_index(first, count)
+    x, y = attention.windows_of(tokens_, first, count, begin, text)
+    z = model.forward(np.maximum(x, 0), x >= 0, attention.STRIDE)[0].astype(np.float64)
+    top = z.max(1, keepdims=True)
+    want = (z - top - np.log(np.exp(z - top).sum(1, keepdims=True)))[np.arange(len(z)), np.maximum(y, 0).ravel()][y.ravel() >= 0]
+    assert np.allclose(got, want, atol=1e-3) and want.min() < -150
+    loss, g = model.step(np.maximum(x, 0), x >= 0, np.maximum(y, 0), y >= 0, attention.STRIDE)
+    assert abs(loss + want.mean()) < 1e-3 and all(np.isfinite(v).all() for v in g.values())
+    model, inputs, targets = attention.Model.fresh(5), rng.integers(0, attention.CLASSES, (96, 32)), rng.integers(0, attention.CLASSES, (96, 16))
+    _, g = model.step(inputs, np.ones((96, 32), bool), targets, np.ones((96, 16), bool), 16)
+    old, losses = model.p["e"].copy(), []
+    way = g["e"] / np.abs(g["e"]).max()
+    for d in (0.02, -0.02):
+        model.p["e"] = (old + d * way).astype(np.float32)
+        losses.append(model.step(inputs, np.ones((96, 32), bool), targets, np.ones((96, 16), bool), 16)[0])
+    assert abs((losses[0] - losses[1]) / 0.04 - (g["e"] * way).sum()) < 0.05 * (g["e"] * way).sum() + 2e-4
+
+
+def test_subwords_are_the_longest_pieces():
+    pieces = [b"", *{bytes([a, b][: 1 + (a + b) % 2]) for a in range(97, 117) for b in range(97, 123)}, b"abc", b"bcde", b"tuvwxyz"]
+    words = attention.Words(attention.piece_tables(pieces))
+    texts = ["".join(chr(97 + (i * k) % 26) for k in range(1, 1 + i % 9)) for i in range(300)] + ["abcd", "bcde", "tuvwxyzz", "z", "é"]
+    data = " ".join(texts).encode()
+    sums, starts, ends, _, _ = words.read(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    got = words.subwords(sums, starts, ends)
+    spans = [data[s:e] for s, e in zip(starts, ends)]
+    assert got.tolist() == [max((i for i, p in enumerate(pieces) if p and w.startswith(p)), key=lambda i: len(pieces[i]), default=-1) for w in spans]
+
+
 def brute_substrings(rows, n=50):
     least = {}
     for d, t in rows:
