@@ -12,7 +12,8 @@ but the least document are marked. Round 2 takes the pair of the other ranks and
 LENGTH: for each remaining position its own windows are ranked, and a window is marked if the least doc_id of its rank is
 smaller than its own. Two independent 64-bit hashes have to agree before windows count as equal.
 
-Frequent strings: round 1 is a partial aggregate and a join that Spark may split. In round 2 equal surroundings inside a
+Frequent strings: in round 1 a task counts the ranks of half a million positions before it sends them, so a rank is one entry
+of each such lot however often it occurs; the answer is a join that Spark may split. In round 2 equal surroundings inside a
 task's block are resolved there, and only the first document's are sent on. A rank of up to MOST positions is gathered by
 its key. A more frequent one is not: equal surroundings are one row of a partial aggregate, whose windows are compared by
 a second one, and the answer goes back to all positions by a join that Spark may split. Settled positions are not moved.
@@ -38,71 +39,126 @@ LENGTH = 50
 GRAM = 20
 MOST = 64  # positions of a rank that one task may gather
 WHOLE, OPEN, HOT = 1, 2, 3  # kinds of ranks, in the last two bits of a key
-_PLACE = np.uint64((1 << 28) - 1)
+STRETCH = 1 << 15  # windows that are looked at together, so that their hashes stay in a core's cache
+RANKS = 1 << 19  # positions whose ranks a task counts before it sends them
+_PLACE = np.uint64((1 << 16) - 1)
 _HASH = ~_PLACE
 
 
-def _grams(hasher: shared.Hasher, sums: np.ndarray, n: int) -> np.ndarray:
-    at = np.arange(max(n - GRAM + 1, 0))
-    return hasher.spans(sums, at, at + GRAM)
-
-
 def picked(hasher: shared.Hasher, sums: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """For each picked position: its text, place, key, and the first and last window that it stands for. All places are
     within the block."""
-    n = int(offsets[-1])
-    none = np.zeros(0, np.int64)
+    n, width = int(offsets[-1]), LENGTH - GRAM + 1
     if n < LENGTH:
+        none = np.zeros(0, np.int64)
         return none, none, none.astype(np.uint64), none, none
-    grams = _grams(hasher, sums, n)
-    v = (grams & _HASH) | np.arange(len(grams), dtype=np.uint64)  # ties go to the first
-    width, span = LENGTH - GRAM + 1, 1
-    low = v
-    while span * 2 <= width:
-        low = np.minimum(low[:-span], low[span:])
-        span *= 2
-    low = np.minimum(low[: len(low) - (width - span)], low[width - span :])
-    text = np.repeat(np.arange(len(offsets) - 1), np.maximum(np.diff(offsets) - LENGTH + 1, 0))
-    counts = np.maximum(np.diff(offsets) - LENGTH + 1, 0)
-    window = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(offsets[:-1], counts)
-    place = (low[window] & _PLACE).astype(np.int64)
-    if not len(place):
-        return none, none, none.astype(np.uint64), none, none
+    place = np.empty(n - LENGTH + 1, np.int64)  # of each window that starts there, whether it lies in one text or not
+    for at in range(0, len(place), STRETCH):
+        to = min(at + STRETCH, len(place))
+        low = hasher.runs(sums, GRAM, at, to + width - 1)
+        low &= _HASH
+        low |= np.arange(len(low), dtype=np.uint64)  # ties go to the first
+        span = 1
+        while span * 2 <= width:
+            low = np.minimum(low[:-span], low[span:])
+            span *= 2
+        low = np.minimum(low[: to - at], low[width - span :])
+        place[at:to] = (low & _PLACE).astype(np.int64) + at
     new = np.ones(len(place), bool)
-    new[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1])
+    new[1:] = place[1:] != place[:-1]
+    new[offsets[:-1][offsets[:-1] < len(place)]] = True
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(place)) - 1
-    return text[first], place[first], grams[place[first]], window[first], window[last]
+    text = np.searchsorted(offsets, first, side="right") - 1
+    last = np.minimum(np.append(first[1:], len(place)) - 1, offsets[text + 1] - LENGTH)
+    inside = last >= first
+    text, first, last = text[inside], first[inside], last[inside]
+    place = place[first]
+    # the least of hashes are no longer spread evenly; once more mixed, they are
+    return text, place, shared.mixed(hasher.spans(sums, place, place + GRAM)), first, last
 
 
-def _positions(docs: DataFrame, with_block: bool) -> DataFrame:
-    """key, doc_id: one row for each picked position; with_block also block, the hash of all bytes of its windows."""
-    fields = [("key", pa.int64()), ("doc_id", pa.int64())] + [("block", pa.int64())] * with_block
-    schema = pa.schema(fields)
+def _positions(docs: DataFrame) -> DataFrame:
+    """key, doc_id: one row for each picked position."""
+    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64())])
 
     def pick(batches):
         hasher = shared.Hasher(9)
+        for rows, data, offsets in shared.text_blocks(batches, "text", 1 << 20):
+            text, _, key, _, _ = picked(hasher, hasher.prefix(data), offsets)
+            yield shared.columns_to_batch(schema, key.view(np.int64), rows.column("doc_id").to_numpy(zero_copy_only=False)[text])
+
+    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(pick, "key long, doc_id long")
+
+
+def _counted(ranks: np.ndarray) -> np.ndarray:
+    """One column for each key, in order of keys, of a table with the rows key, least and most doc_id, a hash of all bytes of
+    the windows, and the number of positions, below 0 where that hash is not the same for all of them."""
+    if not ranks.shape[1]:
+        return ranks
+    ranks = ranks[:, np.argsort(ranks[0].view(np.uint64))]
+    heads = np.flatnonzero(np.append(True, ranks[0, 1:] != ranks[0, :-1]))
+    low, high = np.minimum.reduceat(ranks[3], heads), np.maximum.reduceat(ranks[3], heads)
+    n = np.add.reduceat(np.abs(ranks[4]), heads)
+    same = (low == high) & (np.minimum.reduceat(ranks[4], heads) > 0)
+    return np.stack([ranks[0, heads], np.minimum.reduceat(ranks[1], heads), np.maximum.reduceat(ranks[2], heads), low, np.where(same, n, -n)])
+
+
+def _sent_ranks(docs: DataFrame, parts: int) -> DataFrame:
+    """part, ranks: a task counts the ranks of RANKS positions and sends them packed, one row for each part of the keys. A
+    frequent rank is one entry in each of these rows, not one a position."""
+    sent_schema = pa.schema([("part", pa.int32()), ("ranks", pa.binary())])
+
+    def packed(held):
+        ranks = _counted(np.concatenate(held, axis=1))
+        of = ((ranks[0].view(np.uint64) >> shared.U64(32)) * shared.U64(parts)) >> shared.U64(32)
+        edges = np.append(np.flatnonzero(np.append(True, of[1:] != of[:-1])), len(of))
+        pieces = [ranks[:, a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+        return shared.columns_to_batch(sent_schema, of[edges[:-1]].astype(np.int32), pieces)
+
+    def count(batches):
+        hasher, held, size = shared.Hasher(9), [], 0
         for rows, data, offsets in shared.text_blocks(batches, "text", 1 << 20):
             sums = hasher.prefix(data)
             text, _, key, lo, hi = picked(hasher, sums, offsets)
-            made = [key.view(np.int64), rows.column("doc_id").to_numpy(zero_copy_only=False)[text]]
-            made += [hasher.spans(sums, lo, hi + LENGTH).view(np.int64)] if with_block else []
-            yield shared.columns_to_batch(schema, *made)
+            if not len(key):
+                continue
+            doc = rows.column("doc_id").to_numpy(zero_copy_only=False)[text]
+            held.append(np.stack([key.view(np.int64), doc, doc, hasher.spans(sums, lo, hi + LENGTH).view(np.int64), np.ones(len(key), np.int64)]))
+            size += len(key)
+            if size >= RANKS:
+                yield packed(held)
+                held, size = [], 0
+        if held:
+            yield packed(held)
+
+    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(count, "part int, ranks binary")
+
+
+def _unpacked(packed: pa.ChunkedArray) -> np.ndarray:
+    return _counted(np.concatenate([np.frombuffer(r.as_py(), np.int64).reshape(5, -1) for r in packed], axis=1))
+
 
-    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(pick, "key long, doc_id long" + ", block long" * with_block)
+def _ranks(docs: DataFrame, most: int) -> DataFrame:
+    """key, least, kind of the ranks that more than one document has."""
+    schema = pa.schema([("key", pa.int64()), ("least", pa.int64()), ("kind", pa.int32())])
+
+    def kinds(rows):
+        ranks = _unpacked(rows.column("ranks"))
+        key, least, _, _, n = ranks[:, ranks[1] < ranks[2]]
+        kind = np.where(n > 0, WHOLE, np.where(-n <= most, OPEN, HOT))
+        return pa.Table.from_arrays([pa.array(key), pa.array(least), pa.array(kind.astype(np.int32))], schema=schema)
+
+    sent = _sent_ranks(docs, shared.parts_for(docs, 4 << 20))
+    return sent.groupBy("part").applyInArrow(kinds, "key long, least long, kind int")
 
 
 def _repeated(docs: DataFrame, most: int = MOST) -> DataFrame:
     """doc_id, keys: the ranks of round 1 that another document has as well, the kind of each in the last two bits. Where
     all positions of a rank have the same windows, those of later documents are done (whole) and the first one's are of no
     more use; the rest is open, or hot if it has more positions than most."""
-    ranks = _positions(docs, True).groupBy("key").agg(
-        F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.min("block").alias("low"), F.max("block").alias("high"), F.count("*").alias("n")
-    )
-    kind = F.when(F.col("low") == F.col("high"), "whole").when(F.col("n") <= most, "open").otherwise("hot")
-    ranks = shared.saved(ranks.where("least < most").select("key", "least", kind.alias("kind")), "substrings-ranks", release=True)
-    met = _positions(docs, False).join(ranks, "key").where("kind != 'whole' or least < doc_id")
-    named = F.col("key").bitwiseAND(F.lit(~3)) + F.when(F.col("kind") == "whole", WHOLE).when(F.col("kind") == "open", OPEN).otherwise(HOT)
+    ranks = shared.saved(_ranks(docs, most), "substrings-ranks", release=True)
+    met = _positions(docs).join(ranks, "key").where(f"kind <> {WHOLE} or least < doc_id")
+    named = F.col("key").bitwiseAND(F.lit(~3)).bitwiseOR(F.col("kind"))
     return shared.saved(met.groupBy("doc_id").agg(F.collect_list(named).alias("keys")), "substrings-keys", release=True)
 
 
@@ -162,43 +218,68 @@ def _surroundings(docs: DataFrame, repeated: DataFrame, parts: int) -> DataFrame
     return met.join(again, "doc_id", "left").select("doc_id", "text", "keys", row.alias("row")).mapInArrow(surround, _SENT)
 
 
+def _around(rows: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The surroundings' bytes end to end, and the offset of each plus the end."""
+    around = rows.column("around")
+    around = (around.combine_chunks() if isinstance(around, pa.ChunkedArray) else around).cast(pa.large_binary())
+    offsets = np.frombuffer(around.buffers()[1], np.int64, len(around) + 1, around.offset * 8)
+    return np.frombuffer(around.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _each(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For counts of things: the owner of each thing, and its number there."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 def _ranked(rows: pa.Table) -> pa.Table:
-    """doc_id, row, start, end of the byte stretches of a part whose windows a smaller document has."""
+    """doc_id, row, start, end of the byte stretches of a part whose windows a smaller document has. Of equal surroundings
+    only the least document's windows are ranked; all others are covered."""
     schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
     there = rows.combine_chunks()
-    made = [schema.empty_table()]
-    if there.num_rows:
-        doc = there.column("doc_id").to_numpy()
-        row, step, name, check = _windows(there)
-        order = np.argsort(name, kind="stable")
-        ranked, check = name[order], check[order]
-        head = np.ones(len(order), bool)
-        head[1:] = (ranked[1:] != ranked[:-1]) | (check[1:] != check[:-1])
-        least = np.minimum.reduceat(doc[row][order], np.flatnonzero(head))[np.cumsum(head) - 1]
-        marked = np.zeros(len(row) + 2, bool)
-        marked[1:-1][order] = least < doc[row][order]
-        first = np.append(step == 0, True)  # of a row; nothing runs on over it
-        begin = np.flatnonzero(marked[1:-1] & (~marked[:-2] | first[:-1]))
-        finish = np.flatnonzero(marked[1:-1] & (~marked[2:] | first[1:]))
-        start = there.column("start").to_numpy()
-        made.append(
-            pa.Table.from_arrays(
-                [pa.array(doc[row[begin]]), pa.array(there.column("row").to_numpy()[row[begin]]), pa.array((start[row[begin]] + step[begin]).astype(np.int32)), pa.array((start[row[finish]] + step[finish] + LENGTH).astype(np.int32))],
-                schema=schema,
-            )
-        )
-    return pa.concat_tables(made)
+    if not there.num_rows:
+        return schema.empty_table()
+    doc, start, n = (there.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "start", "windows"))
+    data, offsets = _around(there)
+    one, two = shared.Hasher(10), shared.Hasher(11)
+    sums, more = one.prefix(data), two.prefix(data)
+    same, check = one.spans(sums, offsets[:-1], offsets[1:]), two.spans(more, offsets[:-1], offsets[1:])
+    order = np.lexsort((doc, same))
+    same, check = same[order], check[order]
+    head = np.append(True, (same[1:] != same[:-1]) | (check[1:] != check[:-1]))
+    alike, heads = np.cumsum(head) - 1, order[head]
+    own = doc[order] == doc[heads][alike]
+    later, own, alike = order[~own], order[own], alike[own]
+    # the windows of heads
+    row, step = _each(n[heads])
+    at = offsets[:-1][heads][row] + step
+    name, check = one.spans(sums, at, at + LENGTH), two.spans(more, at, at + LENGTH)
+    order = np.argsort(name, kind="stable")
+    name, check = name[order], check[order]
+    head = np.append(True, (name[1:] != name[:-1]) | (check[1:] != check[:-1]))
+    whose = doc[heads][row]
+    least = np.minimum.reduceat(whose[order], np.flatnonzero(head))[np.cumsum(head) - 1]
+    marked = np.zeros(len(row) + 2, bool)
+    marked[1:-1][order] = least < whose[order]
+    first = np.append(step == 0, True)  # of a row; nothing runs on over it
+    begin = np.flatnonzero(marked[1:-1] & (~marked[:-2] | first[:-1]))
+    finish = np.flatnonzero(marked[1:-1] & (~marked[2:] | first[1:]))
+    # runs of a head hold for all positions of its document that have these surroundings
+    runs = np.bincount(row[begin], minlength=len(heads))
+    to, i = _each(runs[alike])
+    i += (np.cumsum(runs) - runs)[alike][to]
+    to = own[to]
+    at = np.append(later, to)
+    begins, ends = np.append(start[later], start[to] + step[begin][i]), np.append(start[later] + n[later] - 1, start[to] + step[finish][i]) + LENGTH
+    made = [doc[at], there.column("row").to_numpy()[at], begins.astype(np.int32), ends.astype(np.int32)]
+    return pa.Table.from_arrays([pa.array(x) for x in made], schema=schema)
 
 
 def _windows(rows: pa.Table) -> tuple[np.ndarray, ...]:
     """For every window of rows with bytes: its row, its place there, and two hashes."""
-    around = rows.column("around").combine_chunks().cast(pa.large_binary())
-    offsets = np.frombuffer(around.buffers()[1], np.int64, len(around) + 1, around.offset * 8)
-    data = np.frombuffer(around.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-    n = rows.column("windows").to_numpy().astype(np.int64)
-    row = np.repeat(np.arange(len(n)), n)
-    step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    at = (offsets[:-1] - offsets[0])[row] + step
+    data, offsets = _around(rows)
+    row, step = _each(rows.column("windows").to_numpy().astype(np.int64))
+    at = offsets[row] + step
     one, two = shared.Hasher(10), shared.Hasher(11)
     return row, step, one.spans(one.prefix(data), at, at + LENGTH), two.spans(two.prefix(data), at, at + LENGTH)
 
@@ -214,10 +295,7 @@ def _ranked_apart(sent: DataFrame) -> DataFrame:
     def name(batches):
         one, two = shared.Hasher(10), shared.Hasher(11)
         for batch in batches:
-            around = batch.column("around").cast(pa.large_binary())
-            offsets = np.frombuffer(around.buffers()[1], np.int64, len(around) + 1, around.offset * 8)
-            data = np.frombuffer(around.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-            at = offsets - offsets[0]
+            data, at = _around(batch)
             names = [h.spans(h.prefix(data), at[:-1], at[1:]).view(np.int64) for h in (one, two)]
             yield shared.columns_to_batch(named_schema, *names, *[batch.column(c) for c in ("doc_id", "row", "start", "windows", "around")])
 
@@ -231,19 +309,17 @@ def _ranked_apart(sent: DataFrame) -> DataFrame:
 
     named = sent.mapInArrow(name, "a long, b long, doc_id long, row long, start int, windows int, around binary")
     blocks = named.groupBy("a", "b").agg(F.min("doc_id").alias("least"), F.first("windows").alias("windows"), F.first("around").alias("around"))
-    windows = shared.saved(blocks, "substrings-blocks", release=True).mapInArrow(explode, "a long, b long, least long, step int, one long, two long")
-    windows = shared.saved(windows, "substrings-windows", release=True)
+    blocks = shared.saved(blocks, "substrings-blocks", release=True)
+    windows = shared.saved(blocks.mapInArrow(explode, "a long, b long, least long, step int, one long, two long"), "substrings-windows", release=True)
     first = windows.groupBy("one", "two").agg(F.min("least").alias("first"), F.max("least").alias("last")).where("first < last").drop("last")
     bit = F.call_function("shiftleft", F.lit(1), F.col("step"))
-    marks = windows.join(first, ["one", "two"]).groupBy("a", "b").agg(F.min("least").alias("least"), F.bit_or(F.when(F.col("first") < F.col("least"), bit).otherwise(F.lit(0))).alias("mask"))
-    least = windows.groupBy("a", "b").agg(F.min("least").alias("least")).join(marks.drop("least"), ["a", "b"], "left")
-    placed = named.select("a", "b", "doc_id", "row", "start", "windows").join(shared.saved(least, "substrings-marks", release=True), ["a", "b"])
-    end = lambda at, n: (at + n + F.lit(LENGTH - 1)).cast("int").alias("end")
-    later = placed.where("least < doc_id").select("doc_id", "row", "start", end(F.col("start"), F.col("windows")))
+    marks = windows.join(first, ["one", "two"]).where("first < least").groupBy("a", "b").agg(F.bit_or(bit).alias("mask"))
+    least = shared.saved(blocks.select("a", "b", "least").join(marks, ["a", "b"], "left"), "substrings-marks", release=True)
+    placed = named.select("a", "b", "doc_id", "row", "start", "windows").join(least, ["a", "b"]).where("least < doc_id or mask <> 0")
+    run = lambda at, n: F.struct(at.cast("int").alias("start"), (at + n + F.lit(LENGTH - 1)).cast("int").alias("end"))
     steps = F.filter(F.sequence(F.lit(0), F.col("windows") - 1), lambda i: F.call_function("getbit", F.col("mask").cast("long"), i) == 1)
-    own = placed.where("least = doc_id and mask <> 0").select("doc_id", "row", "start", F.explode(steps).alias("step"))
-    own = own.select("doc_id", "row", (F.col("start") + F.col("step")).cast("int").alias("start"))
-    return later.unionAll(own.select("doc_id", "row", "start", end(F.col("start"), F.lit(1))))
+    runs = F.when(F.col("least") < F.col("doc_id"), F.array(run(F.col("start"), F.col("windows")))).otherwise(F.transform(steps, lambda i: run(F.col("start") + i, F.lit(1))))
+    return placed.select("doc_id", "row", F.explode(runs).alias("run")).select("doc_id", "row", "run.start", "run.end")
 
 
 def _runs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -387,6 +387,34 @@ def test_no_task_gathers_a_frequent_rank(spark):
     assert sent.groupBy("part").count().agg({"count": "max"}).first()[0] <= 20
 
 
+def test_ranks_are_counted_before_they_are_sent(spark):
+    docs = licensed(spark)
+    sent = substrings._sent_ranks(docs, 8).toArrow()
+    found = Counter(r.key for r in substrings._positions(docs).collect())
+    ranks = substrings._unpacked(sent.column("ranks"))
+    assert sent.num_rows <= 3 * 8 < sum(found.values())
+    assert dict(zip(ranks[0].tolist(), np.abs(ranks[4]).tolist())) == found
+
+
+def test_counts_of_ranks_add_up():
+    rng = np.random.default_rng(5)
+    rows = np.stack([rng.integers(-9, 9, 400), *[rng.integers(-50, 50, 400)] * 2, rng.integers(0, 2, 400), np.ones(400, np.int64)])
+    rows[3, rows[0] < 0] = 7
+    by = {k: rows[:, rows[0] == k] for k in set(rows[0].tolist())}
+    want = {k: (r[1].min(), r[2].max(), r.shape[1] * (1 if len(set(r[3].tolist())) == 1 else -1)) for k, r in by.items()}
+    for cut in (0, 1, 150, 400):
+        got = substrings._counted(np.concatenate([substrings._counted(rows[:, :cut]), substrings._counted(rows[:, cut:])], axis=1))
+        assert {int(k): (a, b, n) for k, a, b, n in got[[0, 1, 2, 4]].T} == want
+
+
+def test_repeated_substrings_of_texts_longer_than_a_stretch(spark):
+    n = substrings.STRETCH
+    text = np.random.default_rng(8).integers(97, 123, 3 * n, dtype=np.uint8).tobytes().decode()
+    rows = [(2, text), (1, text[n - 60 : n + 40]), (3, "." + text[2 * n - 25 : 2 * n + 25]), (4, text[n // 2 :] + "." + text[: n // 2]), (5, "")]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_substrings(rows)
+
+
 def test_repeated_substrings_of_nothing(no_docs):
     assert substrings.remove_repeats(no_docs).count() == 0
 
