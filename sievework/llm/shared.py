@@ -74,6 +74,12 @@ def saved(df: DataFrame, label: str, release: bool = False, files: int | None =
     return back
 
 
+def drop(table: DataFrame) -> None:
+    """Remove a table that saved() gave, once what was made from it is a saved table itself."""
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        delete(table.sparkSession, folder)
+
+
 def parts_for(df: DataFrame, bytes_each: int = 16 << 20, least: int = 8) -> int:
     """A number of partitions in proportion to the input, from the optimizer's size estimate; the session's number of
     shuffle partitions where Spark knows no size."""

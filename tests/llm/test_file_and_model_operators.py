@@ -381,6 +381,24 @@ def test_repeated_substrings_of_frequent_ranks(spark, odd, which):
     assert got == brute_substrings([(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_frequent_ranks_are_compared_in_passes_that_leave_no_tables(spark, monkeypatch):
+    """The windows of frequent ranks grow faster than a corpus: a pass has a number that goes with the input."""
+    made, save = [], shared.saved
+
+    def saved(df, label, *args, **kwargs):
+        made.append((label, save(df, label, *args, **kwargs)))
+        return made[-1][1]
+
+    monkeypatch.setattr(shared, "saved", saved)
+    docs = licensed(spark)
+    got = sorted((tuple(r) for r in substrings.remove_repeats(docs, most=2, room=500).collect()), key=str)
+    assert got == brute_substrings([(r.doc_id, r.text) for r in docs.collect()])
+    assert sum(label == "substrings-marks" for label, _ in made) > 1
+    system = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getLocal(spark.sparkContext._jsc.hadoopConfiguration())
+    left = {label for label, df in made for f in df.inputFiles() if system.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f))}
+    assert left <= {"substrings-spans", "substrings-again"}
+
+
 def test_no_task_gathers_a_frequent_rank(spark):
     docs = licensed(spark)
     sent = substrings._surroundings(docs, substrings._repeated(docs, 20), 1 << 30).where("around is not null and not hot")
