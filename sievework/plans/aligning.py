@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import alignment as al
+from ..operators import pairing
 from ..operators import technology as tech
+from ..operators.spans import parts_of
 from ..registry import query
 from ..sources.tables import table
 
@@ -43,6 +45,19 @@ def aligned(spark, sf_dir):
     return contexts, al.profile_alignments(contexts, branches.join(suppliers, "node"))
 
 
+def lines(spark, sf_dir):
+    """What each line states of its context and its branch, with the branch's state and cluster; the predicates of what is
+    stated; the number of groups of studies, one for about a megabyte of lines."""
+    stating = table(spark, sf_dir, "lineitem")
+    of = stating.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    values = [F.expr(x).alias(f"value{i}") for i, (_, x) in enumerate(FACTS)] + [F.expr(CHANNEL).alias("channel"), F.expr(ROLE).alias("role")]
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("node"), F.expr(STATE).alias("state"), F.format_string("n%03d", "s_nationkey").alias("cluster"))
+    of = of.join(pairing.sides_of(suppliers), F.col("l_suppkey") == F.col("node"), "left")
+    named = [F.col("o_custkey").alias("scope"), F.col("o_orderkey").alias("context"), F.col("l_suppkey").alias("branch")]
+    told = of.select(*named, F.expr(STATUS).alias("status"), F.expr(METHOD).alias("method"), F.expr(CONFLICT).alias("conflict"), *values, "sides")
+    return told, {f"value{i}": p for i, (p, _) in enumerate(FACTS)} | {"channel": "role"}, 4 * parts_of(stating)
+
+
 _SIMPLE = "regexp_replace(lower(v), '[^a-z0-9]', '', 'g')"
 _KEYS = f"""CASE p WHEN 'HAS_MODALITY' THEN CASE WHEN contains(lower(v), 'label') THEN 'label_free' WHEN contains(lower(v), 'reporter') THEN 'reporter' ELSE 'unresolved' END
     WHEN 'USES_CHEMISTRY' THEN CASE WHEN {_SIMPLE} = 'scopems' THEN 'scope-ms' WHEN {_SIMPLE} LIKE 'tmt%' THEN replace({_SIMPLE}, 'plex', '') ELSE replace(lower(v), '  ', ' ') END
@@ -81,8 +96,7 @@ _CLASHED = _SAID.format("CASE WHEN no_mo THEN 'label_free_vs_reporter_modality'
     FROM t GROUP BY ALL""")
 def context_branch_alignment(spark, sf_dir):
     """Every pair of a context's and a branch's profile of a study, with score, contradictions and status."""
-    _, pairs = aligned(spark, sf_dir)
-    counted = pairs.withColumn("n_pairs", F.col("c_n") * F.col("b_n")).drop("c_n", "b_n")
+    counted = pairing.alignments(*lines(spark, sf_dir)).withColumn("n_pairs", F.col("c_n") * F.col("b_n")).drop("c_n", "b_n")
     return counted.select("scope", "c_profile", "c_dirty", "b_profile", "b_dirty", "b_state", "n_pairs", "score", "conflict_score", "matched", "conflicts", "status", "cluster")
 
 

@@ -1,11 +1,14 @@
 """Alignment of contexts and branches on hand-made facts, and the tree of technologies."""
 
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from sievework import registry
 from sievework.operators import alignment as al
+from sievework.operators import pairing
 from sievework.operators import technology as tech
 
 FACTS = "scope string, node string, predicate string, value string, status string, method string, conflict string"
@@ -125,3 +128,62 @@ def test_pairs_are_neither_sorted_nor_held_back_by_lambdas(spark):
     assert scored and not any("lambda" in x for x in scored)
     rows = {r.b_profile.split("|")[0]: r for r in pairs.collect()}
     assert rows["reporter"].matched == "modality:reporter;chemistry:tmtpro,tmtpro18;HAS_CARRIER_CHANNEL:126"
+
+
+# --- facts that name both sides ---
+
+
+def both(spark, rows, states):
+    """rows: scope, context, branch, predicate, value, status, method, conflict. What pairing says, and what alignment does."""
+    lines = spark.createDataFrame(rows, "scope string, context string, branch string, predicate string, value string, status string, method string, conflict string")
+    sides = spark.createDataFrame(states, "node string, state string, cluster string")
+    packed = lines.join(pairing.sides_of(sides).withColumnRenamed("node", "branch"), "branch", "left"), {"value": "predicate"}, 3
+    node = lambda c: al.described(lines.withColumnRenamed(c, "node"))
+    contexts = node("context")
+    pairs = al.profile_alignments(contexts, node("branch").join(sides, "node"))
+    return packed, pairs, al.choices(contexts, pairs)
+
+
+def test_packed_pairs_are_those_of_the_tables_of_nodes(spark, monkeypatch):
+    """Odd values, more tags than a number has bits, tags with several colons, branches with no row or several, and blocks of few pairs."""
+    rng = random.Random(3)
+    values = {
+        al.MODALITY: ["Label-Free", "label free", "Targeted REPORTER", "modality unresolved", " odd;one", "é|x,y", None, ""],
+        al.CHEMISTRY: ["TMT", "TMTpro 18-plex", "tmtpro16", "TMT\\u00a010", "iTRAQ  8", "a,b", "a\\\\b", "SCoPE-MS", " "],
+        al.ACQUISITION: ["DIA", "d d a", "Wide  Window", None], "HAS_TITLE": ["x"], None: ["y"],
+    }
+    channels = [f"TMT {n}{end}" for n in range(40) for end in ("", "n", ":126", " N:126")] + [" ", None]
+    rows = []
+    for _ in range(3000):
+        scope = rng.choice(["P", "P", "Q", "R", None])
+        predicate = rng.choice([*values, *al.ROLES, *al.ROLES])
+        value = rng.choice(values.get(predicate, channels))
+        node = lambda n: rng.choice([None, *range(n)])
+        c, b = node(9 if scope == "P" else 60), node(9 if scope == "P" else 40)
+        status = rng.choice([*al.USABLE * 8, "conflicted", "unresolved", None])
+        rows.append((scope, c and f"c{c}", b and f"b{b}", predicate, value, status, rng.choice(["", None, "m"]), rng.choice(["", "k"])))
+    # few facts a node, so that pairs may be compatible
+    for i in range(60):
+        rows += [("S" + str(i % 9), f"c{i}", f"b{i % 7}", p, v, "accepted_resolved", "", "") for p, v in ((al.MODALITY, "label free"), (al.ACQUISITION, "dia"), (A, f"{120 + i % 4}"), (rng.choice((A, C)), f"{121 + i % 4}"))]
+    clean, states = "canonical_branch_candidate", []
+    for b in range(38):
+        states += [(f"b{b}", rng.choice([clean, clean, clean, "unresolved_hypothesis", "contradictory_hypothesis", None]), rng.choice(["k1", "k2", None]))] * (1 + (b % 9 == 0))
+    packed, pairs, chosen = both(spark, rows, states)
+    monkeypatch.setattr(pairing, "PAIRS", 50)
+    plain = lambda df, like: sorted((tuple(r) for r in df.select(*like.columns).collect()), key=str)
+    got, want = plain(pairing.alignments(*packed), pairs), plain(pairs, pairs)
+    assert len(want) > 1500 and {r[-2] for r in want} > {"unique_compatible_candidate", "ambiguous_compatible_candidate", "weak_candidate", "contradictory"}
+    assert got == want
+    assert plain(pairing.choices(*packed), chosen) == plain(chosen, chosen)
+    nothing = packed[0].limit(0), *packed[1:]
+    assert pairing.alignments(*nothing).count() == pairing.choices(*nothing).count() == 0
+
+
+@pytest.mark.parametrize("name", ["context_branch_alignment"])
+def test_lines_are_sent_once_and_pairs_never(spark, sf_dir, name):
+    """Every exchange but those of the joins deals lines to groups of scopes: no node, profile or pair is sent on."""
+    plan = registry.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("FlatMapGroupsInArrow") == 1
+    above, below = plan.split("FlatMapGroupsInArrow")
+    assert not any(x in above for x in ("Join", "Aggregate", "Repartition", "Sort"))
+    assert below.count("Relation [") == 3 and below.count("Aggregate") == 1  # lines, orders, and branches by key
