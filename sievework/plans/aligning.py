@@ -31,20 +31,6 @@ CONFLICT = "CASE WHEN l_returnflag = 'N' THEN concat('k', l_linenumber) ELSE ''
 STATE = "CASE WHEN s_acctbal < 0 THEN 'contradictory_hypothesis' WHEN s_acctbal < 1500 THEN 'unresolved_hypothesis' ELSE 'canonical_branch_candidate' END"
 
 
-def facts(spark, sf_dir, node: str):
-    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    stated = [F.struct(F.lit(p).alias("predicate"), F.expr(x).alias("value")) for p, x in FACTS] + [F.struct(F.expr(ROLE).alias("predicate"), F.expr(CHANNEL).alias("value"))]
-    told = lines.select(F.col("o_custkey").alias("scope"), F.col(node).alias("node"), F.expr(STATUS).alias("status"), F.expr(METHOD).alias("method"), F.expr(CONFLICT).alias("conflict"), F.array(*stated).alias("stated"))
-    return told.select("scope", "node", "status", "method", "conflict", F.inline("stated"))
-
-
-def aligned(spark, sf_dir):
-    """The contexts and the alignments of their profiles."""
-    contexts, branches = al.described(facts(spark, sf_dir, "o_orderkey")), al.described(facts(spark, sf_dir, "l_suppkey"))
-    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("node"), F.expr(STATE).alias("state"), F.format_string("n%03d", "s_nationkey").alias("cluster"))
-    return contexts, al.profile_alignments(contexts, branches.join(suppliers, "node"))
-
-
 def lines(spark, sf_dir):
     """What each line states of its context and its branch, with the branch's state and cluster; the predicates of what is
     stated; the number of groups of studies, one for about a megabyte of lines."""
@@ -109,8 +95,7 @@ _RANK = "list_position([" + ", ".join(f"'{s}'" for s in al.STATUSES) + "], statu
     SELECT scope, ctx AS node, status, score, cluster, n_compatible, n_weak, n_contradictory FROM r""")
 def context_branch_choice(spark, sf_dir):
     """For each context its best status, the one cluster that is compatible with it, and how many branches are what."""
-    contexts, pairs = aligned(spark, sf_dir)
-    return al.choices(contexts, pairs)
+    return pairing.choices(*lines(spark, sf_dir))
 
 
 _REL = f"CASE WHEN x = y THEN 'equal' WHEN (y = 'tmt' AND x LIKE 'tmt%') OR (y = 'tmtpro' AND x LIKE 'tmtpro%') THEN 'child' WHEN {_BELOW} THEN 'parent' WHEN x LIKE 'tmt%' AND y LIKE 'tmt%' AND x <> 'tmtpro' AND y <> 'tmtpro' THEN 'incompatible' ELSE 'unknown' END"

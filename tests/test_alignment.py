@@ -179,7 +179,7 @@ def test_packed_pairs_are_those_of_the_tables_of_nodes(spark, monkeypatch):
     assert pairing.alignments(*nothing).count() == pairing.choices(*nothing).count() == 0
 
 
-@pytest.mark.parametrize("name", ["context_branch_alignment"])
+@pytest.mark.parametrize("name", ["context_branch_alignment", "context_branch_choice"])
 def test_lines_are_sent_once_and_pairs_never(spark, sf_dir, name):
     """Every exchange but those of the joins deals lines to groups of scopes: no node, profile or pair is sent on."""
     plan = registry.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
