@@ -3,7 +3,8 @@
 A line states some facts of a context and of a branch of a scope. Its words are made once, each distinct value of a batch once, and
 lines go once to a task that holds whole scopes. There alike nodes are one profile, words are numbers and channels are bits: a bit is
 a tag, and each role that a tag has in the scope a plane of bits. So a pair of profiles costs a few lookups and ands. Pairs are made,
-scored and told in blocks of PAIRS; no pair is sent on to be summed up. A task holds the lines of its scopes, of a large scope all."""
+scored and told in blocks of PAIRS; no pair is sent on to be summed up. A task holds the lines of its scopes, of a large scope all; but
+the contexts of a large scope, and so its pairs, are dealt to several tasks."""
 
 from __future__ import annotations
 
@@ -22,6 +23,7 @@ from . import alignment as al
 from . import technology as tech
 
 PAIRS = 1 << 17  # pairs of profiles that are looked at together
+LARGE = 20_000  # contexts of a scope that one task pairs with its branches
 _PLACES = {al.MODALITY: "0", al.CHEMISTRY: "1", al.ACQUISITION: "2"} | dict.fromkeys(al.ROLES, "3")
 _KNOWN = tech.TECHNOLOGIES | {p + end: p for p in tech.PLEXES for end in ("", "plex")}
 _LOWER = {c: c + 32 for c in range(65, 91)}
@@ -95,6 +97,12 @@ def sides_of(branches: DataFrame) -> DataFrame:
     return branches.groupBy("node").agg(F.to_json(F.sort_array(F.collect_list(F.struct("state", "cluster")))).alias("sides"))
 
 
+def large_of(contexts: DataFrame, most: int = LARGE) -> DataFrame:
+    """contexts: scope, a row for each context -> scope, lots: scopes with more than most contexts, and how many lots these make. There
+    is one such scope for most contexts of the table at best, so they can be broadcast."""
+    return contexts.where("scope is not null").groupBy("scope").agg(F.ceil(F.count("*") / most).cast("int").alias("lots")).where("lots > 1")
+
+
 # --- whole scopes ----------------------------------------------------------------------------------------------------
 
 
@@ -373,18 +381,21 @@ def _named(values: list, at: np.ndarray) -> pa.Array:
     return pa.array(values, pa.string()).take(pa.array(at, mask=at < 0))
 
 
-def _grouped(lines: DataFrame, stated: Mapping[str, str], parts: int, made, schema: str) -> DataFrame:
+def _grouped(lines: DataFrame, stated: Mapping[str, str], large: DataFrame, parts: int, made, schema: str) -> DataFrame:
     scope, context = (lines.schema[c].dataType.simpleString() for c in ("scope", "context"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from made(_Scopes(pa.Table.from_batches(list(batches))))
 
-    of = told(lines, stated).withColumn("part", F.pmod(F.hash("scope"), F.lit(parts)))
+    # each lot has all branches, and of the contexts its own: elsewhere a line has none
+    lots = told(lines, stated).join(F.broadcast(large), "scope", "left").withColumn("lot", F.explode(F.sequence(F.lit(0), F.coalesce("lots", F.lit(1)) - 1)))
+    own = F.pmod(F.hash("context"), F.coalesce("lots", F.lit(1))) == F.col("lot")
+    of = lots.select("scope", F.when(own, F.col("context")).alias("context"), "branch", "words", "dirty", "sides", F.pmod(F.hash("scope", "lot"), F.lit(parts)).alias("part"))
     return of.groupBy("part").applyInArrow(each, schema.format(scope=scope, context=context))
 
 
-def alignments(lines: DataFrame, stated: Mapping[str, str], parts: int) -> DataFrame:
-    """lines and stated as told() takes them, to be dealt to so many groups of scopes -> what alignment.profile_alignments() gives, a row for each pair of profiles of a scope."""
+def alignments(lines: DataFrame, stated: Mapping[str, str], large: DataFrame, parts: int) -> DataFrame:
+    """lines and stated as told() takes them, large as large_of() gives it, the number of groups of scopes -> what alignment.profile_alignments() gives, a row for each pair of profiles of a scope."""
 
     def made(of: _Scopes):
         c, b = of.c, of.b
@@ -401,11 +412,11 @@ def alignments(lines: DataFrame, stated: Mapping[str, str], parts: int) -> DataF
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     schema = "scope {scope}, c_profile string, c_dirty boolean, c_n long, b_profile string, b_dirty boolean, b_state string, b_n long, score double, conflict_score double, matched string, conflicts string, status string, cluster string"
-    return _grouped(lines, stated, parts, made, schema)
+    return _grouped(lines, stated, large, parts, made, schema)
 
 
-def choices(lines: DataFrame, stated: Mapping[str, str], parts: int) -> DataFrame:
-    """lines and stated as told() takes them, to be dealt to so many groups of scopes -> what alignment.choices() gives, a row for each context with a feature."""
+def choices(lines: DataFrame, stated: Mapping[str, str], large: DataFrame, parts: int) -> DataFrame:
+    """lines and stated as told() takes them, large as large_of() gives it, the number of groups of scopes -> what alignment.choices() gives, a row for each context with a feature."""
     kinds = {"n_compatible": al.STATUSES[:2], "n_weak": al.STATUSES[2:5], "n_contradictory": al.STATUSES[5:7]}
 
     def made(of: _Scopes):
@@ -427,4 +438,4 @@ def choices(lines: DataFrame, stated: Mapping[str, str], parts: int) -> DataFram
         columns |= {k: pa.array(x[at]) for k, x in sums.items()}
         yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return _grouped(lines, stated, parts, made, "scope {scope}, node {context}, status string, score double, cluster string, n_compatible long, n_weak long, n_contradictory long")
+    return _grouped(lines, stated, large, parts, made, "scope {scope}, node {context}, status string, score double, cluster string, n_compatible long, n_weak long, n_contradictory long")

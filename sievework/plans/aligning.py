@@ -33,15 +33,17 @@ STATE = "CASE WHEN s_acctbal < 0 THEN 'contradictory_hypothesis' WHEN s_acctbal
 
 def lines(spark, sf_dir):
     """What each line states of its context and its branch, with the branch's state and cluster; the predicates of what is
-    stated; the number of groups of studies, one for about a megabyte of lines."""
+    stated; the studies with very many contexts; the number of groups of studies, one for about a megabyte of lines."""
     stating = table(spark, sf_dir, "lineitem")
-    of = stating.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    orders = table(spark, sf_dir, "orders")
+    of = stating.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     values = [F.expr(x).alias(f"value{i}") for i, (_, x) in enumerate(FACTS)] + [F.expr(CHANNEL).alias("channel"), F.expr(ROLE).alias("role")]
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("node"), F.expr(STATE).alias("state"), F.format_string("n%03d", "s_nationkey").alias("cluster"))
     of = of.join(pairing.sides_of(suppliers), F.col("l_suppkey") == F.col("node"), "left")
     named = [F.col("o_custkey").alias("scope"), F.col("o_orderkey").alias("context"), F.col("l_suppkey").alias("branch")]
     told = of.select(*named, F.expr(STATUS).alias("status"), F.expr(METHOD).alias("method"), F.expr(CONFLICT).alias("conflict"), *values, "sides")
-    return told, {f"value{i}": p for i, (p, _) in enumerate(FACTS)} | {"channel": "role"}, 4 * parts_of(stating)
+    large = pairing.large_of(orders.select(F.col("o_custkey").alias("scope")))
+    return told, {f"value{i}": p for i, (p, _) in enumerate(FACTS)} | {"channel": "role"}, large, 4 * parts_of(stating)
 
 
 _SIMPLE = "regexp_replace(lower(v), '[^a-z0-9]', '', 'g')"

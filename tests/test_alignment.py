@@ -137,7 +137,9 @@ def both(spark, rows, states):
     """rows: scope, context, branch, predicate, value, status, method, conflict. What pairing says, and what alignment does."""
     lines = spark.createDataFrame(rows, "scope string, context string, branch string, predicate string, value string, status string, method string, conflict string")
     sides = spark.createDataFrame(states, "node string, state string, cluster string")
-    packed = lines.join(pairing.sides_of(sides).withColumnRenamed("node", "branch"), "branch", "left"), {"value": "predicate"}, 3
+    large = pairing.large_of(lines.where("context is not null").select("scope", "context").distinct(), 20)
+    assert {r.scope: r.lots for r in large.collect()} == {"Q": 3, "R": 3}
+    packed = lines.join(pairing.sides_of(sides).withColumnRenamed("node", "branch"), "branch", "left"), {"value": "predicate"}, large, 5
     node = lambda c: al.described(lines.withColumnRenamed(c, "node"))
     contexts = node("context")
     pairs = al.profile_alignments(contexts, node("branch").join(sides, "node"))
@@ -186,4 +188,4 @@ def test_lines_are_sent_once_and_pairs_never(spark, sf_dir, name):
     assert plan.count("FlatMapGroupsInArrow") == 1
     above, below = plan.split("FlatMapGroupsInArrow")
     assert not any(x in above for x in ("Join", "Aggregate", "Repartition", "Sort"))
-    assert below.count("Relation [") == 3 and below.count("Aggregate") == 1  # lines, orders, and branches by key
+    assert below.count("Relation [") == 4 and below.count("Aggregate") == 2  # lines, orders, branches by key, and the scopes of orders
